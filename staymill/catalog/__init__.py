@@ -1,6 +1,6 @@
 """All registered queries with their checking texts."""
 
-from staymill.catalog import exploration  # noqa: F401
+from staymill.catalog import encoding, exploration  # noqa: F401
 from staymill.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -166,10 +166,12 @@ SELECT sum(n) AS total, sum(n - 1) AS duplicates FROM (SELECT count(*) AS n FROM
     lambda s, d: P.duplicate_rows(table(s, d, "documents").drop("doc_id"), digest_text=True))
 
 _CORR = [*S.NUMERIC, S.TARGET, "arrival_date_year"]
-_corr = lambda a, b: f"CASE WHEN isfinite(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))) THEN corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) END"
+_corr = lambda a, b: f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"
+_PAIRS = [(a, b) for i, a in enumerate(_CORR) for b in _CORR[i:]]
 query("corr_matrix", "a:s b:s r:d", B(
-    ", one AS (SELECT " + ", ".join(f"{_corr(a, b)} AS r{i}_{j}" for i, a in enumerate(_CORR) for j, b in enumerate(_CORR)) + " FROM bookings) "
-    + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, r{i}_{j} AS r FROM one" for i, a in enumerate(_CORR) for j, b in enumerate(_CORR))))(
+    ", one AS (SELECT " + ", ".join(f"{_corr(a, b)} AS r{i}" for i, (a, b) in enumerate(_PAIRS)) + " FROM bookings), cells AS ("
+    + " UNION ALL ".join(f"SELECT '{x}' AS a, '{y}' AS b, r{i} AS r FROM one" for i, (a, b) in enumerate(_PAIRS) for x, y in {(a, b), (b, a)})
+    + ") SELECT a, b, CASE WHEN isfinite(r) THEN r END AS r FROM cells"))(
     lambda s, d: P.corr_matrix(bookings(s, d), _CORR))
 query("corr_rank", "variable:s r:d", B(" UNION ALL ".join(f"SELECT '{c}' AS variable, {_corr(c, S.TARGET)} AS r FROM bookings" for c in S.NUMERIC)))(
     lambda s, d: P.corr_rank(bookings(s, d), S.NUMERIC, S.TARGET))
