@@ -35,36 +35,48 @@ def _allocate(counts: dict, share: float) -> dict:
     return got
 
 
-def hash_cuts(df: DataFrame, quotas: dict, label: str | None, key: str, seed: int) -> dict:
+def hash_cuts(df: DataFrame, quotas, label: str | None, key: str, seed: int) -> dict:
     """Per class the (hash, key) of the last row inside its quota, found by two counting passes.
 
-    Pass one counts 65,536 hash buckets per class, pass two resolves the one bucket that the cut
-    falls into; only rows that share a whole hash value are ever ordered by key."""
+    `quotas` maps the class counts to the wanted rows per class. Pass one counts 65,536 hash buckets
+    per class, which also gives the class counts; pass two resolves the one bucket that the cut falls
+    into. Only rows that share a whole hash value are ever ordered by key."""
     u = df.select((F.col(label) if label else F.lit(0)).alias("c"), F.col(key).alias("k"), mix(key, seed).alias("u"))
-    quota = {c: float(q) for c, q in quotas.items()}
-    coarse = _crossing(u.withColumn("g", F.shiftright("u", HASH_BITS)), quota)
+    hist = u.groupBy("c", F.shiftright("u", HASH_BITS).alias("g")).agg(F.count(F.lit(1)).alias("n")).persist()
+    counts = hist.groupBy("c").agg(F.sum("n").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f"{label} has too many values to be a class column")
+    wanted = {c: q for c, q in quotas({r["c"]: r["n"] for r in counts}).items() if q}
+    coarse = _crossing(hist, wanted)
+    hist.unpersist()
     if not coarse:
         return {}
     where = F.lit(False)
     for c, (b, _) in coarse.items():
         where = where | (F.col("c").eqNullSafe(F.lit(c)) & (F.shiftright("u", HASH_BITS) == b))
+    fine = u.where(where).groupBy("c", F.col("u").alias("g")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("k").alias("first"), F.max("k").alias("last")
+    )
     cuts = {}
-    for c, (h, q) in _crossing(u.where(where).withColumn("g", F.col("u")), {c: float(q) for c, (_, q) in coarse.items()}).items():
-        # Rows with one and the same 31-bit hash, in key order up to the quota.
+    for c, (h, q, n, first, last) in _crossing(fine, {c: q for c, (_, q) in coarse.items()}, "n", "first", "last").items():
+        # Rows with one and the same 31-bit hash go in key order; one or two of them need no further look.
+        if q == n or q == 1:
+            cuts[c] = (h, last if q == n else first)
+            continue
         same = u.where(F.col("c").eqNullSafe(F.lit(c)) & (F.col("u") == h))
         cuts[c] = (h, same.orderBy("k").limit(int(q)).agg(F.max("k")).first()[0])
     return cuts
 
 
-def _crossing(u: DataFrame, quota: dict) -> dict:
+def _crossing(counts: DataFrame, quota: dict, *extra: str) -> dict:
     """Per class the group `g` in which the running count reaches the quota, and what is left of it there."""
     want = F.lit(None).cast("double")
     for c, q in quota.items():
-        want = F.when(F.col("c").eqNullSafe(F.lit(c)), F.lit(q)).otherwise(want)
+        want = F.when(F.col("c").eqNullSafe(F.lit(c)), F.lit(float(q))).otherwise(want)
     upto = F.sum("n").over(Window.partitionBy("c").orderBy("g").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    counts = u.groupBy("c", "g").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
-    hit = counts.where((want > F.col("upto") - F.col("n")) & (want <= F.col("upto")))
-    return {r["c"]: (r["g"], int(r["left"])) for r in hit.select("c", "g", (want - F.col("upto") + F.col("n")).alias("left")).collect()}
+    hit = counts.withColumn("upto", upto).where((want > F.col("upto") - F.col("n")) & (want <= F.col("upto")))
+    rows = hit.select("c", "g", (want - F.col("upto") + F.col("n")).alias("left"), *extra).collect()
+    return {r["c"]: (r["g"], int(r["left"]), *[r[x] for x in extra]) for r in rows}
 
 
 def split_stratified(
@@ -73,11 +85,7 @@ def split_stratified(
     """Append `split` = train / test with exact per-class quotas.
 
     The fitted state is one cut per class; applying it is a plain column expression."""
-    classes = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{label} has too many values to be a class column")
-    quotas = {c: q for c, q in _allocate({r[label]: r["count"] for r in classes}, share).items() if q}
-    cuts = hash_cuts(df, quotas, label, key, seed)
+    cuts = hash_cuts(df, lambda counts: _allocate(counts, share), label, key, seed)
     u, test = mix(key, seed), F.lit(False)
     for c, (h, k) in cuts.items():
         inside = (u < h) | ((u == h) & (F.col(key) <= k))
