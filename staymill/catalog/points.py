@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from staymill.catalog.base import F, S, frame_cleaned, mix_sql, query, table, with_frames
-from staymill.functions.session import materialise
+from pyspark.ml.functions import vector_to_array
+
+from staymill.catalog.base import F, mix_sql, query, table
 from staymill.operators import cluster as K
 from staymill.operators import neighbours as N
 from staymill.operators import project as PR
@@ -30,7 +31,7 @@ query("silhouette_exact", "vec_id:i label:i silhouette:d", f"""WITH {_VEC},
 m AS (SELECT q.vec_id, q.label, t.label AS o, sum(list_distance(q.e, t.e)) AS s, count(*) AS n FROM vec q JOIN vec t ON true GROUP BY 1, 2, 3),
 r AS (SELECT vec_id, label, max(n) FILTER (WHERE o = label) AS n, max(CASE WHEN n > 1 THEN s / (n - 1) END) FILTER (WHERE o = label) AS a, min(s / n) FILTER (WHERE o <> label) AS b FROM m GROUP BY 1, 2)
 SELECT vec_id, label, CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END AS silhouette FROM r""")(
-    lambda s, d: K.silhouette_exact(table(s, d, "embeddings"), "vec_id", "embedding", "label"))
+    lambda s, d: K.silhouette_exact(table(s, d, "embeddings"), "vec_id", "embedding", ["label"]).withColumnRenamed("cluster", "label"))
 query("dbscan_core", "vec_id:i neighbours:i core:b", f"""WITH {_VEC}
 SELECT q.vec_id, count(*) AS neighbours, count(*) >= {MIN_SAMPLES} AS core FROM vec q JOIN vec t ON list_distance(q.e, t.e) <= {EPS} GROUP BY 1""")(
     lambda s, d: K.dbscan_core(table(s, d, "embeddings"), "vec_id", "embedding", EPS, MIN_SAMPLES))
@@ -54,10 +55,18 @@ def elbow(s, d):
 
 @query("silhouette_by_k", "k:i silhouette:d")
 def silhouette_by_k(s, d):
-    """Silhouette on squared distances of the k-means clusters for k = 2..10."""
+    """Mean Euclidean silhouette of the k-means clusters for k = 2..10; all distances are formed once."""
+    df = _scaled(s, d).persist()
+    for k in range(2, 11):
+        df = K.fit_kmeans(df, k, "scaled").transform(df).withColumnRenamed("cluster", f"k{k}")
+    rows = K.silhouette_exact(df.withColumn("v", vector_to_array("scaled")), "vec_id", "v", [f"k{k}" for k in range(2, 11)])
+    return rows.groupBy(F.substring("labelling", 2, 2).cast("int").alias("k")).agg(F.avg("silhouette").alias("silhouette"))
+
+
+@query("silhouette_fast", "silhouette:d")
+def silhouette_fast(s, d):
     df = _scaled(s, d).persist()
-    rows = [(k, float(K.silhouette_fast(K.fit_kmeans(df, k, "scaled").transform(df), "scaled"))) for k in range(2, 11)]
-    return s.createDataFrame(rows, "k int, silhouette double")
+    return s.createDataFrame([(float(K.silhouette_fast(df, "scaled", "label")),)], "silhouette double")
 
 
 query("pca", "component:i explained:d cumulative:d")(lambda s, d: (lambda df: PR.explained(PR.fit_pca(df, 64), s))(_scaled(s, d).persist()))

@@ -46,38 +46,43 @@ def silhouette_fast(df: DataFrame, column: str, cluster: str = "cluster") -> flo
     return ClusteringEvaluator(featuresCol=column, predictionCol=cluster, metricName="silhouette").evaluate(df)
 
 
-def silhouette_exact(df: DataFrame, key: str, vector: str, cluster: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(key, cluster, silhouette) on Euclidean distances.
-
-    Every distance counts here, so the work is quadratic by nature; blocks of rows meet blocks of rows and
-    only a sum per row and cluster leaves a task. Use `silhouette_fast` where squared distances will do."""
-    points = df.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"), F.col(cluster).alias("c"))
-    kind = dict(points.dtypes)
+def silhouette_exact(df: DataFrame, key: str, vector: str, clusters: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(key, labelling, cluster, silhouette) on Euclidean distances, for one or more label columns at once.
+
+    Every distance counts here, so the work is quadratic by nature; blocks of rows meet blocks of rows,
+    each distance is computed once for all labellings, and only a sum per row and cluster leaves a task.
+    Use `silhouette_fast` where squared distances will do."""
+    names = list(clusters)
+    labels = [F.col(c).cast("bigint").alias(f"c{j}") for j, c in enumerate(names)]
+    points = df.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"), *labels)
     # A single cell: nothing can be pruned, only divided into blocks.
     placed = materialise(points.withColumns({"cell": F.lit(0), "gap": F.lit(0.0)}), "points")
     head = placed.agg(F.count(F.lit(1)).alias("n"), F.first("v").alias("v")).first()
     cells = Cells(placed, np.array([head["v"]]), np.array([float(head["n"])]), np.array([-np.inf]), np.array([np.inf]), np.zeros((1, 1)))
 
     def sums(q: pd.DataFrame, qv: np.ndarray, d: pd.DataFrame, dv: np.ndarray) -> pd.DataFrame:
-        codes, names = pd.factorize(d["c"])
-        member = np.eye(len(names))[codes]
+        coded = [pd.factorize(d[f"c{j}"]) for j in range(len(names))]
+        member = np.hstack([np.eye(len(u))[codes] for codes, u in coded])
         total = np.vstack([m @ member for _, m in distances(qv, dv)])
+        which = np.repeat(np.arange(len(names)), [len(u) for _, u in coded])
+        own = np.stack([q[f"c{j}"].to_numpy() for j in range(len(names))], axis=1)
         return pd.DataFrame({
-            "k": np.repeat(q["k"].to_numpy(), len(names)), "c": np.repeat(q["c"].to_numpy(), len(names)),
-            "other": np.tile(np.asarray(names), len(q)), "s": total.ravel(),
+            "k": np.repeat(q["k"].to_numpy(), len(which)), "j": np.tile(which, len(q)), "c": own[:, which].ravel(),
+            "other": np.tile(np.concatenate([u for _, u in coded]), len(q)), "s": total.ravel(),
         })
 
-    parts = cell_join(points, cells, sums, f"k {kind['k']}, c {kind['c']}, other {kind['c']}, s double", radius=np.inf, block_rows=block_rows)
-    size = placed.groupBy(F.col("c").alias("_o")).agg(F.count(F.lit(1)).alias("n"))
-    total = parts.groupBy("k", "c", "other").agg(F.sum("s").alias("s")).join(size, F.col("other") == F.col("_o"))
+    parts = cell_join(points.drop("cell", "gap"), cells, sums, f"k {dict(points.dtypes)['k']}, j int, c bigint, other bigint, s double", radius=np.inf, block_rows=block_rows)
+    pairs = F.array(*[F.struct(F.lit(j).alias("_j"), F.col(f"c{j}").alias("_o")) for j in range(len(names))])
+    size = placed.select(F.inline(pairs)).groupBy("_j", "_o").agg(F.count(F.lit(1)).alias("n"))
+    total = parts.groupBy("k", "j", "c", "other").agg(F.sum("s").alias("s")).join(size, (F.col("other") == F.col("_o")) & (F.col("j") == F.col("_j")))
     own = F.col("c") == F.col("other")
-    row = total.groupBy("k", "c").agg(
+    row = total.groupBy("k", "j", "c").agg(
         F.max(F.when(own, F.col("n"))).alias("n"),
         F.max(F.when(own & (F.col("n") > 1), F.col("s") / (F.col("n") - 1))).alias("a"),
         F.min(F.when(~own, F.col("s") / F.col("n"))).alias("b"),
     )
     value = F.when(F.col("n") == 1, 0.0).otherwise(F.coalesce((F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0)), F.lit(0.0)))
-    return row.select(F.col("k").alias(key), F.col("c").alias(cluster), value.alias("silhouette"))
+    return row.select(F.col("k").alias(key), F.array(*map(F.lit, names))[F.col("j")].alias("labelling"), F.col("c").alias("cluster"), value.alias("silhouette"))
 
 
 # --- Density clusters -------------------------------------------------------------
