@@ -62,7 +62,7 @@ def boosting(
         featureSubsetStrategy=str(colsample) if colsample < 1 else "all", checkpointInterval=10,
     )
     if validation:
-        m = m.setValidationIndicatorCol(validation).setValidationTol(tolerance)
+        m = m.setParams(validationIndicatorCol=validation, validationTol=tolerance)
     return m.setWeightCol(weight) if weight else m
 
 
