@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from staymill.catalog.base import ABSENT_SQL, F, S, bookings, frame_cleaned, frame_split, mix_sql, query, table, with_frames
-from staymill.functions.session import scratch_path
+from staymill.functions.session import materialise, scratch_path
 from staymill.operators import encode as E
 from staymill.operators import features as FT
 from staymill.operators import split as SP
@@ -202,24 +202,31 @@ named AS ({" UNION ALL ".join(f"SELECT {i} AS block, '{c}' AS feature" for i, c
   UNION ALL {" UNION ALL ".join(f"SELECT DISTINCT {100 + i}, '{c}_' || coalesce({c}, 'Unknown') FROM reduced WHERE split = 'train'" for i, c in enumerate(S.CATEGORICAL))})
 SELECT row_number() OVER (ORDER BY block, feature) - 1 AS position, feature FROM named"""))
 def feature_names(s, d):
-    train = frame_split(s, d).where("split = 'train'").persist()
+    train = materialise(frame_split(s, d).where("split = 'train'"), "train")
     out = E.preprocessor().fit(train).transform(train)
-    names = s.createDataFrame(list(enumerate(E.feature_names(out))), "position int, feature string")
-    train.unpersist()
-    return names
+    return s.createDataFrame(list(enumerate(E.feature_names(out))), "position int, feature string")
 
 
-@query("preprocess_transform", "booking_id:i is_canceled:i width:i active:i total:d")
+_Z = {c: c if c in S.NUMERIC and c != "children" else "coalesce(children, 0)" if c == "children" else
+      "coalesce(stays_in_week_nights, 0) + coalesce(stays_in_weekend_nights, 0)" if c == "noches" else f"CASE WHEN {c[4:]} IS NULL THEN 0 ELSE 1 END" for c in S.MODEL_NUMERIC}
+
+
+@query("preprocess_transform", "booking_id:i is_canceled:i width:i total:d", SPL(f"""{_REDUCED},
+hot AS (SELECT booking_id AS rid, {", ".join(f"coalesce({c}, 'Unknown') AS t_{c}" for c in S.CATEGORICAL)} FROM reduced),
+z AS (SELECT booking_id, is_canceled, split, {", ".join(f"CAST({e} AS DOUBLE) AS z_{c}" for c, e in _Z.items())}, hot.* FROM split JOIN hot ON booking_id = rid),
+f AS (SELECT {", ".join(f"median(z_{c}) AS q_{c}, avg(z_{c}) AS m_{c}, coalesce(nullif(stddev_pop(z_{c}), 0), 1) AS s_{c}" for c in _Z)},
+  {len(_Z)} + {" + ".join(f"count(DISTINCT t_{c})" for c in S.CATEGORICAL)} AS width FROM z WHERE split = 'train')
+SELECT booking_id, is_canceled, width, {" + ".join(f"(coalesce(z_{c}, q_{c}) - m_{c}) / s_{c}" for c in _Z)}
+  + {" + ".join(f"CASE WHEN t_{c} IN (SELECT t_{c} FROM z WHERE split = 'train') THEN 1 ELSE 0 END" for c in S.CATEGORICAL)} AS total FROM z, f"""))
 def preprocess_transform(s, d):
-    """Model matrix of all rows: vector width, active entries and the sum of the entries."""
+    """Model matrix of all rows: vector width and the sum of the entries of each row."""
     from pyspark.ml.functions import vector_to_array
 
-    df = frame_split(s, d).persist()
+    df = materialise(frame_split(s, d), "split")
     model = E.preprocessor().fit(df.where("split = 'train'"))
     arr = vector_to_array(E.FEATURES_COL)
     return E.transform_features(model, df, ["booking_id", "is_canceled"]).select(
-        "booking_id", "is_canceled", F.size(arr).alias("width"), F.size(F.filter(arr, lambda x: x != 0)).alias("active"),
-        F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("total"))
+        "booking_id", "is_canceled", F.size(arr).alias("width"), F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("total"))
 
 
 # --- Splits and weights ------------------------------------------------------------------

@@ -117,6 +117,26 @@ def _smote_frame(tr):
 query("smote", "synthetic:i base:i neighbour:i u:d label:i width:i")(lambda s, d: _smote_frame(_prepared(s, d)[3]).withColumn("width", F.size("v")))
 
 
+@query("smote_balance", "label:i n:i bases:i between:b", with_frames("split", """
+, c AS (SELECT is_canceled AS label, count(*) AS n FROM split WHERE split = 'train' GROUP BY 1)
+SELECT label, max(n) OVER () AS n, CASE WHEN label = 1 AND n < max(n) OVER () THEN least(n, max(n) OVER () - n) ELSE 0 END AS bases, true AS between FROM c"""))
+def smote_balance(s, d):
+    """Class sizes after oversampling, base rows used, and whether every new row lies between two minority rows."""
+    tr = _prepared(s, d)[3].select("booking_id", F.col("label").cast("int").alias("label"), vector_to_array("features").alias("v"))
+    made = _smote_frame(_prepared(s, d)[3])
+    def rows(k, v):
+        return tr.select(F.col("booking_id").alias(k), F.col("v").alias(v))
+
+    def size(v):
+        return F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+
+    gap = lambda x, y: size(F.zip_with(x, y, lambda a, b: a - b))
+    on_line = F.abs(gap("_a", "v") + gap("v", "_b") - gap("_a", "_b")) < 1e-6
+    judged = made.join(rows("base", "_a"), "base").join(rows("neighbour", "_b"), "neighbour").select("label", F.col("base").alias("b"), on_line.alias("ok"))
+    both = tr.select("label", F.lit(None).cast("bigint").alias("b"), F.lit(True).alias("ok")).unionByName(judged)
+    return both.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("b").alias("bases"), F.bool_and("ok").alias("between"))
+
+
 @query("balancing_compare", "balance:s " + _METRIC_SPEC)
 def balancing_compare(s, d):
     """Forest and boosting, each without balancing, with class weights and with synthetic rows."""
@@ -317,6 +337,17 @@ def pls_fit(s, d):
     return s.createDataFrame([(i, n, float(a), float(b)) for i, (n, (a, b)) in enumerate(zip(_names(s, d), pls.rotations))], "position int, feature string, r1 double, r2 double")
 
 
+_CORR = ", ".join(f"coalesce(CASE WHEN isfinite(c_{c}) THEN c_{c} END, 0) AS c_{c}" for c in S.NUMERIC)
+@query("pls_first_axis", "feature:s weight:d", CL(", t AS (SELECT " + ", ".join(f"corr(CAST(coalesce({c}, 0) AS DOUBLE), CAST(is_canceled AS DOUBLE)) AS c_{c}" for c in S.NUMERIC) + f""" FROM cleaned),
+u AS (SELECT {_CORR} FROM t), n AS (SELECT sqrt({" + ".join(f"c_{c} * c_{c}" for c in S.NUMERIC)}) AS n FROM u) """
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, c_{c} / n AS weight FROM u, n" for c in S.NUMERIC)))
+def pls_first_axis(s, d):
+    """First PLS direction over the raw numeric columns: it is the normalised vector of correlations with the target."""
+    df = frame_cleaned(s, d).select(F.col(S.TARGET).cast("double").alias("y"), F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in S.NUMERIC]).alias("v"))
+    pls, _ = PR.orient(df, PR.fit_pls(df, "v", "y"), "v", "y")
+    return s.createDataFrame([(c, float(w)) for c, w in zip(S.NUMERIC, pls.rotations[:, 0])], "feature string, weight double")
+
+
 @query("pls_orient", "label:d mean_c1:d mean_c2:d n:i")
 def pls_orient(s, d):
     tr, pls, _ = _plane(s, d)
@@ -367,7 +398,7 @@ def score_job(s, d):
     return JB.score_job(s, _pipeline(s, d), scratch_path(s, "scored"), csv=raw)
 
 
-@query("model_roundtrip", "rows:i same:i")
+@query("model_roundtrip", "rows:i same:i", B("SELECT count(*) AS rows, count(*) AS same FROM bookings"))
 def model_roundtrip(s, d):
     folder, model = scratch_path(s, "models"), _pipeline(s, d)
     ST.save_models({"Decision Tree": model}, folder)
@@ -377,19 +408,24 @@ def model_roundtrip(s, d):
     return a.join(b, "booking_id").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("p") == F.col("q")).alias("same"))
 
 
-@query("score_stream", "booking_id:i prediction:i probability_canceled:d label:s violations:s")
-def score_stream(s, d):
-    """Bookings as JSON lines, some of them broken: scored rows and quarantined rows together."""
+def _stream(s, d):
+    """Bookings as JSON lines, some with a broken week or lead time; folders of the scored and the held rows."""
     rows = bookings(s, d).select("booking_id", *S.FEATURES)
-    rows = rows.withColumns({c: F.coalesce(c, F.lit("Desconocido")) for c in ("country", "agent")} | {"company": F.coalesce("company", F.lit("no_company")), "children": F.coalesce("children", F.lit(0.0))})
-    rows = rows.withColumn("arrival_date_week_number", F.when(F.col("lead_time") % 37 == 0, 99).otherwise(F.col("arrival_date_week_number")))
+    rows = rows.withColumns({c: F.coalesce(c, F.lit("Desconocido")) for c in ("country", "agent")} | {"company": F.coalesce("company", F.lit("no_company"))})
+    rows = rows.withColumns({
+        "arrival_date_week_number": F.when(F.col("lead_time") % 37 == 0, 99).otherwise(F.col("arrival_date_week_number")),
+        "lead_time": F.when(F.col("lead_time") % 41 == 0, -5).otherwise(F.col("lead_time"))})
     source, out, bad, mark = (scratch_path(s, n) for n in ("stream_in", "stream_out", "stream_bad", "stream_mark"))
     rows.write.json(source)
     STREAM.score_stream(STREAM.booking_stream(s, source), _pipeline(s, d), out, bad, mark).awaitTermination()
-    scored = s.read.parquet(out).select("booking_id", "prediction", "probability_canceled", "label", F.lit("").alias("violations"))
-    held = s.read.parquet(bad).select("booking_id", F.lit(None).cast("int").alias("prediction"), F.lit(None).cast("double").alias("probability_canceled"), F.lit(None).cast("string").alias("label"), F.concat_ws(",", "violations").alias("violations"))
-    return scored.unionByName(held)
+    return out, bad
 
 
+query("score_stream", "booking_id:i prediction:i probability_canceled:d label:s")(lambda s, d: s.read.parquet(_stream(s, d)[0]))
+_BAD_CODES = "concat_ws(',', CASE WHEN children IS NULL THEN 'missing:children' END, CASE WHEN lead_time % 41 = 0 THEN 'range:lead_time' END, CASE WHEN lead_time % 37 = 0 THEN 'range:arrival_date_week_number' END)"
+query("stream_quarantine", "booking_id:i violations:s", B(f"SELECT booking_id, {_BAD_CODES} AS violations FROM bookings WHERE {_BAD_CODES} <> ''"))(
+    lambda s, d: s.read.parquet(_stream(s, d)[1]).select("booking_id", F.concat_ws(",", "violations").alias("violations")))
+query("stream_scored_keys", "booking_id:i known_label:b", B(f"SELECT booking_id, true AS known_label FROM bookings WHERE {_BAD_CODES} = ''"))(
+    lambda s, d: s.read.parquet(_stream(s, d)[0]).select("booking_id", F.col("label").isin(S.CLASS_LABELS).alias("known_label")))
 query("train_job", _METRIC_SPEC)(
     lambda s, d: JB.train_job(bookings(s, d), scratch_path(s, "job"), BUDGET, ["Logistic Regression", "Decision Tree"])["metrics"])

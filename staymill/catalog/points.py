@@ -14,7 +14,7 @@ _SPLIT = f"CASE WHEN {mix_sql('vec_id', 42)} < 429496729 THEN 'test' ELSE 'train
 _VEC = f"vec AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, {_SPLIT} AS split FROM embeddings)"
 _TOP = f"""WITH {_VEC}, near AS (SELECT q.vec_id, t.label, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.e, t.e), t.vec_id) AS r
 FROM vec q JOIN vec t ON q.split = 'test' AND t.split = 'train' QUALIFY r <= 5)"""
-EPS, MIN_SAMPLES = 7.5, 5
+EPS, MIN_SAMPLES = 1.15, 5
 
 
 def _sides(s, d):
@@ -35,7 +35,14 @@ SELECT vec_id, label, CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END A
 query("dbscan_core", "vec_id:i neighbours:i core:b", f"""WITH {_VEC}
 SELECT q.vec_id, count(*) AS neighbours, count(*) >= {MIN_SAMPLES} AS core FROM vec q JOIN vec t ON list_distance(q.e, t.e) <= {EPS} GROUP BY 1""")(
     lambda s, d: K.dbscan_core(table(s, d, "embeddings"), "vec_id", "embedding", EPS, MIN_SAMPLES))
-query("dbscan_labels", "vec_id:i label:i core:b")(lambda s, d: K.dbscan(table(s, d, "embeddings"), "vec_id", "embedding", EPS, MIN_SAMPLES))
+query("dbscan_labels", "vec_id:i label:i core:b", f"""WITH RECURSIVE {_VEC},
+links AS (SELECT q.vec_id AS a, t.vec_id AS b FROM vec q JOIN vec t ON list_distance(q.e, t.e) <= {EPS}),
+core AS (SELECT a FROM links GROUP BY a HAVING count(*) >= {MIN_SAMPLES}),
+edges AS (SELECT l.a, l.b FROM links l JOIN core x ON l.a = x.a JOIN core y ON l.b = y.a),
+reach(a, b) AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+lab AS (SELECT a, min(b) AS label FROM reach GROUP BY a),
+loose AS (SELECT l.a, min(lab.label) AS label FROM links l JOIN lab ON l.b = lab.a WHERE l.a NOT IN (SELECT a FROM core) GROUP BY l.a)
+SELECT v.vec_id, coalesce(lab.label, loose.label, -1) AS label, lab.a IS NOT NULL AS core FROM vec v LEFT JOIN lab ON v.vec_id = lab.a LEFT JOIN loose ON v.vec_id = loose.a""")(lambda s, d: K.dbscan(table(s, d, "embeddings"), "vec_id", "embedding", EPS, MIN_SAMPLES))
 
 
 def _scaled(s, d):

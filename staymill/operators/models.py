@@ -149,9 +149,17 @@ def learning_curve(model: Model, train: DataFrame, valid: DataFrame) -> DataFram
 # --- Regression -----------------------------------------------------------------
 
 
-def linear(df: DataFrame, ridge: float = 0.0, lasso: float = 0.0, n: int | None = None, max_iter: int = 200) -> Model:
-    """Least squares; ridge as penalty on the summed squares (divided by n), lasso on the mean."""
-    reg, mix = (lasso, 1.0) if lasso else ((ridge / (n or df.count())) if ridge else 0.0, 0.0)
+def linear(df: DataFrame, ridge: float = 0.0, lasso: float = 0.0, max_iter: int = 200) -> Model:
+    """Least squares; ridge as penalty on the summed squares, lasso on the mean.
+
+    Spark fits on a label of unit deviation and divides the penalty by that deviation once, which is
+    right for lasso; a ridge penalty in the label's own units therefore carries the deviation."""
+    reg, mix = lasso, 1.0
+    if not lasso:
+        reg, mix = 0.0, 0.0
+        if ridge:
+            n, spread = df.agg(F.count(LABEL), F.stddev_pop(LABEL)).first()
+            reg = ridge * (spread or 1.0) / n
     solver = "auto" if lasso else "normal"
     return LinearRegression(**_IO, regParam=reg, elasticNetParam=mix, standardization=False, solver=solver, maxIter=max_iter, tol=1e-9).fit(df)
 
