@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from staymill import schema as S
 from staymill.functions.hashing import mix_sql
+from staymill.functions.session import materialise
 from staymill.operators.clean import clean
 from staymill.operators.split import split_stratified
 from staymill.sources.bookings import bookings, bookings_cte
@@ -141,7 +142,8 @@ def frame_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frame_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_stratified(frame_cleaned(spark, sf_dir))
+    """The cleaned rows are written once, since the split counts them before it marks them."""
+    return split_stratified(materialise(frame_cleaned(spark, sf_dir), "cleaned"))
 
 
 # (multiplier, modulus, lift of the positives) of the formula scores

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from staymill.catalog.base import ABSENT_SQL, F, S, bookings, frame_cleaned, frame_split, mix_sql, query, table, with_frames
-from staymill.functions.session import materialise, scratch_path
+from staymill.functions.session import scratch_path
 from staymill.operators import encode as E
 from staymill.operators import features as FT
 from staymill.operators import split as SP
@@ -202,7 +202,7 @@ named AS ({" UNION ALL ".join(f"SELECT {i} AS block, '{c}' AS feature" for i, c
   UNION ALL {" UNION ALL ".join(f"SELECT DISTINCT {100 + i}, '{c}_' || coalesce({c}, 'Unknown') FROM reduced WHERE split = 'train'" for i, c in enumerate(S.CATEGORICAL))})
 SELECT row_number() OVER (ORDER BY block, feature) - 1 AS position, feature FROM named"""))
 def feature_names(s, d):
-    train = materialise(frame_split(s, d).where("split = 'train'"), "train")
+    train = frame_split(s, d).where("split = 'train'")
     out = E.preprocessor().fit(train).transform(train)
     return s.createDataFrame(list(enumerate(E.feature_names(out))), "position int, feature string")
 
@@ -222,7 +222,7 @@ def preprocess_transform(s, d):
     """Model matrix of all rows: vector width and the sum of the entries of each row."""
     from pyspark.ml.functions import vector_to_array
 
-    df = materialise(frame_split(s, d), "split")
+    df = frame_split(s, d)
     model = E.preprocessor().fit(df.where("split = 'train'"))
     arr = vector_to_array(E.FEATURES_COL)
     return E.transform_features(model, df, ["booking_id", "is_canceled"]).select(

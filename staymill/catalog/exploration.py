@@ -108,12 +108,7 @@ _RATE_COLUMNS = ["hotel", "deposit_type", "customer_type", "market_segment"]
 @query("rate_by", "variable:s value:s rate:d n:i", B(" UNION ALL ".join(
     f"SELECT '{c}' AS variable, {c} AS value, avg(is_canceled) AS rate, count(is_canceled) AS n FROM bookings WHERE {c} IS NOT NULL GROUP BY {c}" for c in _RATE_COLUMNS)))
 def rate_by(s, d):
-    df = bookings(s, d)
-    parts = [P.rate_by(df, c).select(F.lit(c).alias("variable"), "value", "rate", "n") for c in _RATE_COLUMNS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return P.rates_by(bookings(s, d), _RATE_COLUMNS)
 
 
 query("class_balance", "label:s n:i percent:e", B("""

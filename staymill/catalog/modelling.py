@@ -304,7 +304,7 @@ def degree_compare(s, d):
 
 @lru_cache(maxsize=4)
 def _shap(s, d):
-    return materialise(X.shap_values(_model(s, d, "Gradient Boosting"), SP.sample_n(_prepared(s, d)[4], S.SHAP_SAMPLE)), "shap")
+    return materialise(X.shap_values(_model(s, d, "Gradient Boosting"), X.shap_sample(_prepared(s, d)[4])), "shap")
 
 
 query("shap_global", "feature:s mean_abs:d")(lambda s, d: X.shap_global(_shap(s, d), _names(s, d)))

@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 WS = r"\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 URL = rf"http[^{WS}]+"
 MENTION = r"@[\p{L}\p{N}_]+"
-NOT_KEPT = rf"[^a-záéíóúñü{WS}]"
+NOT_KEPT = rf"[^a-záéíóúñü{WS}]+"
 BLANKS = rf"[{WS}]+"
+BLANK_CHARS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 # ------------------------------------------------------------------------------
 
 
 def strip(c: Column) -> Column:
     """Remove white space at both ends, Unicode kinds included."""
-    return F.regexp_replace(c, rf"^[{WS}]+|[{WS}]+$", "")
+    return F.trim(c, F.lit(BLANK_CHARS))
 
 
 def clean_text(c: Column) -> Column:

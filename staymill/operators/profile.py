@@ -23,6 +23,16 @@ def rate_by(df: DataFrame, column: str, target: str = S.TARGET) -> DataFrame:
     )
 
 
+def rates_by(df: DataFrame, columns: Sequence[str], target: str = S.TARGET) -> DataFrame:
+    """`rate_by` for several columns from one pass over the rows."""
+    pairs = [F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value")) for c in columns]
+    return (
+        df.select(F.col(target).alias("y"), F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+        .groupBy("variable", "value").agg(F.avg("y").alias("rate"), F.count("y").alias("n"))
+        .orderBy("variable", F.desc("rate"), "value")
+    )
+
+
 def class_balance(df: DataFrame, target: str = S.TARGET) -> DataFrame:
     counts = df.where(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("n"))
     label = F.coalesce(F.try_element_at(F.array(*map(F.lit, S.CLASS_LABELS)), F.col(target).cast("int") + 1), F.col(target).cast("string"))
@@ -195,8 +205,9 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     One pass forms all cross products; a pair without variance gives null."""
     columns = list(columns)
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in columns]).first()
-    sums = pair_sums(df, columns, [means[c] or 0.0 for c in columns])
+    # Any value of the column is a good enough origin to keep the sums of squares small.
+    origin = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).first()
+    sums = pair_sums(df, columns, [origin[c] or 0.0 if origin else 0.0 for c in columns])
     # sxx of (j, i) is the sum of x_j^2 where both are present.
     other = sums.select(F.col("i").alias("_j"), F.col("j").alias("_i"), F.col("sx").alias("sy"), F.col("sxx").alias("syy"))
     both = sums.join(other, (F.col("i") == F.col("_i")) & (F.col("j") == F.col("_j")))
