@@ -76,7 +76,7 @@ def fit_linear_svm(s, d):
 def fit_logreg_multiclass(s, d):
     """Three classes: the first three labels of the embeddings."""
     df = SP.split_random(table(s, d, "embeddings").withColumn("y", F.col("label") % 3), key="vec_id")
-    prep = PR.scaled_vectors(df, "embedding", out=E.FEATURES_COL).drop("label").withColumn("label", F.col("y").cast("double")).persist()
+    prep = materialise(PR.scaled_vectors(df, "embedding", out=E.FEATURES_COL).drop("label").withColumn("label", F.col("y").cast("double")))
     train = prep.where("split = 'train'")
     scored = M.logistic(train.count()).fit(train).transform(prep.where("split = 'test'"))
     return MT.classification_report(scored.select("y", F.col("prediction").cast("int").alias("pred")))
@@ -289,7 +289,7 @@ def degree_compare(s, d):
     from pyspark.ml.feature import PolynomialExpansion
 
     df = table(s, d, "lineitem").withColumns({"x": F.col("l_quantity") / 50, "y": F.col("l_extendedprice") / 1000, "id": F.col("l_orderkey")})
-    df = SP.split_random(M.assemble(df, ["x"], "y", "id"), key="id").persist()
+    df = materialise(SP.split_random(M.assemble(df, ["x"], "y", "id"), key="id"))
     out = None
     for degree in (1, 2, 15):
         grown = PolynomialExpansion(degree=degree, inputCol=E.FEATURES_COL, outputCol="poly").transform(df).drop(E.FEATURES_COL).withColumnRenamed("poly", E.FEATURES_COL)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 
 from staymill.catalog.base import F, mix_sql, query, table
+from staymill.functions.session import materialise
 from staymill.operators import cluster as K
 from staymill.operators import neighbours as N
 from staymill.operators import project as PR
@@ -46,24 +47,24 @@ SELECT v.vec_id, coalesce(lab.label, loose.label, -1) AS label, lab.a IS NOT NUL
 
 
 def _scaled(s, d):
-    return PR.scaled_vectors(table(s, d, "embeddings"), "embedding")
+    return materialise(PR.scaled_vectors(table(s, d, "embeddings"), "embedding"), "scaled")
 
 
 @query("kmeans", "vec_id:i cluster:i")
 def kmeans(s, d):
-    df = _scaled(s, d).persist()
+    df = _scaled(s, d)
     return K.fit_kmeans(df, 3, "scaled").transform(df)
 
 
 @query("elbow", "k:i inertia:d")
 def elbow(s, d):
-    return K.elbow(_scaled(s, d).persist(), "scaled")
+    return K.elbow(_scaled(s, d), "scaled")
 
 
 @query("silhouette_by_k", "k:i silhouette:d")
 def silhouette_by_k(s, d):
     """Mean Euclidean silhouette of the k-means clusters for k = 2..10; all distances are formed once."""
-    df = _scaled(s, d).persist()
+    df = _scaled(s, d)
     for k in range(2, 11):
         df = K.fit_kmeans(df, k, "scaled").transform(df).withColumnRenamed("cluster", f"k{k}")
     rows = K.silhouette_exact(df.withColumn("v", vector_to_array("scaled")), "vec_id", "v", [f"k{k}" for k in range(2, 11)])
@@ -72,9 +73,9 @@ def silhouette_by_k(s, d):
 
 @query("silhouette_fast", "silhouette:d")
 def silhouette_fast(s, d):
-    df = _scaled(s, d).persist()
+    df = _scaled(s, d)
     return s.createDataFrame([(float(K.silhouette_fast(df, "scaled", "label")),)], "silhouette double")
 
 
-query("pca", "component:i explained:d cumulative:d")(lambda s, d: (lambda df: PR.explained(PR.fit_pca(df, 64), s))(_scaled(s, d).persist()))
-query("pca_threshold", "components:i")(lambda s, d: (lambda df: PR.components_for(PR.explained(PR.fit_pca(df, 64), s)))(_scaled(s, d).persist()))
+query("pca", "component:i explained:d cumulative:d")(lambda s, d: (lambda df: PR.explained(PR.fit_pca(df, 64), s))(_scaled(s, d)))
+query("pca_threshold", "components:i")(lambda s, d: (lambda df: PR.components_for(PR.explained(PR.fit_pca(df, 64), s)))(_scaled(s, d)))

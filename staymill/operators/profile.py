@@ -169,15 +169,14 @@ def form_options(df: DataFrame) -> DataFrame:
     counts = _long(df, S.CATEGORICAL, "string").where(F.col("value").isNotNull()).groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
     month = F.array_position(F.array(*map(F.lit, S.MONTHS)), F.col("value"))
     is_month = F.col("variable") == "arrival_date_month"
-    rank_key = F.when(F.col("variable").isin(S.RARE_COLUMNS), -F.col("n")).when(is_month, month).otherwise(F.lit(0))
-    ranked = counts.where(~is_month | (month > 0)).withColumn(
-        "position", F.row_number().over(Window.partitionBy("variable").orderBy(rank_key, "value"))
-    )
+    by_name = Window.partitionBy("variable").orderBy(F.when(is_month, month).otherwise(0), "value")
+    short = counts.where(F.col("variable").isin(plain) & (~is_month | (month > 0))).withColumn("position", F.row_number().over(by_name))
+    # Identifiers may have very many values: the fixed rank limit is applied inside the tasks before the shuffle.
     caps = {"country": S.TOP_COUNTRIES, "agent": S.TOP_AGENTS, "company": S.TOP_COMPANIES}
-    keep = F.col("variable").isin(plain)
-    for c, k in caps.items():
-        keep = keep | ((F.col("variable") == c) & (F.col("position") <= k))
-    listed = ranked.where(keep).select(F.col("variable").alias("field"), "position", "value")
+    by_count = Window.partitionBy("variable").orderBy(F.desc("n"), "value")
+    top = counts.where(F.col("variable").isin(list(caps))).withColumn("position", F.row_number().over(by_count)).where(F.col("position") <= max(caps.values()))
+    cap = F.create_map(*[F.lit(x) for pair in caps.items() for x in pair])[F.col("variable")]
+    listed = short.unionByName(top.where(F.col("position") <= cap)).select(F.col("variable").alias("field"), "position", "value")
     shifted = listed.withColumn("position", F.col("position") + F.when(F.col("field") == "company", 1).otherwise(0))
     n_agents = F.count_if(F.col("field") == "agent")
     extra = listed.agg(n_agents.alias("n")).select(F.inline(F.array(

@@ -8,6 +8,7 @@ resolved inside a bucket."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from staymill.functions.hashing import mix
 
 HASH_BITS = 15  # low bits of the 31-bit order hash; the upper 16 are the bucket
-EXACT_ROWS = 1_000_000  # rows that one exact percentile aggregate may hold
+EXACT_ROWS = 200_000  # values that one exact percentile aggregate may hold
 
 
 def _bounds(df: DataFrame, col: str, buckets: int) -> list[float]:
@@ -88,69 +89,93 @@ def _with_offsets(df: DataFrame, offsets: DataFrame, groups: Sequence[str]) -> D
     return df.join(renamed, cond).drop(*[f"_g_{g}" for g in groups])
 
 
+@dataclass
+class _Target:
+    """One wanted quantile: its 0-based position and the value bracket that is known to hold it."""
+
+    col: str
+    pos: float
+    inside: int
+    below: int = 0
+    low: float | None = None
+    high: float | None = None
+    bisect: bool = False
+    value: float | None = None
+
+    def here(self) -> Column:
+        v = F.col(self.col).cast("double")
+        return v if self.low is None else F.when(v.between(self.low, self.high), v)
+
+    def narrow(self, a: float, b: float, less: int, upto: int) -> None:
+        """Take the bracket [a, b] if it holds both neighbouring order statistics and is smaller."""
+        first, last = int(self.pos) - self.below, -int(-self.pos // 1) - self.below
+        holds, smaller = less <= first and last < upto, upto - less < self.inside
+        if not holds or (not smaller and a != b):
+            self.bisect = True
+            return
+        self.low, self.high, self.below, self.inside = a, b, self.below + less, upto - less
+        if a == b:
+            self.value = a
+
+
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], exact_rows: int = EXACT_ROWS
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles, exact at any size.
 
-    Up to `exact_rows` values the exact aggregate runs directly. Above, each order statistic
-    is bracketed by a sketch and the bracket is narrowed by further passes until the rows inside
-    it fit; nothing is sampled and the answer is the same."""
-    cols, probs = list(cols), list(probs)
+    Up to `exact_rows` values the exact aggregate runs directly. Above, every wanted position is
+    bracketed by a sketch, and rounds of two passes (sketch, count) narrow all brackets together until
+    the rows inside each fit. Nothing is sampled and the answer is the same."""
+    cols, probs = list(dict.fromkeys(cols)), list(probs)
     counts = df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
-    small = [c for c in cols if counts[c] <= exact_rows]
-    out: dict[str, list[float | None]] = {}
-    if small:
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), probs).alias(c) for c in small]).first()
-        out.update({c: [None] * len(probs) if row[c] is None else list(row[c]) for c in small})
-    for c in cols:
-        if c in small:
-            continue
-        n = counts[c]
-        values = df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
-        out[c] = []
-        for p in probs:
-            pos = p * (n - 1)
-            low = int(pos)
-            a = _order_statistic(values, low, n, exact_rows)
-            b = a if low == pos else _order_statistic(values, low + 1, n, exact_rows)
-            out[c].append(a + (b - a) * (pos - low))
-    return out
-
-
-def _order_statistic(values: DataFrame, index: int, n: int, exact_rows: int) -> float:
-    """The value at 0-based `index` in ascending order."""
-    low, high, below, inside = None, None, 0, n
-    while inside > exact_rows:
-        target = (index - below) / inside
-        part = values if low is None else values.where(F.col("v").between(low, high))
-        eps = 0.001
-        a, b = part.agg(
-            F.percentile_approx("v", [max(0.0, target - eps), min(1.0, target + eps)], 100_000).alias("q")
-        ).first()["q"]
-        less, upto = part.agg(F.count_if(F.col("v") < a), F.count_if(F.col("v") <= b)).first()
-        if not less <= index - below < upto:  # sketch error wider than eps: widen to the safe side
-            a, b = (a, high) if less <= index - below else (low, a)
-            edge = part.agg(F.min("v"), F.max("v")).first()
-            a, b = edge[0] if a is None else a, edge[1] if b is None else b
-            less, upto = part.agg(F.count_if(F.col("v") < a), F.count_if(F.col("v") <= b)).first()
-        if a == b:
-            return a
-        if upto - less >= inside:  # no progress by sketch: halve the value range
-            mid = a + (b - a) / 2
-            upto_mid = part.agg(F.count_if(F.col("v") <= mid)).first()[0]
-            if index - below < upto_mid:
-                a, b, less, upto = a, mid, 0, upto_mid
-            else:
-                a = part.where(F.col("v") > mid).agg(F.min("v")).first()[0]
-                less, upto = upto_mid, inside
-        low, high, below, inside = a, b, below + less, upto - less
-    part = values if low is None else values.where(F.col("v").between(low, high))
-    # At most `exact_rows` values are left; equal ones are merged first.
-    counted = part.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return counted.withColumn("upto", upto).where(F.col("upto") > index - below).agg(F.min("v")).first()[0]
-
-
-def quantile_columns(values: dict[str, list], col: str) -> list[Column]:
-    return [F.lit(v).cast("double") for v in values[col]]
+    targets = {(c, i): _Target(c, p * (counts[c] - 1), counts[c]) for c in cols for i, p in enumerate(probs) if counts[c]}
+    while wide := [t for t in targets.values() if t.value is None and t.inside > exact_rows]:
+        _sketch_round(df, [t for t in wide if not t.bisect])
+        _bisect_round(df, [t for t in wide if t.bisect])
+    open_ = [t for t in targets.values() if t.value is None]
+    if open_:
+        at = [F.percentile(t.here(), (t.pos - t.below) / (t.inside - 1) if t.inside > 1 else 0.0) for t in open_]
+        for t, value in zip(open_, df.agg(*[x.alias(f"q{i}") for i, x in enumerate(at)]).first()):
+            t.value = value
+    return {c: [targets[c, i].value if (c, i) in targets else None for i in range(len(probs))] for c in cols}
+
+
+def _sketch_round(df: DataFrame, targets: list[_Target], eps: float = 0.001) -> None:
+    if not targets:
+        return
+    ask = []
+    for i, t in enumerate(targets):
+        p = (t.pos - t.below) / t.inside
+        ask.append(F.percentile_approx(t.here(), [max(0.0, p - eps), min(1.0, p + eps)], 10_000).alias(f"q{i}"))
+    edges = df.agg(*ask).first()
+    ask = []
+    for i, t in enumerate(targets):
+        ask += [F.count_if(t.here() < edges[i][0]).alias(f"a{i}"), F.count_if(t.here() <= edges[i][1]).alias(f"b{i}")]
+    got = df.agg(*ask).first()
+    for i, t in enumerate(targets):
+        t.narrow(*edges[i], got[2 * i], got[2 * i + 1])
+
+
+def _bisect_round(df: DataFrame, targets: list[_Target]) -> None:
+    """Halve the value range where a sketch brings nothing."""
+    if not targets:
+        return
+    ends = df.agg(*[f(t.here()).alias(f"{n}{i}") for i, t in enumerate(targets) for n, f in (("a", F.min), ("z", F.max))]).first()
+    mids = [ends[2 * i] + (ends[2 * i + 1] - ends[2 * i]) / 2 for i in range(len(targets))]
+    ask = []
+    for i, t in enumerate(targets):
+        v = t.here()
+        ask += [F.count_if(v <= mids[i]).alias(f"n{i}"), F.max(F.when(v <= mids[i], v)).alias(f"l{i}"), F.min(F.when(v > mids[i], v)).alias(f"h{i}")]
+    got = df.agg(*ask).first()
+    for i, t in enumerate(targets):
+        n, left, right = got[3 * i], got[3 * i + 1], got[3 * i + 2]
+        first, last = int(t.pos) - t.below, -int(-t.pos // 1) - t.below
+        t.bisect = False
+        if last < n:
+            t.low, t.high, t.inside = ends[2 * i], left, n
+        elif first >= n:
+            t.low, t.high, t.below, t.inside = right, ends[2 * i + 1], t.below + n, t.inside - n
+        else:  # the two order statistics lie on either side of the middle
+            t.value = left + (right - left) * (t.pos - int(t.pos))
+        if t.value is None and t.low == t.high:
+            t.value = t.low

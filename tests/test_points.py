@@ -12,7 +12,7 @@ def cloud(spark):
     """Blobs, scattered rows, and a third of all rows in one place."""
     rng = np.random.default_rng(1)
     x = np.vstack([rng.normal(c, 0.3, (60, 3)) for c in (0, 3, 6)] + [rng.uniform(-4, 10, (30, 3)), np.tile([[3.0, 3.0, 3.0]], (110, 1))])
-    pdf = pd.DataFrame({"k": np.arange(len(x)), "v": list(x), "y": np.arange(len(x)) % 4})
+    pdf = pd.DataFrame({"k": np.arange(len(x)), "v": x.tolist(), "y": np.arange(len(x)) % 4})
     return spark.createDataFrame(pdf), x
 
 
@@ -91,7 +91,7 @@ def test_pls_equals_row_wise_nipals(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(200, 6)) @ rng.normal(size=(6, 6)) + 4
     y = (x[:, 0] + rng.normal(size=200) > 4).astype(float)
-    df = spark.createDataFrame(pd.DataFrame({"v": list(x), "y": y}))
+    df = spark.createDataFrame(pd.DataFrame({"v": x.tolist(), "y": y}))
     pls = PR.fit_pls(df, "v", "y")
     e, f = (x - x.mean(0)) / x.std(0, ddof=1), (y - y.mean()) / y.std(ddof=1)
     for i, c in enumerate(("c1", "c2")):
