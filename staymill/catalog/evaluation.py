@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from staymill.catalog.base import F, S, bookings, frame_cleaned, frame_scores, query, table, with_frames
-from staymill.functions.session import materialise, scratch_path
+from staymill.functions.session import scratch_path
 from staymill.operators import metrics as M
 from staymill.operators import profile as P
 from staymill.operators import registry as R
@@ -85,6 +85,9 @@ SELECT position, CASE WHEN position = n THEN pow(0.5, 1.0 / n) WHEN position = 1
   ELSE (CAST(position AS DOUBLE) - CAST(0.3175 AS DOUBLE)) / (n + CAST(0.365 AS DOUBLE)) END AS prob, value FROM o""")(
     lambda s, d: M.qq_points(M.residuals(_lines(s, d)).withColumn("line", F.struct("l_orderkey", "l_linenumber", "l_partkey")), "line"))
 
+query("qq_line", "slope:d intercept:d r:d")(
+    lambda s, d: M.qq_line(M.qq_points(M.residuals(_lines(s, d)).withColumn("line", F.struct("l_orderkey", "l_linenumber", "l_partkey")), "line")))
+
 # --- Scoring -----------------------------------------------------------------------------
 
 _FINE = "CAST((booking_id * 40503) % 99991 AS DOUBLE) / 99991"

@@ -66,6 +66,9 @@ SELECT booking_id, CAST(lead_time AS DOUBLE) AS lead_time, CAST(trunc(adr) AS IN
     lambda s, d: C.cast_columns(
         bookings(s, d).withColumn("parked", F.col("required_car_parking_spaces") > 0),
         {"lead_time": "double", "adr": "int", "is_canceled": "string", "parked": "int"}))
+_NUMBERS = " ".join(x for x in (RAW_SPEC + EXTRA_SPEC).split() if x[-1] in "id")
+query("select_kinds", _NUMBERS, B("SELECT " + ", ".join(x.split(":")[0] for x in _NUMBERS.split()) + " FROM bookings"))(
+    lambda s, d: C.select_kinds(bookings(s, d), "number"))
 query("replace_values", "booking_id:i meal:s deposit_type:s", B("""
 SELECT booking_id, CASE meal WHEN 'SC' THEN 'Self catering' WHEN 'BB' THEN 'Breakfast' ELSE meal END AS meal, deposit_type FROM bookings"""))(
     lambda s, d: C.replace_values(bookings(s, d), {"SC": "Self catering", "BB": "Breakfast"}, ["meal"]))

@@ -97,6 +97,22 @@ def test_linear_equals_numpy(spark):
     assert np.allclose(M.linear(df, ridge=10.0).coefficients, np.linalg.solve(xc.T @ xc + 10 * np.eye(3), xc.T @ yc), atol=1e-5)
 
 
+@pytest.mark.parametrize("C", [0.01, 1.0])
+def test_logistic_regularisation(spark, C):
+    """Newton steps on half the squared weights plus C times the summed loss."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(200, 2)) * [1.0, 3.0]
+    y = (x[:, 0] + rng.normal(size=200) > 0.3).astype(float)
+    a, w = np.c_[x, np.ones(200)], np.zeros(3)
+    keep = np.diag([1.0, 1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-a @ w))
+        w = w - np.linalg.solve(keep + C * (a.T * (p * (1 - p))) @ a, keep @ w + C * a.T @ (p - y))
+    df = M.assemble(spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, y double"), ["a", "b"], "y")
+    m = M.logistic(200, C).setTol(1e-10).fit(df)
+    assert np.allclose([*m.coefficients, m.intercept], w, atol=1e-4)
+
+
 def test_job_stream_and_batch_agree(ready, spark, small, tmp_path):
     raw = bookings(spark, small)
     job = JB.train_job(raw, str(tmp_path / "job"), names=["Decision Tree"])
