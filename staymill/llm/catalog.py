@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staymill.llm import decontaminate
 from staymill.llm.topk import top_k
+from staymill.llm.wavelet import read_documents, token_shards
+
+#: Folder-independent name of the tokenizer; its file is looked up where the vocabularies are installed.
+TOKENIZER = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +49,40 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 )
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+@_register(
+    "op6_decontaminate",
+    r"""
+WITH fold AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS up, 'abcdefghijklmnopqrstuvwxyz' AS low),
+d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), up, low), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents, fold),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), up, low), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark, fold),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, 2 + greatest(len(w) - 10, 0))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n),
+grams AS (SELECT row, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM places),
+found AS (SELECT row, i, g.n, item_id FROM grams g JOIN windows USING (n, phrase)),
+marked AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS p FROM found) GROUP BY 1),
+named AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN marked USING (row) LEFT JOIN named USING (row)
+""",
+)
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontaminate.build_index(read(spark, sf_dir, "documents"))
+    found = decontaminate.match(index, read(spark, sf_dir, "benchmark"), window=10)
+    return decontaminate.digest(found).drop("n_near_items")
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@_register("op10_token_ids")
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_documents(token_shards(read(spark, sf_dir, "documents"), tokenizer_path()))
