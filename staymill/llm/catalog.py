@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staymill.llm import decontaminate
+from staymill.llm import decontaminate, lm
+from staymill.llm.jaccard import similar_groups
 from staymill.llm.topk import top_k
 from staymill.llm.wavelet import read_documents, token_shards
 
@@ -77,6 +78,21 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found).drop("n_near_items")
 
 
+def id_remainder(modulus: int):
+    """crc32 of doc_id as text; a missing id counts as ''."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
+
+
+@_register("op7_lm_score")
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read(spark, sf_dir, "documents"), held_out=id_remainder(5) == 1)
+
+
+@_register("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(read(spark, sf_dir, "documents"), n=4, num=85, den=100)
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
