@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staymill.llm import decontaminate, lm
+from staymill.llm import decontaminate, linededup, lm, mixture
 from staymill.llm.jaccard import similar_groups
 from staymill.llm.topk import top_k
 from staymill.llm.wavelet import read_documents, token_shards
@@ -52,6 +52,18 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+@_register("op5_line_dedup", linededup.SQL)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(read(spark, sf_dir, "documents"))
+
+
+@_register("op8_mixture", mixture.SQL)
+def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    mixed = mixture.replicate(docs, mixture.source_rates(docs))
+    return mixed.select("doc_id", "source", "text", F.round("rate", 9).alias("rate"), "copy", "shuffle_key")
+
+
 @_register(
     "op6_decontaminate",
     r"""
