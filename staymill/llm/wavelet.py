@@ -14,10 +14,11 @@ doc_id follow each other in the order of a hash of their text; an empty table gi
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staymill.functions.session import scratch_path
+from staymill.llm.words import chunks, hash_spans, text_buffer
 
 SHARD_TOKENS = 1 << 20
-CACHE_UNITS = 500_000
+CACHE_UNITS = 2_000_000  # about 100 MB in a worker
 END = 0
 _MAGIC = b"WAVELET1"
 _RANK_BITS = 512
@@ -52,9 +54,9 @@ class WaveletMatrix:
             bit = (ids & ids.dtype.type(1 << (levels - 1 - level))) != 0
             packed = np.packbits(bit, bitorder="little")
             planes[level, : len(packed)] = packed
-            low = ids[~bit]
+            low = np.compress(~bit, ids)
             zeros[level] = len(low)
-            ids = np.concatenate([low, ids[bit]])
+            ids = np.concatenate([low, np.compress(bit, ids)])
         planes = planes.view(np.uint64)
         ones = np.bitwise_count(planes).reshape(levels, -1, _RANK_BITS // 64).sum(axis=2, dtype=np.int64)
         ranks = np.zeros((levels, ones.shape[1] + 1), np.int64)
@@ -141,44 +143,103 @@ class WaveletMatrix:
         for level in reversed(range(levels)):
             bit = np.unpackbits(self.planes[level].view(np.uint8), count=self.n, bitorder="little").view(bool)
             before, z = np.empty_like(ids), int(self.zeros[level])
-            before[~bit] = ids[:z]
-            before[bit] = ids[z:]
+            before[np.flatnonzero(~bit)] = ids[:z]
+            before[np.flatnonzero(bit)] = ids[z:]
             ids = before | (bit.astype(ids.dtype) << ids.dtype.type(levels - 1 - level))
         return ids
 
 
-# White space besides blank and line feed; a text that holds any is encoded in one piece.
-_ODD = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"] + ["᠎"]
-# The tokenizer always cuts between another character and a blank or line feed, so these units can be encoded alone.
-_UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+def _bytes(*ranges: tuple[int, int]) -> np.ndarray:
+    table = np.zeros(256, bool)
+    for low, high in ranges:
+        table[low : high + 1] = True
+    return table
+
+
+_BLANK = _bytes((0x20, 0x20), (0x0A, 0x0A))
+_PUNCT = _bytes((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
+_PLAIN = _bytes((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
+_ODD = _bytes((0x09, 0x09), (0x0B, 0x0D), (0x1C, 0x1F))
+# White space beyond ASCII, as UTF-8.
+_WIDE = {2: [0xC285, 0xC2A0], 3: [0xE19A80, 0xE1A08E, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080]}
 
 
 class Encoder:
-    """Encodes texts unit by unit; units already met are looked up. The cache is emptied when it is full."""
+    """Encodes many texts at once. The tokenizer always cuts between another character and a blank or line feed, and
+    between a letter or digit and punctuation, so texts are cut there into units; each distinct unit is encoded once
+    and kept, by its 64-bit hash, until the cache is full and emptied. Texts with other white space or with special tokens
+    are encoded in one piece."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian bytes."""
-        units = [None if any(c in t for c in _ODD) or any(s in t for s in self.special) else _UNIT.findall(t) for t in texts]
-        fresh = list(set().union(*(u for u in units if u)).difference(self.cache))
-        if len(self.cache) + len(fresh) > CACHE_UNITS:
-            self.cache.clear()
-            fresh = list(set().union(*(u for u in units if u)))
-        self.cache.update(zip(fresh, self._encode(fresh)))
-        get = self.cache.__getitem__
-        return [self._encode([t])[0] if u is None else b"".join(map(get, u)) for t, u in zip(texts, units)]
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.first, self.flat = np.zeros(1, np.int64), np.zeros(0, self.dtype)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _slots(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Where the ids of each unit are kept."""
+        keys, one, inverse = np.unique(hash_spans(data, start, end, fold=False), return_index=True, return_inverse=True)
+        if len(self.keys) > CACHE_UNITS:
+            self._clear()
+        at = np.searchsorted(self.keys, keys)
+        fresh = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] != keys) if len(self.keys) else np.arange(len(keys))
+        if len(fresh):
+            got = self._encode([data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(start[one[fresh]].tolist(), end[one[fresh]].tolist())])
+            new = np.arange(len(fresh)) + len(self.first) - 1
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(g) for g in got])])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), self.dtype)])
+            self.keys, self.slots = np.insert(self.keys, at[fresh], keys[fresh]), np.insert(self.slots, at[fresh], new)
+            at = np.searchsorted(self.keys, keys)
+        return self.slots[at][inverse]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of the texts data[offsets[t]:offsets[t + 1]]."""
+        n = len(data)
+        if n == 0:
+            return [self.flat[:0]] * (len(offsets) - 1)
+        before = np.zeros(n, np.uint8)
+        before[1:] = data[:-1]
+        two = np.zeros(n, np.uint8)
+        two[2:] = data[:-2]
+        latin = (two == 0xC3) & (before != 0x97) & (before != 0xB7)  # the letters from À to ÿ
+        cut = (_BLANK[data] & ~_BLANK[before]) | (_PUNCT[data] & (_PLAIN[before] | latin))
+        cut[offsets[:-1][offsets[:-1] < n]] = True
+        start = np.flatnonzero(cut)
+        slot = self._slots(data, start, np.append(start[1:], n))
+        size = self.first[slot + 1] - self.first[slot]
+        stop = np.cumsum(size)
+        ids = self.flat[np.repeat(self.first[slot] - (stop - size), size) + np.arange(stop[-1])]
+        edge = np.append(0, stop)[np.searchsorted(start, offsets)]
+        out = np.split(ids, edge[1:-1])
+        for t in self._whole(data, offsets):
+            out[t] = np.array(self._encode([data[offsets[t] : offsets[t + 1]].tobytes().decode("utf-8", "replace")])[0], self.dtype)
+        return out
+
+    def _whole(self, data: np.ndarray, offsets: np.ndarray) -> list[int]:
+        places = [np.flatnonzero(_ODD[data])]
+        for width, codes in _WIDE.items():
+            lead = np.flatnonzero(np.isin(data[: len(data) - width + 1], sorted({c >> 8 * (width - 1) for c in codes})))
+            code = sum(data[lead + j].astype(np.int64) << 8 * (width - 1 - j) for j in range(width))
+            places.append(lead[np.isin(code, codes)])
+        raw = data.tobytes()
+        for special in self.special:
+            at = raw.find(special)
+            while at >= 0:
+                places.append(np.array([at]))
+                at = raw.find(special, at + 1)
+        return np.unique(np.searchsorted(offsets, np.concatenate(places), "right") - 1).tolist()
 
 
 @lru_cache(maxsize=2)
@@ -188,31 +249,28 @@ def encoder(path: str) -> Encoder:
 
 def _shards(batches: Iterator[pa.RecordBatch], path: str, shard_tokens: int) -> Iterator[pa.RecordBatch]:
     enc = encoder(path)
-    end = np.array([END], enc.dtype).tobytes()
-    ids: list[int] = []
-    known: list[bool] = []
-    raw: list[bytes] = []
-    held = seq = base = 0
+    end = np.array([END], enc.dtype)
+    docs: list[int | None] = []
+    held: list[np.ndarray] = []
+    n = seq = base = 0
 
     def image() -> pa.RecordBatch:
-        tokens = np.frombuffer(b"".join(raw), enc.dtype)
-        starts = np.concatenate([[0], np.cumsum([len(r) // enc.dtype.itemsize for r in raw])]).astype(np.int64)
-        blob = WaveletMatrix.build(tokens, np.array(ids, np.int64), np.array(known, bool), starts).to_bytes()
-        return pa.RecordBatch.from_pydict({"range": [TaskContext.get().partitionId()], "seq": [seq], "base": [base], "n": [len(tokens)], "image": [blob]})
-
-    for batch in batches:
-        rows = list(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()))
-        for k in range(0, len(rows), 256):
-            for (doc, _), got in zip(rows[k : k + 256], enc.encode([t or "" for _, t in rows[k : k + 256]])):
-                ids.append(doc or 0)
-                known.append(doc is not None)
-                raw.append(got + end)
-                held += len(raw[-1]) // enc.dtype.itemsize
-                if held >= shard_tokens:
-                    yield image()
-                    seq, base = seq + 1, base + held
-                    ids, known, raw, held = [], [], [], 0
-    if raw:
+        known = np.array([d is not None for d in docs], bool)
+        starts = np.concatenate([[0], np.cumsum([len(h) + 1 for h in held])]).astype(np.int64)
+        ids = np.concatenate([x for h in held for x in (h, end)])
+        blob = WaveletMatrix.build(ids, np.array([d or 0 for d in docs], np.int64), known, starts).to_bytes()
+        return pa.RecordBatch.from_pydict({"range": [TaskContext.get().partitionId()], "seq": [seq], "base": [base], "n": [len(ids)], "image": [blob]})
+
+    for chunk in chunks(batches):
+        for doc, ids in zip(chunk.column("doc_id").to_pylist(), enc.encode(*text_buffer(chunk.column("text")))):
+            docs.append(doc)
+            held.append(ids)
+            n += len(ids) + 1
+            if n >= shard_tokens:
+                yield image()
+                seq, base = seq + 1, base + n
+                docs, held, n = [], [], 0
+    if docs:
         yield image()
 
 

@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20  # text handled at once; bounds the memory of a task whatever the size of a batch
+CHUNK_BYTES = 1 << 20  # text handled at once; bounds the memory of a task whatever the size of a batch
 
 
 def _class(separators: list[int]) -> np.ndarray:
@@ -28,6 +28,7 @@ ALNUM = _class([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7
 
 _rng = np.random.default_rng(20240501)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
+_EXACT = _BYTE.copy()
 _BYTE[0x41:0x5B] = _BYTE[0x61:0x7B]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -60,6 +61,15 @@ class Words(NamedTuple):
     data: np.ndarray  # the bytes of all texts
 
 
+def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = True) -> np.ndarray:
+    """Hash of each span of bytes; with `fold`, A-Z count as a-z."""
+    n = len(data)
+    power, inverse = _powers(1 << max(20, int(n).bit_length()))
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum((_BYTE if fold else _EXACT)[data] * power[:n], out=total[1:])
+    return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+
+
 def split_words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words:
     """Words of the texts data[offsets[t]:offsets[t + 1]]."""
     n = len(data)
@@ -76,11 +86,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Wo
     before = edge[edge > 0] - 1
     last[before] = word[before]
     start, end = np.flatnonzero(fresh), np.flatnonzero(last) + 1
-    power, inverse = _powers(1 << max(20, int(n).bit_length()))
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[:n], out=total[1:])
-    h = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
-    return Words(h, start, end, np.searchsorted(start, offsets), data)
+    return Words(hash_spans(data, start, end), start, end, np.searchsorted(start, offsets), data)
 
 
 def hash_word(word: str, inside: np.ndarray = SPACED) -> int:
