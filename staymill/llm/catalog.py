@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staymill.llm import decontaminate, linededup, lm, mixture
+from staymill.llm import decontaminate, langid, linededup, lm, mixture, quality, toxicity
 from staymill.llm.jaccard import similar_groups
 from staymill.llm.topk import top_k
 from staymill.llm.wavelet import read_documents, token_shards
@@ -33,6 +33,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def id_remainder(modulus: int):
+    """crc32 of doc_id as text; a missing id counts as ''."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
+
+
 @_register(
     "op1_topk",
     """
@@ -52,6 +57,26 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+@_register("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), held_out=id_remainder(5) == 0)
+
+
+@_register("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 poor, 1 good but toxic, 2 good; a document is selected from grade 1 on."""
+    grade = F.when(F.col("quality") == 0, 0).otherwise(2 - F.coalesce("toxic", F.lit(0)))
+    ratings = read(spark, sf_dir, "labels").where("quality is not null").select("doc_id", grade.alias("grade"))
+    return quality.rate(read(spark, sf_dir, "documents"), ratings, held_out=id_remainder(5) == 0, at_least=1)
+
+
+@_register("op4_language")
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", id_remainder(4) == 2)
+    found = langid.identify(docs, learnable=~F.col("held_out"), keep=["doc_id", "held_out", "text"])
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 @_register("op5_line_dedup", linededup.SQL)
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(read(spark, sf_dir, "documents"))
@@ -90,11 +115,6 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found).drop("n_near_items")
 
 
-def id_remainder(modulus: int):
-    """crc32 of doc_id as text; a missing id counts as ''."""
-    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
-
-
 @_register("op7_lm_score")
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(read(spark, sf_dir, "documents"), held_out=id_remainder(5) == 1)
@@ -102,7 +122,7 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("op9_jaccard_join")
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_groups(read(spark, sf_dir, "documents"), n=4, num=85, den=100)
+    return similar_groups(read(spark, sf_dir, "documents"), n=4, num=85, den=100).select("doc_id", "n_shingles", "component_id")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:

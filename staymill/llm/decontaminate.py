@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staymill.functions.session import materialise
-from staymill.llm.words import ALNUM, chunks, runs, split_words, text_buffer
+from staymill.llm.words import ALNUM, chunks, find, runs, split_words, text_buffer
 
 TEST_BYTES = 8 << 20
 GAP = 64  # places left free between documents; the widest proximity match
@@ -76,14 +76,6 @@ class Phrases:
         self.flat = np.array([t for w in self.windows for t in w], np.uint64)
 
 
-def _lookup(sorted_keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each wanted key, or -1."""
-    if not len(sorted_keys):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(sorted_keys, wanted), len(sorted_keys) - 1)
-    return np.where(sorted_keys[at] == wanted, at, -1)
-
-
 def _near(lists: list[np.ndarray], span: int) -> np.ndarray:
     """First places of stretches of `span` places that hold a place of every list; the first list is the rarest."""
     places = lists[0]
@@ -108,7 +100,7 @@ def _search(batches: Iterator[pa.RecordBatch], part, near: int) -> Iterator[pa.R
             places = np.frombuffer(row["places"], np.uint32)
             docs = len(row["doc_id"])
             base = bounds[:-1] + GAP * np.arange(docs)  # place of each document's first word
-            at = _lookup(terms, phrases.flat)
+            at = find(terms, phrases.flat)
             missing = np.concatenate([[0], np.cumsum(at < 0)])
             whole = np.flatnonzero(missing[phrases.first[1:]] == missing[phrases.first[:-1]])
             hits: dict[int, list[np.ndarray]] = {}

@@ -207,7 +207,7 @@ def _rows(batches: Iterator[pa.RecordBatch], n: int, wanted) -> Iterator[pa.Reco
             sent.clear()
         sizes = np.array([len(s) for s in sets], np.int64)
         yield pa.RecordBatch.from_pydict({
-            "doc_id": chunk.column("doc_id"), "n_shingles": pa.array(sizes), "node": pa.array(nodes, mask=sizes == 0), "grams": pa.array(grams, pa.binary()),
+            "doc_id": chunk.column("doc_id"), "text_hash": chunk.column("text_hash"), "n_shingles": pa.array(sizes), "node": pa.array(nodes, mask=sizes == 0), "grams": pa.array(grams, pa.binary()),
         })
 
 
@@ -239,8 +239,10 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: links are den * |x and y| >= num * |x or y|."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """(doc_id, n_shingles, component_id, text_hash, label) of every row: links are den * |x and y| >= num * |x or y|.
+
+    `label` names the component even where ids repeat; it is null for texts without words."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     spark, bands = docs.sparkSession, Bands(num, den)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(12, size // 16 // PART_ENTRIES)  # about one signature for 20 bytes of text
@@ -252,7 +254,7 @@ def similar_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -
     groups = materialise(groups.where("n > 1").groupBy("a", "b", "n", "h").agg(F.min("sig").alias("sig")), "groups")
     large = materialise(members.join(groups.where("n > 2").select("sig", F.col("a").alias("rep")), "sig"), "large")
     wanted = spark.sparkContext.broadcast(_node_filter(members.select("node")))
-    rows = materialise(docs.mapInArrow(lambda it: _rows(it, n, wanted), "doc_id long, n_shingles long, node long, grams binary"), "rows")
+    rows = materialise(docs.mapInArrow(lambda it: _rows(it, n, wanted), "doc_id long, text_hash long, n_shingles long, node long, grams binary"), "rows")
     sets = rows.where(F.col("grams").isNotNull()).select("node", "grams").dropDuplicates(["node"])
     sets = materialise(sets.join(members.select("node").distinct(), "node", "left_semi"), "sets")
 
@@ -286,7 +288,8 @@ def similar_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -
     if not got.isEmpty():
         labels = connected_components(tested.where("linked").unionByName(got).select("a", "b"))
 
-    held = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    held = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "text_hash", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lowest = held.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    linked = held.join(lowest, "label").select("doc_id", "n_shingles", "component_id")
-    return linked.unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    linked = held.join(lowest, "label").select("doc_id", "n_shingles", "component_id", "text_hash", "label")
+    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash", F.lit(None).cast("long").alias("label"))
+    return linked.unionByName(alone)

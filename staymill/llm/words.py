@@ -126,3 +126,11 @@ def runs(sorted_keys: np.ndarray) -> np.ndarray:
     if not len(sorted_keys):
         return np.zeros(0, np.int64)
     return np.concatenate([[0], np.flatnonzero(sorted_keys[1:] != sorted_keys[:-1]) + 1])
+
+
+def find(sorted_keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Place of each wanted key, or -1."""
+    if not len(sorted_keys):
+        return np.full(len(wanted), -1, np.int64)
+    at = np.minimum(np.searchsorted(sorted_keys, wanted), len(sorted_keys) - 1)
+    return np.where(sorted_keys[at] == wanted, at, -1)
