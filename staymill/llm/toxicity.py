@@ -1,9 +1,10 @@
 """Toxicity by two class-conditional Kneser-Ney bigram models, one of toxic and one of ordinary texts.
 
-p(w|h) of a class interpolates its bigrams with its words, and those with backoff counts that both classes share: in how
-many (class, history) pairs a word was met. A rare expression thus weighs only as much as a class itself has seen of it.
-The log-likelihood ratio is normalised by length, over the whole text and over its most toxic stretches of
-`STRETCHES` words, since a few words can make a long text toxic. A logistic regression turns these ratios into a
+p(w|h) of a class interpolates its bigrams with its words, counted by the histories they were met after, and those with
+backoff counts that both classes share: in how many classes a word was met. A bigram met once in a class, which in a
+large vocabulary is mostly chance, is discounted whole, so that rare expressions are left to the backoff.
+The log-likelihood ratios of both orders are normalised by length, over the whole text and over its most toxic stretches
+of `STRETCHES` words, since a few words can make a long text toxic. A logistic regression turns these ratios into a
 probability; each text it is fitted on is rated by counts of the other folds.
 
 Bounds: both are fitted on at most `ROWS` texts and `BYTES` bytes per class, so the model is a few megabytes; scoring
@@ -30,6 +31,7 @@ from staymill.llm.words import ALNUM, chunks, find, mix, runs, split_words, text
 ROWS = 3000
 BYTES = 12 << 20
 STRETCHES = (1, 3, 10)
+FEATURES = 2 * (1 + len(STRETCHES))
 FOLDS = 4
 _BEGIN = np.uint64(0x5BE6A1C04D3F7712)
 
@@ -62,7 +64,9 @@ class Counts:
         wi, hi = np.searchsorted(self.words, w), np.searchsorted(self.words, h)
         triple, n = np.unique((hi * v + wi) * 2 + toxic, return_counts=True)
         ph, pw, pc = triple // (2 * v), triple // 2 % v, triple % 2
-        met = np.bincount(pw, minlength=v) + 0.5  # shared: (class, history) pairs of each word
+        met = np.zeros(v) + 0.5  # shared: classes of each word
+        for c in (0, 1):
+            met += np.bincount(pw[pc == c], minlength=v) > 0
         total = met.sum() + 0.5
         shared, self.unseen = met / total, 0.5 / total
         self.p, self.back = np.zeros((2, v)), np.ones((2, v))
@@ -70,16 +74,18 @@ class Counts:
         self.low_share = np.ones(2)
         for c in (0, 1):
             mine = pc == c
-            unigram = np.bincount(pw[mine], n[mine], minlength=v)
-            d = _discount(unigram)
-            size = max(unigram.sum(), 1.0)
-            self.low_share[c] = d * (unigram > 0).sum() / size if unigram.any() else 1.0
-            self.p[c] = np.maximum(unigram - d, 0) / size + self.low_share[c] * shared
+            after = np.bincount(pw[mine], minlength=v)  # histories of each word
+            d = _discount(after)
+            size = max(after.sum(), 1.0)
+            self.low_share[c] = d * (after > 0).sum() / size if after.any() else 1.0
+            self.p[c] = np.maximum(after - d, 0) / size + self.low_share[c] * shared
             history = np.bincount(ph[mine], n[mine], minlength=v)
-            kinds = np.bincount(ph[mine], minlength=v)
-            d = _discount(n[mine])
-            self.back[c] = np.where(history > 0, d * kinds / np.maximum(history, 1), 1.0)
-            add[c, mine] = (n[mine] - d) / history[ph[mine]]
+            off = np.where(n[mine] == 1, 1.0, _discount(n[mine]))
+            taken = np.bincount(ph[mine], off, minlength=v)
+            self.back[c] = np.where(history > 0, taken / np.maximum(history, 1), 1.0)
+            add[c, mine] = (n[mine] - off) / history[ph[mine]]
+        several = n > 1
+        ph, pw, add = ph[several], pw[several], add[:, several]
         key = _key(self.words[ph], self.words[pw])
         order = np.argsort(key)
         key, add = key[order], add[:, order]
@@ -87,31 +93,32 @@ class Counts:
         self.bigrams, self.add = key[first], np.add.reduceat(add, first, axis=1) if len(first) else add
         self.p, self.back, self.add = (x.astype(np.float32) for x in (self.p, self.back, self.add))
 
-    def ratios(self, w: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """log p_toxic(w|h) - log p_ordinary(w|h) of each token."""
+    def ratios(self, w: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log p_toxic - log p_ordinary of each token: by its word alone, and after its history."""
         kinds, inverse = np.unique(np.concatenate([w, h]), return_inverse=True)
         at = find(self.words, kinds)
-        low = np.where(at >= 0, self.p[:, at], self.low_share[:, None] * self.unseen)
-        back = np.where(at >= 0, self.back[:, at], 1.0)
+        low = np.where(at >= 0, self.p[:, at], self.low_share[:, None] * self.unseen)[:, inverse[: len(w)]]
+        back = np.where(at >= 0, self.back[:, at], 1.0)[:, inverse[len(w) :]]
         spot = find(self.bigrams, _key(h, w))
-        p = back[:, inverse[len(w) :]] * low[:, inverse[: len(w)]] + np.where(spot >= 0, self.add[:, spot] if self.add.shape[1] else 0, 0)
-        return np.log(p[1]) - np.log(p[0])
+        p = back * low + np.where(spot >= 0, self.add[:, spot] if self.add.shape[1] else 0, 0)
+        return np.log(low[1]) - np.log(low[0]), np.log(p[1]) - np.log(p[0])
 
     def features(self, column: pa.Array) -> np.ndarray:
-        """Per text: the mean ratio, and the highest mean ratio of a stretch, for each length of stretches."""
+        """Per text, for either order: the mean ratio, and the highest mean ratio of a stretch of each length."""
         w, h, bounds = _tokens(column)
-        out = np.zeros((len(bounds) - 1, 1 + len(STRETCHES)))
+        out = np.zeros((len(bounds) - 1, FEATURES))
         size = np.diff(bounds)
         full = size > 0
         if not len(w):
             return out
-        run = np.concatenate([[0], np.cumsum(self.ratios(w, h))])
-        out[:, 0] = (run[bounds[1:]] - run[bounds[:-1]]) / np.maximum(size, 1)
-        end = np.repeat(bounds[1:], size)
-        start = np.arange(len(w))
-        for k, width in enumerate(STRETCHES, 1):
-            stop = np.minimum(start + width, end)  # a stretch that reaches past the end counts as filled up with 0
-            out[full, k] = np.maximum.reduceat((run[stop] - run[start]) / width, bounds[:-1][full])
+        end, start = np.repeat(bounds[1:], size), np.arange(len(w))
+        for order, ratio in enumerate(self.ratios(w, h)):
+            first = order * (FEATURES // 2)
+            run = np.concatenate([[0], np.cumsum(ratio)])
+            out[:, first] = (run[bounds[1:]] - run[bounds[:-1]]) / np.maximum(size, 1)
+            for k, width in enumerate(STRETCHES, 1):
+                stop = np.minimum(start + width, end)  # a stretch that reaches past the end counts as filled up with 0
+                out[full, first + k] = np.maximum.reduceat((run[stop] - run[start]) / width, bounds[:-1][full])
         return out
 
 
@@ -152,7 +159,7 @@ def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
     w, h, bounds = _tokens(texts)
     size = np.diff(bounds)
     fold = np.concatenate([np.arange(int((y == c).sum())) for c in (0, 1)]) % FOLDS
-    x = np.zeros((len(y), 1 + len(STRETCHES)))
+    x = np.zeros((len(y), FEATURES))
     toxic, of = np.repeat(y, size), np.repeat(fold, size)
     for f in range(FOLDS):
         rest = of != f
