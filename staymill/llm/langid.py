@@ -3,7 +3,9 @@
 A text becomes a vector of its byte trigrams around letters, hashed into `BUCKETS` places, weighted by
 (1 + log tf) * idf and scaled to length 1. Each language has several centroids, found by spherical k-means on a bounded
 sample of its texts, since a language holds several kinds of text. A text gets the language of the nearest centroid by
-cosine, and is rejected if even that one is farther away than texts of the sample ever are.
+cosine, and is rejected if even that one is much farther away than texts of the sample: if its cosine is below
+`REJECT_FACTOR` times the one that a share of `REJECT_SHARE` of the language's sample does not reach, lowered in proportion
+for texts of fewer than `REJECT_LETTERS` letters, which are far from every centroid.
 
 Bounds: document frequencies are counted over all learnable texts; centroids are fitted on at most `ROWS` texts and
 `BYTES` bytes per language. The model is languages x CENTROIDS x BUCKETS floats. Prediction is a map.
@@ -32,6 +34,7 @@ BYTES = 4 << 20
 SLICE = 256  # texts whose vectors are held at once
 REJECT_SHARE = 0.001
 REJECT_FACTOR = 0.5
+REJECT_LETTERS = 200
 
 _LETTER = np.full(256, 0x20, np.int64)
 _LETTER[0x61:0x7B] = np.arange(0x61, 0x7B)
@@ -115,12 +118,14 @@ def _predict(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch
         letter = np.array(part.column("has_letter").to_pylist(), bool) & bool(len(model.langs))
         lang, near, far = np.full(part.num_rows, "und", object), np.zeros(part.num_rows), np.ones(part.num_rows, bool)
         if letter.any():
-            sims = _vectors(_counts(part), model.idf) @ model.centres.T
+            counts = _counts(part)
+            sims = _vectors(counts, model.idf) @ model.centres.T
             best = sims.argmax(axis=1)
             who = model.owner[best]
             lang = np.where(letter, np.array(model.langs, object)[who], "und")
             near = np.where(letter, np.clip(sims[np.arange(len(best)), best], 0, 1), 0).astype(float)
-            far = ~letter | (near < REJECT_FACTOR * model.reach[who])
+            certain = np.minimum(counts.sum(axis=1) / REJECT_LETTERS, 1)
+            far = ~letter | (near < REJECT_FACTOR * certain * model.reach[who])
         yield pa.RecordBatch.from_arrays(
             [*(part.column(c) for c in part.schema.names if c != "has_letter"), pa.array(lang.tolist(), pa.string()), pa.array(near, pa.float64()), pa.array(far, pa.bool_())],
             names=[*(c for c in part.schema.names if c != "has_letter"), "lang_pred", "score", "rejected"],
