@@ -16,8 +16,8 @@ BROADCAST_KEYS = 1_000_000
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; texts far from every known language go, and so do texts without letters."""
-    found = langid.identify(docs, learnable=catalog.id_remainder(4) != 2, keep=docs.columns)
-    return found.where(~F.col("rejected")).select(docs.columns)
+    found = langid.identify(docs, learnable=catalog.id_remainder(4) != 2, keep=docs.columns, prefix="_language_")
+    return found.where(~F.col("_language_rejected")).select(docs.columns)
 
 
 def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -43,8 +43,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     # The same document on several rows: take its rows away as well and put one back.
     again = materialise(groups.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").join(gone, ["doc_id", "text_hash"], "left_anti"), "again")
     kept = without(docs, gone.unionByName(again.select("doc_id", "text_hash")))
-    once = docs.withColumn("text_hash", F.xxhash64("text")).join(again.select("doc_id", "text_hash"), ["doc_id", "text_hash"], "left_semi")
-    return kept.select(docs.columns).unionByName(once.dropDuplicates(["doc_id", "text_hash"]).select(docs.columns))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash"))
+    once = docs.join(again.select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")), same, "left_semi")
+    return kept.unionByName(once.dropDuplicates(["doc_id", "text"]))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -132,13 +132,15 @@ def _predict(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch
         )
 
 
-def identify(docs: DataFrame, learnable: Column, keep: list[str]) -> DataFrame:
-    """Columns `keep` of every row and lang_pred, score, rejected; learns from the rows where `learnable` holds and lang is known.
+def identify(docs: DataFrame, learnable: Column, keep: list[str], prefix: str = "") -> DataFrame:
+    """Columns `keep`, `text` among them, and lang_pred, score, rejected (names after `prefix`) of every row.
 
-    `keep` must name `text`, which the prediction reads."""
+    Learns from the rows where `learnable` holds and lang is known."""
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     learn = docs.where(learnable & F.col("lang").isNotNull() & letter).select("lang", "text")
     model = docs.sparkSession.sparkContext.broadcast(fit(learn))  # languages x CENTROIDS x BUCKETS floats
-    rows = docs.select(*keep, letter.alias("has_letter"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return rows.mapInArrow(lambda it: _predict(it, model), f"{fields}, lang_pred string, score double, rejected boolean")
+    names = {c: "text" if c == "text" else f"c{i}" for i, c in enumerate(keep)}
+    rows = docs.select(*(F.col(f"`{c}`").alias(names[c]) for c in keep))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    found = rows.withColumn("has_letter", letter).mapInArrow(lambda it: _predict(it, model), f"{fields}, lang_pred string, score double, rejected boolean")
+    return found.select(*(F.col(names[c]).alias(c) for c in keep), *(F.col(c).alias(prefix + c) for c in ("lang_pred", "score", "rejected")))

@@ -63,11 +63,11 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
         rates = F.broadcast(rates)
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0))
     plain = docs.drop("rate", "copy", "shuffle_key")
-    joined = plain.join(rates.select(F.col("source").alias("_source"), "rate", "cdf"), F.col("source").eqNullSafe(F.col("_source")))
+    joined = plain.join(rates.select(F.col("source").alias("_mix_source"), "rate", F.col("cdf").alias("_mix_cdf")), F.col("source").eqNullSafe(F.col("_mix_source")))
     u = mix(key, seed) / F.lit(_STEPS)
-    copies = F.size(F.filter("cdf", lambda p: p <= u))
-    rows = joined.withColumn("_n", copies).where("_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    keyed = rows.withColumn("shuffle_key", mix(key * 1009 + F.col("copy"), seed + 1)).drop("_source", "cdf", "_n")
+    copies = F.size(F.filter("_mix_cdf", lambda p: p <= u))
+    rows = joined.withColumn("_mix_n", copies).where("_mix_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_mix_n") - 1)))
+    keyed = rows.withColumn("shuffle_key", mix(key * 1009 + F.col("copy"), seed + 1)).drop("_mix_source", "_mix_cdf", "_mix_n")
     return keyed.repartitionByRange("shuffle_key", "doc_id", "copy").sortWithinPartitions("shuffle_key", "doc_id", "copy")
 
 
