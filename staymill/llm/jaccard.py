@@ -9,8 +9,9 @@ always share a signature, and the poorest projections, which unrelated sets shar
 
 Equal sets are one node from the start. A signature held by several nodes makes a group. Groups are never expanded
 into pairs: every node is compared with one representative of each of its groups; what is then connected needs no
-further comparison. Only nodes of one group that are still in different components and that the triangle
-inequality of the Jaccard distance does not tell apart are compared in the last step.
+further comparison. Only for groups that then still hold several components are sets brought together, in blocks of
+bounded size; there, nodes of different components that the triangle inequality of the Jaccard distance does not tell
+apart are compared, and one link per node and component is passed on.
 
 Scale: signatures are counted in hashed parts of bounded size. A map task sends on one holder per signature; if it
 has more holders itself it passes them by, so the most frequent signature costs each part one entry per map task.
@@ -37,6 +38,7 @@ from staymill.plans.components import connected_components
 
 PART_ENTRIES = 2_000_000  # signatures in a part
 FLUSH_ENTRIES = 1_000_000  # signatures a map task gathers before it sends them on
+BLOCK_NODES = 512  # nodes of a group that are compared at once with as many
 FILTER_BITS = 27  # size of the filter of nodes whose sets are wanted: 16 MB, whatever their number
 
 
@@ -234,6 +236,34 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return materialise(joined.mapInArrow(lambda it: _compare(it, num, den), "a long, b long, linked boolean, apart double"), "compared")
 
 
+def _between(key: tuple, pdf: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """Links between members of two blocks (or of one) with different labels; one for each member and label is enough."""
+    pdf = pdf.sort_values("node")
+    node, label, apart, own = (pdf[c].to_numpy() for c in ("node", "label", "apart", "own"))
+    sets = [np.frombuffer(g, np.uint64) for g in pdf["grams"]]
+    size = np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    kinds, count = np.unique(label, return_counts=True)
+    most = kinds[count.argmax()]  # its members are met from the other side
+    links = []
+    for u in np.flatnonzero(label != most):
+        able = (label != label[u]) & (np.abs(apart - apart[u]) <= 1 - num / den + 1e-9) & (size * num <= size[u] * den) & (size[u] * num <= size * den)
+        if key[1] != key[2]:
+            able &= own != own[u]
+        if not able.any():
+            continue
+        low, high = np.searchsorted(flat, sets[u], "left"), np.searchsorted(flat, sets[u], "right")
+        width = high - low
+        at = np.repeat(low - (np.cumsum(width) - width), width) + np.arange(width.sum())
+        both = np.bincount(owner[at], minlength=len(sets))
+        hit = np.flatnonzero(able & (den * both >= num * (size + size[u] - both)))
+        _, one = np.unique(label[hit], return_index=True)
+        links += [(min(node[u], node[v]), max(node[u], node[v])) for v in hit[one]]
+    return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+
+
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
@@ -255,38 +285,33 @@ def similar_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -
     large = materialise(members.join(groups.where("n > 2").select("sig", F.col("a").alias("rep")), "sig"), "large")
     wanted = spark.sparkContext.broadcast(_node_filter(members.select("node")))
     rows = materialise(docs.mapInArrow(lambda it: _rows(it, n, wanted), "doc_id long, text_hash long, n_shingles long, node long, grams binary"), "rows")
-    sets = rows.where(F.col("grams").isNotNull()).select("node", "grams").dropDuplicates(["node"])
-    sets = materialise(sets.join(members.select("node").distinct(), "node", "left_semi"), "sets")
+    sets = materialise(rows.where(F.col("grams").isNotNull()).select("node", "n_shingles", "grams").dropDuplicates(["node"]), "sets")
 
     star = large.where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
     tested = _verify(groups.where("n = 2").select("a", "b").unionByName(star).distinct(), sets, num, den)
+    # Once more with another representative, for nodes that the first one has not brought to the same neighbour.
+    links = tested.where("linked").select("a", "b")
+    lowest = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
+    now = materialise(_labelled(large, lowest), "labelled")
+    order = F.xxhash64("node")
+    other = now.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max_by(F.struct("node", "label"), order).alias("r"))
+    more = now.join(other.where("low < high").select("sig", "r"), "sig").where(F.col("label") != F.col("r.label"))
+    more = more.select(F.least("node", "r.node").alias("a"), F.greatest("node", "r.node").alias("b")).distinct()
+    tested = tested.unionByName(_verify(more.join(tested, ["a", "b"], "left_anti"), sets, num, den))
     labels = connected_components(tested.where("linked").select("a", "b"))
-    for turn in range(2):  # other representatives: the node of each group that comes first in another order
-        now = materialise(_labelled(large, labels), "labelled")
-        order = F.xxhash64("node", F.lit(turn))
-        open_ = now.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max_by("node", order).alias("r"), F.max_by("label", order).alias("rl"))
-        open_ = open_.where("low < high").select("sig", "r", "rl")
-        more = now.join(open_, "sig").where("label <> rl").select(F.least("node", "r").alias("a"), F.greatest("node", "r").alias("b")).distinct()
-        got = _verify(more.join(tested, ["a", "b"], "left_anti"), sets, num, den)
-        tested = tested.unionByName(got)
-        if got.where("linked").isEmpty():
-            break
-        labels = connected_components(tested.where("linked").select("a", "b"))
-
-    # Whatever is left: pairs of one group in different components that their distances to its representative allow.
-    now = _labelled(large, labels)
-    open_ = now.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("sig")
+
+    # Whatever is left: groups that hold several components, by representative, in blocks that are compared with each other.
+    now = _labelled(large, labels).select("rep", "node", "label").distinct()
+    open_ = now.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    blocks = F.ceil(F.col("n") / BLOCK_NODES).cast("int")
     far = tested.select(F.col("a").alias("rep"), F.col("b").alias("node"), "apart")
-    sized = rows.where("grams is not null").select("node", "n_shingles").dropDuplicates(["node"])
-    side = now.join(open_, "sig").join(far, ["rep", "node"], "left").join(sized, "node").select("sig", "node", "label", F.coalesce("apart", F.lit(0.0)).alias("apart"), F.col("n_shingles").alias("m"))
-    side = materialise(side, "open")
-    x, y = side.alias("x"), side.alias("y")
-    near = (F.abs(F.col("x.apart") - F.col("y.apart")) <= 1 - num / den + 1e-9) & (F.col("x.m") * num <= F.col("y.m") * den) & (F.col("y.m") * num <= F.col("x.m") * den)
-    rest = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & near)
-    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    got = _verify(rest, sets, num, den).where("linked")
-    if not got.isEmpty():
-        labels = connected_components(tested.where("linked").unionByName(got).select("a", "b"))
+    side = now.join(open_.select("rep", blocks.alias("blocks")), "rep").join(far, ["rep", "node"], "left").join(sets, "node")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))
+    spread = side.select("rep", "node", "label", F.coalesce("apart", F.lit(0.0)).alias("apart"), "grams", own.alias("own"), F.inline(cells))
+    rest = materialise(spread.groupBy("rep", "i", "j").applyInPandas(lambda key, pdf: _between(key, pdf, num, den), "a long, b long"), "rest")
+    if not rest.isEmpty():
+        labels = connected_components(tested.where("linked").select("a", "b").unionByName(rest))
 
     held = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "text_hash", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lowest = held.groupBy("label").agg(F.min("doc_id").alias("component_id"))
