@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReader, MLWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,6 +141,22 @@ class RareCategoryGrouper(Estimator, _RareParams, DefaultParamsReadable, Default
         return model._set(keepPath=path)
 
 
+class _KeepWriter(DefaultParamsWriter):
+    """Writes a long keep table beside the parameters, so that the saved model stands alone."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        table = self.instance.getOrDefault("keepPath")
+        if table:
+            self.sparkSession.read.parquet(table).write.parquet(f"{path}/keep")
+
+
+class _KeepReader(DefaultParamsReader):
+    def load(self, path: str) -> RareCategoryModel:
+        model = super().load(path)
+        return model._set(keepPath=f"{path}/keep") if model.getOrDefault("keepPath") else model
+
+
 class RareCategoryModel(Model, _RareParams, DefaultParamsReadable, DefaultParamsWritable):
     keep = Param(Params._dummy(), "keep", "kept values per column, JSON", TypeConverters.toString)
     keepPath = Param(Params._dummy(), "keepPath", "parquet table of kept values, if they are many", TypeConverters.toString)
@@ -150,6 +166,13 @@ class RareCategoryModel(Model, _RareParams, DefaultParamsReadable, DefaultParams
         self._defaults()
         self._setDefault(keep="{}", keepPath="")
 
+    def write(self) -> MLWriter:
+        return _KeepWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _KeepReader(cls)
+
     @property
     def kept(self) -> dict[str, list[str]]:
         return json.loads(self.getOrDefault("keep"))

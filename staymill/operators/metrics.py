@@ -48,7 +48,7 @@ def roc_auc(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def roc_curve(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """(threshold, fpr, tpr) per distinct score, highest first, plus the origin at infinity."""
+    """(threshold, fpr, tpr) per distinct score, highest first, plus the origin at infinity; the rate of an absent class is null."""
     scores = _by_score(df, by)
     runs = running_sums(scores, "p", ["pos", "neg"], by, descending=True)
     totals = scores.groupBy(*[F.col(c).alias(f"_g_{c}") for c in by]).agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
@@ -62,7 +62,7 @@ def roc_curve(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         one = totals.first()
         runs = runs.withColumns({"_pos": F.lit(one["_pos"]), "_neg": F.lit(one["_neg"])})
         origin = totals.select()
-    points = runs.select(*by, F.col("p").alias("threshold"), (F.col("cum_neg") / F.col("_neg")).alias("fpr"), (F.col("cum_pos") / F.col("_pos")).alias("tpr"))
+    points = runs.select(*by, F.col("p").alias("threshold"), F.try_divide("cum_neg", "_neg").alias("fpr"), F.try_divide("cum_pos", "_pos").alias("tpr"))
     start = origin.select(*by, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return points.unionByName(start)
 

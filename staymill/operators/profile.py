@@ -204,15 +204,16 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     One pass forms all cross products; a pair without variance gives null."""
     columns = list(columns)
-    # Any value of the column is a good enough origin to keep the sums of squares small.
-    origin = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).first()
-    sums = pair_sums(df, columns, [origin[c] or 0.0 if origin else 0.0 for c in columns])
+    # The mean as origin keeps the sums of squares small; a column without a number has 0.
+    numbers = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns]
+    origin = df.agg(*[F.avg(F.when(F.abs(x) < float("inf"), x)).alias(f"m{i}") for i, x in enumerate(numbers)]).first()
+    sums = pair_sums(df, columns, [x or 0.0 for x in origin])
     # sxx of (j, i) is the sum of x_j^2 where both are present.
     other = sums.select(F.col("i").alias("_j"), F.col("j").alias("_i"), F.col("sx").alias("sy"), F.col("sxx").alias("syy"))
     both = sums.join(other, (F.col("i") == F.col("_i")) & (F.col("j") == F.col("_j")))
-    n = F.col("n")
+    n = F.when(F.col("n") > 0, F.col("n"))
     vx, vy = F.col("sxx") - F.col("sx") * F.col("sx") / n, F.col("syy") - F.col("sy") * F.col("sy") / n
-    flat = (vx <= 1e-12 * F.col("sxx")) | (vy <= 1e-12 * F.col("syy")) | (n < 2)
+    flat = n.isNull() | (vx <= 1e-12 * F.col("sxx")) | (vy <= 1e-12 * F.col("syy")) | (n < 2)
     r = F.when(~flat, (F.col("sxy") - F.col("sx") * F.col("sy") / n) / F.sqrt(vx * vy))
     names = F.array(*map(F.lit, columns))
     return both.select(names[F.col("i")].alias("a"), names[F.col("j")].alias("b"), r.alias("r"))

@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staymill.functions.hashing import mix
+from staymill.functions.session import materialise
 from staymill.plans.distributed import HASH_BITS, hash_rank
 from staymill.schema import KEY, SEED, TARGET, TEST_SHARE
 
 MAX_CLASSES = 1000  # a label with more values is not a class column
+BROADCAST_CLASSES = 100_000
 
 
 def head_n(df: DataFrame, n: int, key: str = KEY) -> DataFrame:
@@ -127,13 +129,13 @@ def pos_weight(df: DataFrame, label: str = TARGET) -> DataFrame:
 def add_weight(df: DataFrame, label: str = TARGET, kind: str = "balanced", out: str = "weight") -> DataFrame:
     """Weight column for training: balanced classes, or positives weighted by negatives / positives."""
     if kind == "balanced":
-        weights = {r[label]: r["weight"] for r in class_weights(df, label).limit(MAX_CLASSES).collect()}
-    else:
-        weights = {1: pos_weight(df, label).first()["scale_pos_weight"], 0: 1.0}
-    w: Column = F.lit(1.0)
-    for c, x in weights.items():
-        w = F.when(F.col(label) == c, F.lit(float(x if x is not None else 1.0))).otherwise(w)
-    return df.withColumn(out, w)
+        weights = materialise(class_weights(df, label).select(F.col(label).alias("_class"), F.col("weight").alias("_weight")), "weights")
+        if weights.count() <= BROADCAST_CLASSES:
+            weights = F.broadcast(weights)
+        joined = df.join(weights, F.col(label) == F.col("_class"), "left")
+        return joined.withColumn(out, F.coalesce("_weight", F.lit(1.0))).drop("_class", "_weight")
+    scale = pos_weight(df, label).first()["scale_pos_weight"]
+    return df.withColumn(out, F.when(F.col(label) == 1, F.lit(float(scale if scale is not None else 1.0))).otherwise(F.lit(1.0)))
 
 
 def _digest(df: DataFrame) -> Column:

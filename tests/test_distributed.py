@@ -100,3 +100,26 @@ def test_metric_edges(spark):
 def test_select_best_keeps_first_on_tie(spark):
     df = spark.createDataFrame([("b", 0.9), ("a", 0.9), ("c", 0.5)], "model string, roc_auc double")
     assert M.select_best(df, ["b", "a", "c"]).first()["model"] == "b"
+
+
+def test_corr_matrix_without_numbers(spark):
+    from staymill.operators.profile import corr_matrix
+
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, None, 1.0), (2.0, None, 2.0), (3.0, None, 4.0), (4.0, None, 5.0)], "a double, b double, c double")
+    r = {(x.a, x.b): x.r for x in corr_matrix(df, ["a", "b", "c"]).collect()}
+    assert r["a", "b"] is None and r["b", "b"] is None and r["a", "c"] == pytest.approx(0.9819805)
+
+
+def test_roc_curve_of_one_class(spark):
+    from staymill.operators.metrics import roc_curve
+
+    df = spark.createDataFrame([(1, 0.2), (1, 0.7)], "y int, p double")
+    assert [(x.fpr, x.tpr) for x in roc_curve(df).orderBy("tpr").collect()] == [(0.0, 0.0), (None, 0.5), (None, 1.0)]
+
+
+def test_many_classes(spark):
+    from staymill.operators.split import add_weight
+
+    df = spark.range(3000).selectExpr("id", "cast(id % 1500 as int) as label")
+    assert add_weight(df, "label").where("weight = 1.0").count() == 3000

@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 
@@ -81,3 +83,21 @@ def test_csv_tokens(spark, tmp_path):
     assert [r["agent"] for r in rows] == [None, None, "9"]
     assert [r["company"] for r in rows] == [None, "none", None]
     assert [r["hotel"] for r in rows] == ["City", 'a, "b"', None]
+
+
+def test_csv_files_with_other_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("booking_id,adults,babies\n1,2,0\n")
+    (tmp_path / "b.csv").write_text("booking_id,babies,adults\n2,3,9\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        IO.load_raw(spark, str(tmp_path)).collect()
+    assert IO.load_raw(spark, str(tmp_path / "b.csv")).first().asDict() == {"booking_id": 2, "babies": 3, "adults": 9}
+
+
+def test_saved_model_keeps_a_long_list(spark, raw_like, tmp_path, monkeypatch):
+    monkeypatch.setattr(FT, "SMALL_STATE_ROWS", 1)
+    model = FT.RareCategoryGrouper(columns=["country", "agent"], target="").fit(raw_like)
+    want = sorted(map(str, model.transform(raw_like).select("country", "agent").collect()))
+    model.save(str(tmp_path / "model"))
+    shutil.rmtree(model.getOrDefault("keepPath").removeprefix("file:"))
+    again = FT.RareCategoryModel.load(str(tmp_path / "model"))
+    assert sorted(map(str, again.transform(raw_like).select("country", "agent").collect())) == want
