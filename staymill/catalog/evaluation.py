@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from staymill.catalog.base import F, S, bookings, frame_cleaned, frame_scores, query, table, with_frames
 from staymill.functions.session import scratch_path
+from staymill.functions.normal import normal_quantile_sql
 from staymill.operators import metrics as M
 from staymill.operators import profile as P
 from staymill.operators import registry as R
@@ -79,14 +80,21 @@ query("residual_summary", "mean:d std:d min:d max:d", f"WITH t AS ({_LINE}) SELE
     lambda s, d: M.residual_summary(M.residuals(_lines(s, d))))
 query("residual_pairs", "l_orderkey:i l_linenumber:i p:d residual:d", f"WITH t AS ({_LINE}) SELECT l_orderkey, l_linenumber, p, y - p AS residual FROM t")(
     lambda s, d: M.residuals(_lines(s, d)))
-query("qq_points", "position:i prob:d value:d", f"""
-WITH t AS ({_LINE}), o AS (SELECT row_number() OVER (ORDER BY y - p) AS position, y - p AS value, count(*) OVER () AS n FROM t)
-SELECT position, CASE WHEN position = n THEN pow(0.5, 1.0 / n) WHEN position = 1 THEN 1 - pow(0.5, 1.0 / n)
-  ELSE (CAST(position AS DOUBLE) - CAST(0.3175 AS DOUBLE)) / (n + CAST(0.365 AS DOUBLE)) END AS prob, value FROM o""")(
-    lambda s, d: M.qq_points(M.residuals(_lines(s, d)).withColumn("line", F.struct("l_orderkey", "l_linenumber", "l_partkey")), "line"))
-
-query("qq_line", "slope:d intercept:d r:d")(
-    lambda s, d: M.qq_line(M.qq_points(M.residuals(_lines(s, d)).withColumn("line", F.struct("l_orderkey", "l_linenumber", "l_partkey")), "line")))
+_QQ = f"""
+WITH t AS ({_LINE}), o AS (SELECT row_number() OVER (ORDER BY y - p) AS position, y - p AS value, count(*) OVER () AS n FROM t),
+q AS (SELECT position, CASE WHEN position = n THEN pow(0.5, 1.0 / n) WHEN position = 1 THEN 1 - pow(0.5, 1.0 / n)
+  ELSE (CAST(position AS DOUBLE) - CAST(0.3175 AS DOUBLE)) / (n + CAST(0.365 AS DOUBLE)) END AS prob, value FROM o),
+points AS (SELECT position, prob, {normal_quantile_sql('prob')} AS theoretical, value FROM q)
+"""
+
+
+def _qq(s, d):
+    return M.qq_points(M.residuals(_lines(s, d)).withColumn("line", F.struct("l_orderkey", "l_linenumber", "l_partkey")), "line")
+
+
+query("qq_points", "position:i prob:d theoretical:d value:d", _QQ + "SELECT * FROM points")(_qq)
+query("qq_line", "slope:d intercept:d r:d", _QQ + "SELECT regr_slope(value, theoretical) AS slope, regr_intercept(value, theoretical) AS intercept, corr(value, theoretical) AS r FROM points")(
+    lambda s, d: M.qq_line(_qq(s, d)))
 
 # --- Scoring -----------------------------------------------------------------------------
 

@@ -42,3 +42,19 @@ def normal_quantile(p: Column) -> Column:
     tail = F.sqrt(-F.log(F.least(p, 1 - p)))
     outer = F.when(tail <= 5, _ratio(_NEAR, tail - 1.6)).otherwise(_ratio(_FAR, tail - 5))
     return F.when(F.abs(q) <= 0.425, q * _ratio(_CENTRE, F.lit(0.180625) - q * q)).otherwise(F.when(q < 0, -outer).otherwise(outer))
+
+
+def normal_quantile_sql(p: str) -> str:
+    """The same as a SQL expression over a column name."""
+
+    def number(c: float) -> str:
+        return f"CAST({c!r} AS DOUBLE)"
+
+    def ratio(pair: tuple, x: str) -> str:
+        top, bottom = (reduce(lambda acc, c: f"({acc} * {x} + {number(c)})", reversed(cs[:-1]), number(cs[-1])) for cs in pair)
+        return f"{top} / {bottom}"
+
+    tail = f"sqrt(-ln(least({p}, 1 - {p})))"
+    q = f"({p} - CAST(0.5 AS DOUBLE))"
+    outer = f"CASE WHEN {tail} <= 5 THEN {ratio(_NEAR, f'({tail} - {number(1.6)})')} ELSE {ratio(_FAR, f'({tail} - 5)')} END"
+    return f"CASE WHEN abs({q}) <= {number(0.425)} THEN {q} * {ratio(_CENTRE, f'({number(0.180625)} - {q} * {q})')} WHEN {q} < 0 THEN -({outer}) ELSE {outer} END"
