@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from staymill.functions.session import materialise
 from staymill.llm import catalog, decontaminate, jaccard, langid, mixture, wavelet
-
-BROADCAST_KEYS = 1_000_000
+from staymill.llm.joins import if_few
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,10 +23,7 @@ def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows of `docs` that `keys` does not name, by text_hash and, where it has one, doc_id.
 
     The keys are broadcast when they have been counted to be few, so that no text is shuffled; else they are joined."""
-    keys = materialise(keys, "keys")
-    if keys.count() <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    keys = keys.withColumnsRenamed({c: f"_{c}" for c in keys.columns})
+    keys = if_few(keys.withColumnsRenamed({c: f"_{c}" for c in keys.columns}), "keys")
     same = F.xxhash64("text") == F.col("_text_hash")
     if "_doc_id" in keys.columns:
         same &= F.col("doc_id").eqNullSafe(F.col("_doc_id"))

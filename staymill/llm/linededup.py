@@ -15,7 +15,8 @@ left out only, under the key of the rest. This loses no pair and keeps a long li
 whole length for every character.
 
 Scale: equal lines are reduced to one row before the shuffle; a frequent line, rest or variant is counted by partial
-sums, and joined back through joins that can split a hot key. Only texts of lines with a possible partner are shuffled.
+sums, and joined back through joins that can split a hot key. Tables of candidates and of removed places are counted,
+and broadcast while they are few, so that neither lines nor texts are shuffled for them.
 
 Defined cases: null texts are kept as they are and have no lines; rows with equal ids are put in order by a hash of the
 text, and rows equal in both are one document; a text without line feeds is one line; other columns are not read."""
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staymill.functions.session import materialise
+from staymill.llm.joins import if_few
 
 PIECES = 4
 MIN_CHARS = 20
@@ -68,8 +70,8 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> tuple[DataFrame,
 
     rest = distinct.select("k1", "k2", "first", F.posexplode("rests").alias("piece", "rest"))
     shared = rest.groupBy("rest").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("rest")
-    spans = materialise(rest.join(shared, "rest"), "spans")
-    ids = spans.select("k1", "k2").distinct()
+    spans = materialise(rest.join(if_few(shared, "rests"), "rest"), "spans")
+    ids = if_few(spans.select("k1", "k2").distinct(), "ids")
     texts = materialise(lines.select("k1", "k2", "s").join(ids, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]), "candidates")
 
     before, inside = _window(F.char_length("s"), F.col("piece"))
@@ -110,7 +112,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         F.transform(F.sequence(F.lit(0), F.col("top")), lambda w: F.coalesce(F.try_element_at("words", w), F.lit(0).cast("bigint"))).alias("mask"),
     )
     keyed = docs.withColumn("h", F.xxhash64("text"))
-    joined = keyed.join(masks, keyed["doc_id"].eqNullSafe(F.col("_id")) & (keyed["h"] == F.col("_h")), "left")
+    joined = keyed.join(if_few(masks, "masks"), keyed["doc_id"].eqNullSafe(F.col("_id")) & (keyed["h"] == F.col("_h")), "left")
     lines = F.split("text", "\n")
     word = lambda i: F.coalesce(F.get("mask", F.shiftright(i, 6)), F.lit(0).cast("bigint"))
     stays = lambda s, i: F.getbit(word(i), i % 64) == 0
