@@ -4,8 +4,13 @@ Sets are put into bands of sizes so that two sets that can link lie in the same
 the domain of n-gram hashes is cut into partitions. Two sets that link differ in at most k features, k following from
 their sizes, hence in at most k partitions. Each set enumerates k + 1 of its projections: those with the most
 features, ties by content. Of two linking sets take the one whose last enumerated projection ranks higher: one of its
-k + 1 projections is the same in the other set, which enumerates it too, as it ranks high enough. So linking sets
-always share a signature, and the poorest projections, which unrelated sets share by chance, are left out.
+k + 1 projections is the same in the other set, which enumerates it too, as it ranks high enough. The poorest
+projections, which unrelated sets share by chance, are left out.
+
+Empty partitions are projections as well, of the lowest rank. The argument can end in one of them only if both sets
+have no more than k partitions with features. Such sets do not enumerate what is empty, which says nothing about them,
+but the features of their prefix: of a set of a features at least o are in any partner, so the first a - o + 1
+by hash hold the first common one, in both sets. So linking sets always share a signature.
 
 Equal sets are one node from the start. A signature held by several nodes makes a group. Groups are never expanded
 into pairs: every node is compared with one representative of each of its groups; what is then connected needs no
@@ -80,6 +85,10 @@ class Bands:
         """Most features in which two linking sets with `total` features together can differ."""
         return total * (self.den - self.num) // (self.den + self.num)
 
+    def spare(self, size: np.ndarray) -> np.ndarray:
+        """Most features of a set that a linking set can lack."""
+        return size * (self.den - self.num) // self.den
+
     def of(self, sizes: np.ndarray) -> np.ndarray:
         while self.high[-1] < int(sizes.max(initial=0)):
             self.high.append((self.high[-1] + 1) * self.den // self.num)
@@ -114,6 +123,9 @@ def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.nda
         last = key[order][np.minimum(first + np.minimum(k, have - 1), len(key) - 1)]  # each set's last enumerated rank
         take = (key <= last[who]) & (k[who] > 0)  # sets that may not differ at all are one node already
         found.append((who[take], content[take]))
+        nth = np.arange(len(flat)) - (np.cumsum(size) - size)[owner]
+        few = ((have <= k) & (k > 0))[owner] & (nth <= bands.spare(size)[owner])
+        found.append((owner[few], mix(spread[few] + mix((cell[owner[few]].astype(np.uint64) << np.uint64(32)) | np.uint64(0xFFFFFFFF)))))
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 

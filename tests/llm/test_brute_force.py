@@ -85,6 +85,25 @@ def test_jaccard_join_many_near_copies(spark):
         assert got == groups(texts, n, num, 100)
 
 
+@pytest.mark.parametrize("num", [80, 85])
+def test_linking_sets_share_a_signature(num):
+    """100,000 pairs of small sets that differ in as many features as the threshold allows, or in fewer."""
+    rng = np.random.default_rng(num)
+    bands, missed, linking = jaccard.Bands(num, 100), 0, 0
+    for _ in range(10):
+        pairs = []
+        for size, own, other in zip(rng.integers(4, 17, 10_000), rng.integers(0, 3, 10_000), rng.integers(0, 4, 10_000)):
+            grams = rng.integers(0, 2**64, size + own + other, dtype=np.uint64)
+            if 100 * size >= num * (size + own + other) and own + other:
+                pairs.append((np.sort(grams[: size + own]), np.sort(np.delete(grams, np.s_[size : size + own]))))
+        who, sig = jaccard.signatures([s for pair in pairs for s in pair], bands)
+        left, right = (np.unique(np.rec.fromarrays([who[who % 2 == i] // 2, sig[who % 2 == i]])) for i in (0, 1))
+        shared = np.unique(np.intersect1d(left, right)["f0"])
+        missed += len(pairs) - len(shared)
+        linking += len(pairs)
+    assert linking > 10_000 and missed == 0
+
+
 def test_lm_scores(spark, small, docs):
     tokens = {d["doc_id"]: [*words(d["text"]), "</s>"] for d in docs}
     train = [i for i in tokens if remainder(i, 5) != 1]
