@@ -2,28 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staymill.functions.session import materialise
+from staymill.llm.joins import if_few
 
 BROADCAST_CLASSES = 100_000
 
 
+def _take(pdf: pd.DataFrame, rows: int, size: int) -> pd.DataFrame:
+    """Rows in the order of their hash, each if it fits what is left of both bounds; a single row always."""
+    pdf = pdf.sort_values("h", ignore_index=True)
+    kept, left = [], size
+    for i, b in enumerate(pdf["bytes"].tolist()):
+        if len(kept) < rows and (b <= left or len(pdf) == 1):
+            kept.append(i)
+            left -= b
+    return pdf.loc[kept, ["label", "h", "n"]]
+
+
 def sample_by_class(rows: DataFrame, rows_per_class: int, bytes_per_class: int) -> DataFrame:
-    """(label, text, n): the distinct texts of each label that come first by a hash, while they fit both bounds.
+    """(label, text, n): distinct texts of each label in the order of a hash, each that still fits both bounds.
 
-    `n` is the number of all rows of the label. Labels and texts must not be null. Copies of a text count once, and a
-    text larger than the byte bound can only be the first of its label. Only rows whose hash lies below a label's share,
-    found by a count, are sorted, so neither a frequent label nor the whole table is."""
+    `n` is the number of all rows of the label. Labels and texts must not be null. Copies of a text count once. A text
+    larger than the byte bound is taken only if its label has no smaller one, and then alone. Texts that do not fit what
+    is left of the bytes are passed by. Only the hashes below a label's share, found by a count of its distinct texts that
+    fit, are looked at: three times as many as are wanted, or all there are."""
     keyed = rows.select("label", "text", F.xxhash64("text").alias("h"))
-    counts = materialise(rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "classes")
-    if counts.count() <= BROADCAST_CLASSES:
-        counts = F.broadcast(counts)
+    distinct = keyed.groupBy("label", "h").agg(F.count(F.lit(1)).alias("copies"), F.min(F.octet_length("text")).alias("bytes"))
+    distinct = materialise(distinct, "distinct")
+    fits = F.col("bytes") <= bytes_per_class
+    counts = distinct.groupBy("label").agg(F.sum("copies").alias("n"), F.count_if(fits).alias("fitting"), F.min("h").alias("first"))
+    counts = if_few(counts, "classes", BROADCAST_CLASSES)
     share = F.shiftrightunsigned("h", 33) / F.lit(float(1 << 31))
-    near = keyed.join(counts, "label").where(share * F.col("n") < 3 * rows_per_class).dropDuplicates(["label", "h"])
-    order = Window.partitionBy("label").orderBy("h")
-    before = F.coalesce(F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = near.withColumn("nth", F.row_number().over(order)).withColumn("before", before)
-    fits = (F.col("nth") == 1) | (F.col("before") + F.octet_length("text") <= bytes_per_class)
-    return ranked.where((F.col("nth") <= rows_per_class) & fits).select("label", "text", "n")
+    near = fits & (share * F.col("fitting") < 3 * rows_per_class) | (F.col("fitting") == 0) & (F.col("h") == F.col("first"))
+    near = distinct.join(counts, "label").where(near).select("label", "h", "bytes", "n")
+    kind = rows.schema["label"].dataType.simpleString()
+    chosen = near.groupBy("label").applyInPandas(lambda pdf: _take(pdf, rows_per_class, bytes_per_class), f"label {kind}, h long, n long")
+    chosen = if_few(chosen, "chosen")
+    return keyed.join(chosen, ["label", "h"]).dropDuplicates(["label", "h"]).select("label", "text", "n")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from staymill.llm import catalog, decontaminate, jaccard, langid, linededup, lm, mixture, quality, topk, toxicity, wavelet
+from staymill.llm import catalog, decontaminate, jaccard, langid, linededup, lm, mixture, quality, sampling, topk, toxicity, wavelet
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 EXTRA = ("h", "label", "score", "rejected", "rate", "copy", "shuffle_key", "node", "text_hash", "has_letter", "part", "cdf", "c0", "held_out")
@@ -43,6 +43,22 @@ def folder(spark, docs, tmp_path_factory):
     return path
 
 
+def test_samples_fill_their_bounds(spark):
+    copies = [("rare", f"text {i % 5}") for i in range(5000)] + [("often", f"text {i}") for i in range(5000)]
+    got = sampling.sample_by_class(spark.createDataFrame(copies, "label string, text string"), 10, 1000).collect()
+    assert sorted(r.text for r in got if r.label == "rare") == [f"text {i}" for i in range(5)]
+    assert sum(r.label == "often" for r in got) == 10 and {r.n for r in got} == {5000}
+
+    texts = {f"l{k}": [f"{k:02d}{i:02d}" + "x" * size for i, size in enumerate([6] * 20 + [91, 500])] for k in range(20)}
+    texts["large"] = ["y" * 500, "z" * 600]
+    rows = [(label, t) for label, ts in texts.items() for t in ts]
+    got = sampling.sample_by_class(spark.createDataFrame(rows, "label string, text string"), 50, 100).collect()
+    for label, ts in texts.items():
+        taken = {r.text for r in got if r.label == label}
+        left = 100 - sum(map(len, taken))
+        assert len(taken) == 1 if label == "large" else left >= 0 and all(len(t) > left for t in ts if t not in taken)
+
+
 LABELS = "doc_id long, toxic int, quality int"
 
 
