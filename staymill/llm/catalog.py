@@ -112,7 +112,14 @@ FROM d LEFT JOIN marked USING (row) LEFT JOIN named USING (row)
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = decontaminate.build_index(read(spark, sf_dir, "documents"))
     found = decontaminate.match(index, read(spark, sf_dir, "benchmark"), window=10)
-    return decontaminate.digest(found).drop("n_near_items")
+    return decontaminate.digest(found).drop("n_near_items", "near_items_sha256")
+
+
+@_register("op6_decontaminate_near")
+def op6_decontaminate_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op6_decontaminate, and the items of which a window's words stand within 16 words in any order."""
+    index = decontaminate.build_index(read(spark, sf_dir, "documents"))
+    return decontaminate.digest(decontaminate.match(index, read(spark, sf_dir, "benchmark"), window=10, near=16))
 
 
 @_register("op7_lm_score")

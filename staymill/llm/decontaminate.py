@@ -123,8 +123,7 @@ def _search(batches: Iterator[pa.RecordBatch], part, near: int) -> Iterator[pa.R
                     items.setdefault(d, set()).update(phrases.items[w])
                 if near:
                     distinct = [posting[t] for t in dict.fromkeys(int(ts[k]) for k in order)]
-                    for p in _near(distinct, near).tolist():
-                        d = int(np.searchsorted(base, p + near - 1, "right")) - 1
+                    for d in np.unique(np.searchsorted(base, _near(distinct, near) + near - 1, "right") - 1).tolist():
                         close.setdefault(d, set()).update(phrases.items[w])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -164,9 +163,10 @@ def match(index: DataFrame, tests: DataFrame, window: int = 10, near: int = 0) -
 
 
 def digest(found: DataFrame) -> DataFrame:
-    text = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    listed = lambda c: F.sha2(F.array_join(F.array_sort(F.transform(c, lambda i: i.cast("string"))), ","), 256)
     n_hit = F.size("hit").cast("long")
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(text, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), F.size("near_items").cast("long").alias("n_near_items"),
+        listed("items").alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near_items"), listed("near_items").alias("near_items_sha256"),
     )

@@ -1,5 +1,6 @@
 """Queries that SQL cannot say, against plain Python on the smallest tables; accuracy on held-out documents for classifiers."""
 
+import hashlib
 import math
 import re
 import zlib
@@ -207,6 +208,33 @@ def test_proximity(spark):
     assert got == {1: ([], [7], []), 2: ([], [], []), 3: ([], [], []), 4: ([], [], []), 5: ([7], [7], [1, 2, 3])}
 
 
+def test_near_items(spark, small, docs, tmp_path):
+    """Every document by brute force; besides the given ones some with passages reordered and stretched by other words."""
+    def cut(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+    items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{small}/benchmark.parquet").to_pylist()]
+    rng, rows = np.random.default_rng(6), [(d["doc_id"], d["text"]) for d in docs[:150]]
+    for k, (_, text) in enumerate(items):
+        w = cut(text)[:10]
+        w = [w[i] for i in rng.permutation(len(w))]
+        at = int(rng.integers(1, len(w)))
+        rows.append((10_000_000 + k, " ".join(["before", *w[:at], *["between"] * int(rng.integers(0, 9)), *w[at:], "after"])))
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    windows = {(i, frozenset(w[a : a + 10])) for i, t in items if (w := cut(t)) for a in range(max(1, len(w) - 9))}
+    want, near = {}, Counter()
+    for doc, text in rows:
+        w = cut(text)
+        spans = [set(w[a : a + 16]) for a in range(max(1, len(w) - 15))]
+        whole = set(w)
+        found = sorted({str(i) for i, terms in windows if terms <= whole and any(terms <= s for s in spans)})
+        want[doc] = (len(found), hashlib.sha256(",".join(found).encode()).hexdigest())
+        near[len(found) > 0] += doc >= 10_000_000
+    got = {r.doc_id: (r.n_near_items, r.near_items_sha256) for r in catalog.QUERIES["op6_decontaminate_near"](spark, str(tmp_path)).collect()}
+    assert got == want and near[True] > 5 and near[False] > 5
+
+
 def test_poisson_counts(spark):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "big").otherwise(F.lit("small")).alias("source"), F.lit("t").alias("text"))
     rates = mixture.source_rates(df, {"big": 3.0, "small": 1.0})
