@@ -37,7 +37,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = groups.groupBy("label").agg(F.min(rank).alias("first"))
     gone = groups.join(first, "label").where(rank != F.col("first")).select("doc_id", "text_hash").distinct()
     # The same document on several rows: take its rows away as well and put one back.
-    again = materialise(groups.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").join(gone, ["doc_id", "text_hash"], "left_anti"), "again")
+    repeated = groups.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    left = gone.select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"))
+    named = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash"))
+    again = materialise(repeated.join(left, named, "left_anti"), "again")
     kept = without(docs, gone.unionByName(again.select("doc_id", "text_hash")))
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash"))
     once = docs.join(again.select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")), same, "left_semi")

@@ -163,3 +163,10 @@ def test_stages(spark, docs, nothing, folder):
                 assert sorted(r.doc_id for r in rows if r.doc_id is not None) == [1, 1, 2, 3, 4, 5, 6, 7, 9, 10] and None not in {r.doc_id for r in rows}
             elif name == "token_ids":
                 assert len(rows) == len(ROWS)
+
+
+def test_repeated_rows_without_id_beside_a_numbered_near_copy(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, text + " end"), (None, text + " end"), (1, text), (None, "another text of its own that is here twice"), (None, "another text of its own that is here twice")]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, rows[3][1]), (1, text)]
