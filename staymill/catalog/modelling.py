@@ -1,6 +1,6 @@
 """Training, search, explanation, projection of bookings, and scoring jobs.
 
-Models that take minutes at full size run here with fewer trees (the BUDGET below); the row sets are whole."""
+Models, searches and repeats have the sizes of schema.py; boosting takes long at its full size."""
 
 from __future__ import annotations
 
@@ -24,10 +24,6 @@ from staymill.sources import store as ST
 from staymill.sources.csv import write_csv
 from staymill.streaming import score as STREAM
 
-BUDGET = {
-    "Random Forest": {"trees": 40, "max_depth": 12},
-    "Gradient Boosting": {"trees": 20, "max_depth": 5},
-}
 B = lambda body: with_frames("bookings", body)
 CL = lambda body: with_frames("cleaned", body)
 _SCORE_SPEC = "booking_id:i prediction:i probability_canceled:d"
@@ -46,7 +42,7 @@ def _prepared(spark, sf_dir):
 @lru_cache(maxsize=16)
 def _model(spark, sf_dir, name):
     _, _, _, tr, _ = _prepared(spark, sf_dir)
-    return M.catalogue(tr.count(), M.width_of(tr), BUDGET)[name].fit(tr)
+    return M.catalogue(tr.count(), M.width_of(tr))[name].fit(tr)
 
 
 def _pipeline(spark, sf_dir, name="Decision Tree"):
@@ -87,9 +83,10 @@ def gbt_early_stop(s, d):
     """A fifth of the training rows decides when to stop growing."""
     _, _, _, tr, te = _prepared(s, d)
     held = SP.split_random(tr, seed=7).withColumn("held_out", F.col("split") == "test")
-    model = M.boosting(trees=40, max_depth=5, validation="held_out").fit(held)
+    trees = S.MODEL_PARAMS["Gradient Boosting"]["trees"]
+    model = M.boosting(**S.MODEL_PARAMS["Gradient Boosting"], validation="held_out").fit(held)
     auc = M.evaluate({"boosting": model}, te).first()["roc_auc"]
-    return s.createDataFrame([(model.getNumTrees, 40, auc)], "trees int, max_trees int, roc_auc double")
+    return s.createDataFrame([(model.getNumTrees, trees, auc)], "trees int, max_trees int, roc_auc double")
 
 
 query("train_all", _METRIC_SPEC)(lambda s, d: MT.comparison_table(M.evaluate({n: _model(s, d, n) for n in S.MODEL_PARAMS}, _prepared(s, d)[4]), list(S.MODEL_PARAMS)))
@@ -98,8 +95,7 @@ query("train_all", _METRIC_SPEC)(lambda s, d: MT.comparison_table(M.evaluate({n:
 @query("train_times", "model:s seconds:d")
 def train_times(s, d):
     _, _, _, tr, _ = _prepared(s, d)
-    models = M.catalogue(tr.count(), M.width_of(tr), BUDGET)
-    _, seconds = M.fit_all({n: models[n] for n in ("Logistic Regression", "Decision Tree")}, tr)
+    _, seconds = M.fit_all(M.catalogue(tr.count(), M.width_of(tr)), tr)
     return s.createDataFrame(list(seconds.items()), "model string, seconds double")
 
 
@@ -151,8 +147,8 @@ def balancing_compare(s, d):
     }
     fitted = {}
     for kind, rows in sets.items():
-        fitted[f"Random Forest|{kind}"] = M.forest(trees=20, max_depth=10, min_leaf=20, weight="weight").fit(rows)
-        fitted[f"Gradient Boosting|{kind}"] = M.boosting(trees=10, max_depth=5, weight="weight").fit(rows)
+        fitted[f"Random Forest|{kind}"] = M.forest(**S.MODEL_PARAMS["Random Forest"], weight="weight").fit(rows)
+        fitted[f"Gradient Boosting|{kind}"] = M.boosting(**S.MODEL_PARAMS["Gradient Boosting"], weight="weight").fit(rows)
     out = M.evaluate(fitted, te)
     return out.withColumns({"balance": F.split("model", r"\|")[1], "model": F.split("model", r"\|")[0]})
 
@@ -172,8 +168,7 @@ query("random_search", "position:i params:s cv_roc_auc:d spread:d")(lambda s, d:
 
 @query("tuning_report", "model:s search:s combinations:i cv_roc_auc:d seconds:d params:s")
 def tuning_report(s, d):
-    small = {"Logistic Regression": {"C": [0.1, 1.0], "class_weight": [None, "balanced"]}, "Decision Tree": {"max_depth": [6, 12], "min_leaf": [50]}}
-    best, rows = TU.tune(_prepared(s, d)[0], list(small), small)
+    best, rows = TU.tune(_prepared(s, d)[0], list(S.GRIDS))
     return s.createDataFrame([(*r, str(best[r[0]])) for r in rows], "model string, search string, combinations int, cv_roc_auc double, seconds double, params string")
 
 
@@ -279,8 +274,8 @@ def _regression(s, d, name, estimator):
 
 
 query("fit_tree_reg", _REG_SPEC)(lambda s, d: _regression(s, d, "tree", M.tree_regressor(maxDepth=6)))
-query("fit_forest_reg", _REG_SPEC)(lambda s, d: _regression(s, d, "forest", M.forest_regressor(maxDepth=6, numTrees=20)))
-query("fit_gbt_reg", _REG_SPEC)(lambda s, d: _regression(s, d, "boosting", M.boosting_regressor(maxDepth=4, maxIter=10)))
+query("fit_forest_reg", _REG_SPEC)(lambda s, d: _regression(s, d, "forest", M.forest_regressor(maxDepth=6, numTrees=200)))
+query("fit_gbt_reg", _REG_SPEC)(lambda s, d: _regression(s, d, "boosting", M.boosting_regressor(maxDepth=4, maxIter=300)))
 
 
 @query("degree_compare", "degree:i split:s mse:d r2:d")
@@ -319,7 +314,7 @@ def shap_local(s, d):
     return X.shap_local(chosen, _names(s, d), keys)
 
 
-query("permutation_importance", "feature:s importance_mean:d importance_std:d")(lambda s, d: X.permutation_importance(_pipeline(s, d, "Logistic Regression"), _prepared(s, d)[1], repeats=3))
+query("permutation_importance", "feature:s importance_mean:d importance_std:d")(lambda s, d: X.permutation_importance(_pipeline(s, d, "Logistic Regression"), _prepared(s, d)[1]))
 query("permute_column", "lead_time:i n:i", CL("SELECT lead_time, count(*) AS n FROM cleaned GROUP BY 1"))(
     lambda s, d: X.permute_column(frame_cleaned(s, d), "lead_time").groupBy("lead_time").agg(F.count(F.lit(1)).alias("n")))
 
@@ -374,7 +369,7 @@ ORDER BY {_ORDER}, booking_id LIMIT 1500"""))(
 @query("decision_grid", "model:s gx:i gy:i p:d")
 def decision_grid(s, d):
     train, test, *_ = _prepared(s, d)
-    return JB.map_job(train, test, {**BUDGET, "Neural Network": {"hidden": [64, 32], "max_iter": 60}})["grid"]
+    return JB.map_job(train, test)["grid"]
 
 
 query("project_bookings", "booking_id:i c1:d c2:d")(lambda s, d: JB.project_bookings(_prepared(s, d)[2], _plane(s, d)[1], _prepared(s, d)[1]))
@@ -428,4 +423,4 @@ query("stream_quarantine", "booking_id:i violations:s", B(f"SELECT booking_id, {
 query("stream_scored_keys", "booking_id:i known_label:b", B(f"SELECT booking_id, true AS known_label FROM bookings WHERE {_BAD_CODES} = ''"))(
     lambda s, d: s.read.parquet(_stream(s, d)[0]).select("booking_id", F.col("label").isin(S.CLASS_LABELS).alias("known_label")))
 query("train_job", _METRIC_SPEC)(
-    lambda s, d: JB.train_job(bookings(s, d), scratch_path(s, "job"), BUDGET, ["Logistic Regression", "Decision Tree"])["metrics"])
+    lambda s, d: JB.train_job(bookings(s, d), scratch_path(s, "job"))["metrics"])

@@ -147,3 +147,24 @@ def test_threshold_before_rounding(spark):
     df = spark.createDataFrame([(0.49996,), (0.5,), (0.12345,)], "p double")
     got = [(r[0], r[1]) for r in df.select(*SC.decide(F.col("p")).values()).collect()]
     assert got == [(0, 0.5), (1, 0.5), (0, 0.1234)]
+
+
+def test_registered_queries_have_full_sizes(spark, small, monkeypatch):
+    """Five models, whole searches and all repeats, caught before they are fitted."""
+    from staymill.catalog import QUERIES, modelling as C
+
+    seen = {}
+    monkeypatch.setattr(C.M, "fit_all", lambda models, df: (None, seen.setdefault("models", models) and dict.fromkeys(models, 1.0)))
+    monkeypatch.setattr(C.TU, "tune", lambda train, names, *grids: (seen.update(tune=(names, grids)) or {n: {} for n in names}, [(n, "Grid", 1, 0.5, 1.0) for n in names]))
+    monkeypatch.setattr(C.X, "permutation_importance", lambda model, df, **kw: seen.update(permutation=kw))
+    monkeypatch.setattr(C.JB, "train_job", lambda df, out, *cut: seen.update(job=cut) or {"metrics": None})
+    monkeypatch.setattr(C.JB, "map_job", lambda train, test, *cut: seen.update(map=cut) or {"grid": None})
+    assert C.train_times(spark, small).count() == 5
+    assert (seen["models"]["Random Forest"].getNumTrees(), seen["models"]["Random Forest"].getMaxDepth()) == (200, 18)
+    assert (seen["models"]["Gradient Boosting"].getMaxIter(), seen["models"]["Gradient Boosting"].getMaxDepth()) == (500, 14)
+    C.tuning_report(spark, small)
+    C.decision_grid(spark, small)
+    for name in ("permutation_importance", "train_job"):
+        with pytest.raises(AttributeError):  # what was caught gives no table
+            QUERIES[name](spark, small)
+    assert seen["tune"] == (list(C.S.GRIDS), ()) and seen["permutation"] == {} and seen["job"] == () and seen["map"] == ()
