@@ -58,6 +58,16 @@ def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text, cell % BUCKETS, value
 
 
+def _all_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The features of many texts, found a chunk at a time; only what is not 0 is kept."""
+    parts, first = [], 0
+    for chunk in chunks(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], names=["text"])])):
+        text, bucket, value = _features(chunk.column("text"))
+        parts.append((text + first, bucket.astype(np.int32), value))
+        first += chunk.num_rows
+    return tuple(np.concatenate(p) for p in zip(*parts))
+
+
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
@@ -80,7 +90,7 @@ def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
     y = np.searchsorted(grades, [g for g, _, _ in rows])
     weight = np.array([n for _, _, n in rows], float) / np.bincount(y)[y]  # each text stands for as many of its grade
     weight /= weight.sum()
-    text, bucket, value = _features(pa.array([t for _, t, _ in rows], pa.string()))
+    text, bucket, value = _all_features([t for _, t, _ in rows])
     used, bucket = np.unique(bucket, return_inverse=True)
     k = len(grades) - 1
     share = np.cumsum(np.bincount(y, weight))[:-1].clip(1e-6, 1 - 1e-6)
@@ -106,9 +116,9 @@ def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"model": [pickle.dumps(Model(grades, weights, thresholds))]})
 
 
-def fit(learn: DataFrame) -> Model:
-    """Learn from (text, grade), neither of them null; grades are integers."""
-    sample = sample_by_class(learn.select(F.col("grade").cast("int").alias("label"), "text"), ROWS, BYTES)  # bounded, so one task may fit it
+def fit(texts: DataFrame, ratings: DataFrame, rows: int = ROWS, size: int = BYTES) -> Model:
+    """Learn from `texts` (doc_id, text) and `ratings` (doc_id, label), no nulls; a label is an integer grade."""
+    sample = sample_by_class(texts, rows, size, ratings)  # bounded, so one task may fit it
     got = sample.groupBy(F.lit(0).alias("all")).applyInPandas(_fit, "model binary").collect()
     return pickle.loads(got[0]["model"]) if got else Model([0], np.zeros(BUCKETS), np.zeros(0))
 
@@ -129,8 +139,8 @@ def _predict(batches: Iterator[pa.RecordBatch], held, at_least: int) -> Iterator
 def rate(docs: DataFrame, ratings: DataFrame, held_out: Column, at_least: int = 1, keep_from: float = 0.5) -> DataFrame:
     """(doc_id, held_out, expected_grade, tail, selected) of every row; learns from `ratings` (doc_id, grade) of rows not held out."""
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"))
-    known = ratings.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").alias("grade"))
-    learn = marked.where(~F.col("held_out") & F.col("text").isNotNull()).join(known, "doc_id").select("text", "grade")
-    model = docs.sparkSession.sparkContext.broadcast(fit(learn))  # BUCKETS weights
+    known = ratings.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").cast("int").alias("label"))
+    learn = marked.where(~F.col("held_out") & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "text")
+    model = docs.sparkSession.sparkContext.broadcast(fit(learn, known))  # BUCKETS weights
     found = marked.mapInArrow(lambda it: _predict(it, model, at_least), "doc_id long, held_out boolean, expected_grade double, tail double")
     return found.withColumn("selected", F.col("tail") >= keep_from)

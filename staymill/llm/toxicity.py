@@ -171,9 +171,9 @@ def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"model": [pickle.dumps(model)]})
 
 
-def fit(learn: DataFrame) -> Model:
-    """Learn from (text, toxic), neither of them null; toxic is 0 or 1."""
-    sample = sample_by_class(learn.select(F.col("toxic").cast("int").alias("label"), "text"), ROWS, BYTES)  # bounded, so one task may fit it
+def fit(texts: DataFrame, labels: DataFrame, rows: int = ROWS, size: int = BYTES) -> Model:
+    """Learn from `texts` (doc_id, text) and `labels` (doc_id, label), no nulls; a label is 0 or 1."""
+    sample = sample_by_class(texts, rows, size, labels)  # bounded, so one task may fit it
     got = sample.groupBy(F.lit(0).alias("all")).applyInPandas(_fit, "model binary").collect()
     return pickle.loads(got[0]["model"]) if got else Model(None, np.zeros(0), np.zeros(0), np.zeros(0), 0.0)
 
@@ -189,7 +189,7 @@ def _predict(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch
 def classify(docs: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row; learns from `labels` (doc_id, toxic) of rows that are not held out."""
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"))
-    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    learn = marked.where(~F.col("held_out") & F.col("text").isNotNull()).join(known, "doc_id").select("text", "toxic")
-    model = docs.sparkSession.sparkContext.broadcast(fit(learn))  # bounded by ROWS and BYTES
+    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
+    learn = marked.where(~F.col("held_out") & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "text")
+    model = docs.sparkSession.sparkContext.broadcast(fit(learn, known))  # bounded by ROWS and BYTES
     return marked.mapInArrow(lambda it: _predict(it, model), "doc_id long, held_out boolean, score double, predicted int")

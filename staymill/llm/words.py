@@ -6,7 +6,6 @@ into words, so UTF-8 characters are never cut."""
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -31,17 +30,7 @@ _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
 _EXACT = _BYTE.copy()
 _BYTE[0x41:0x5B] = _BYTE[0x61:0x7B]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
-
-
-@lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    both = []
-    for step in (_BASE, _INVERSE):
-        p = np.full(n, step, np.uint64)
-        p[0] = 1
-        both.append(np.multiply.accumulate(p))
-    return both[0], both[1]
+_BLOCK = 1 << 17  # bytes hashed at once
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -62,12 +51,25 @@ class Words(NamedTuple):
 
 
 def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = True) -> np.ndarray:
-    """Hash of each span of bytes; with `fold`, A-Z count as a-z."""
-    n = len(data)
-    power, inverse = _powers(1 << max(20, int(n).bit_length()))
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum((_BYTE if fold else _EXACT)[data] * power[:n], out=total[1:])
-    return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+    """Hash of each span of bytes; with `fold`, A-Z count as a-z.
+
+    Every byte is mixed with its place in the span before the sum, so no arrangement of equal bytes cancels out. Blocks
+    bound what is held at once, however long a span is."""
+    table = _BYTE if fold else _EXACT
+    size = end - start
+    total = size.astype(np.uint64)
+    edge = np.concatenate([[0], np.cumsum(size)])
+    for low in range(0, int(edge[-1]), _BLOCK):
+        high = min(low + _BLOCK, int(edge[-1]))
+        a, b = int(np.searchsorted(edge, low, "right")) - 1, int(np.searchsorted(edge, high, "left"))
+        cut = np.clip(edge[a : b + 1], low, high)
+        here = np.diff(cut)
+        place = np.arange(low, high) - np.repeat(edge[a:b], here)
+        x = mix(table[data[np.repeat(start[a:b], here) + place]] + place.astype(np.uint64) * _BASE)
+        full = np.flatnonzero(here)
+        part = total[a:b]
+        part[full] += np.add.reduceat(x, (cut[:-1] - low)[full])
+    return mix(total)
 
 
 def split_words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words:
