@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staymill.llm import decontaminate, langid, linededup, lm, mixture, quality, toxicity
+from staymill.llm import collocations, decontaminate, html, langid, linededup, lm, merkle, mixture, quality, toxicity
 from staymill.llm.jaccard import similar_groups
 from staymill.llm.topk import top_k
 from staymill.llm.wavelet import read_documents, token_shards
@@ -141,3 +141,22 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 @_register("op10_token_ids")
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(token_shards(read(spark, sf_dir, "documents"), tokenizer_path()))
+
+
+@_register("op11_collocations", collocations.SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"), max_words=3, min_count=10, keep_share=50, top=2000)
+
+
+@_register("op12_html_extract")
+def op12_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages"))
+
+
+@_register("op13_merkle_manifest", merkle.SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row as a leaf, 16 to a node; texts whose id's checksum 5 divides are tampered with by lower-casing A-Z."""
+    docs = read(spark, sf_dir, "documents")
+    changed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    tampered = F.when(changed, F.translate("text", merkle.UPPER, merkle.LOWER)).otherwise(F.col("text"))
+    return merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], group="source", order="doc_id", tampered={"text": tampered})
