@@ -2,7 +2,7 @@
 
 A row is a leaf: SHA-256 over its fields. The leaves of a group stand in order; every `ARITY` consecutive nodes become
 one node of the next level until one is left, the subroot; the subroots in order of their groups become the root in the
-same way. All hashes are lower-case hex texts.
+same way. Hashes are concatenated as lower-case hex texts.
 
 The built levels are written as node rows, each with its parent's key and the hashes it was made of. A recursive query
 then climbs from the leaves: per step it joins the parent, appends the siblings to the proof and folds the (possibly
@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from staymill.functions.session import materialise
@@ -34,9 +34,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def leaf_hash(values: Sequence[Column]) -> Column:
-    """Each value as `-` if null, else its length in bytes, a colon and the value."""
+    """Digest of the values, each as `-` if null, else its length in bytes, a colon and the value."""
     parts = [F.coalesce(F.concat(F.octet_length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in (c.cast("string") for c in values)]
-    return F.sha2(F.concat(*parts), 256)
+    return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
 def _positions(df: DataFrame, order: Sequence[str], group: str, totals: Sequence[str] = ()) -> DataFrame:
@@ -48,8 +48,6 @@ def _positions(df: DataFrame, order: Sequence[str], group: str, totals: Sequence
     heads = materialise(at.groupBy("_part", group).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")), "heads")
     parts = heads.groupBy("_part").agg(F.sum("_n").alias("_rows"), F.max(F.struct(F.col(group).isNotNull(), F.col(group))).alias("_last"),
                                        F.min(F.struct(F.col(group).isNotNull(), F.col(group))).alias("_head"), F.count(F.lit(1)).alias("_groups"))
-    from pyspark.sql import Window
-
     line = Window.orderBy("_part")  # one row per partition of the table
     before = line.rowsBetween(Window.unboundedPreceding, -1)
     goes_on = F.coalesce((F.lag("_last").over(line) == F.col("_head")).cast("long"), F.lit(0))
@@ -73,6 +71,14 @@ def _text(hashes: Column) -> Column:
     return F.array_join(hashes, "")
 
 
+def _hex(digest: Column) -> Column:
+    return F.lower(F.hex(digest))
+
+
+def _leaf_text(leaves: Column) -> Column:
+    return F.array_join(F.transform(leaves, _hex), "")
+
+
 def _linked(nodes: DataFrame, groups: int) -> DataFrame:
     """Node rows with the key of their parent: the next level of their tree, or from a subroot the top tree 0."""
     last = F.col("size") == 1
@@ -110,10 +116,10 @@ def build(leaves: DataFrame, group: str, order: str) -> tuple[DataFrame, DataFra
     runs = placed.groupBy("tree", "n", F.floor(F.col("pos") / ARITY).cast("long").alias("run")).agg(
         F.array_sort(F.collect_list(item)).alias("items"), F.min("place").alias("low"))
     # A lone leaf is its group's subroot as it is.
-    digest = F.when(F.col("n") == 1, F.col("items")[0]["leaf"]).otherwise(F.sha2(_text(F.col("items")["leaf"]), 256))
+    digest = F.when(F.col("n") == 1, _hex(F.col("items")[0]["leaf"])).otherwise(F.sha2(_leaf_text(F.col("items")["leaf"]), 256))
     runs = materialise(runs.select(
         "tree", F.lit(1).alias("level"), F.col("run").alias("pos"), F.ceil(F.col("n") / ARITY).cast("long").alias("size"), digest.alias("digest"),
-        F.col("items")["leaf"].alias("children"), "low", F.col("low").alias("high"), "items"), "runs")
+        F.lit(None).cast("array<string>").alias("children"), "low", F.col("low").alias("high"), "items"), "runs")
     largest, groups = runs.agg(F.coalesce(F.max("size"), F.lit(0)), F.coalesce(F.max("tree"), F.lit(0))).first()
     current, levels = runs.select(_NODE), []
     subroots = [current]
@@ -143,8 +149,8 @@ WITH RECURSIVE climb (items, path, subroot, digest, block, up_tree, up_level, up
   SELECT items, path, subroot, digest, block, up_tree, up_level, up_pos, seat FROM {start}
   UNION ALL
   SELECT transform(c.items, i -> struct(i.id AS id, i.leaf AS leaf,
-           sha2(concat(array_join(slice(n.children, 1, c.seat), ''), i.folded, array_join(slice(n.children, c.seat + 2, {arity}), '')), 256) AS folded)),
-         concat(c.path, array_join(slice(n.children, 1, c.seat), ''), array_join(slice(n.children, c.seat + 2, {arity}), '')),
+           unhex(sha2(concat(array_join(slice(n.children, 1, c.seat), ''), lower(hex(i.folded)), array_join(slice(n.children, c.seat + 2, {arity}), '')), 256)) AS folded)),
+         concat(c.path, unhex(concat(array_join(slice(n.children, 1, c.seat), ''), array_join(slice(n.children, c.seat + 2, {arity}), '')))),
          coalesce(c.subroot, CASE WHEN n.is_subroot THEN n.digest END), n.digest, c.block, n.up_tree, n.up_level, n.up_pos, n.seat
   FROM climb c JOIN {nodes} n ON c.up_tree = n.tree AND c.up_level = n.level AND c.up_pos = n.pos AND c.block = n.block)
 SELECT items, path, subroot, digest FROM climb WHERE up_tree IS NULL
@@ -154,13 +160,13 @@ SELECT items, path, subroot, digest FROM climb WHERE up_tree IS NULL
 def climb(runs: DataFrame, nodes: DataFrame, order: str) -> DataFrame:
     """(items, path, subroot, digest) per run at the root: folded hashes of its leaves, siblings above it, subroot and root."""
     spark: SparkSession = runs.sparkSession
-    hashes = F.col("children")
+    hashes = F.col("items")["leaf"]
     fold = lambda i, k: F.struct(
         i[order].alias("id"), i["leaf"].alias("leaf"),
         F.when((F.col("size") == 1) & (F.size("items") == 1), i["tampered"]).otherwise(
-            F.sha2(F.concat(_text(F.slice(hashes, F.lit(1), k)), i["tampered"], _text(F.slice(hashes, k + 2, F.lit(ARITY)))), 256)).alias("folded"))
+            F.unhex(F.sha2(F.concat(_leaf_text(F.slice(hashes, F.lit(1), k)), _hex(i["tampered"]), _leaf_text(F.slice(hashes, k + 2, F.lit(ARITY)))), 256))).alias("folded"))
     start = runs.select(
-        F.transform("items", fold).alias("items"), F.lit("").alias("path"), F.when(F.col("is_subroot"), F.col("digest")).alias("subroot"), "digest",
+        F.transform("items", fold).alias("items"), F.lit(b"").alias("path"), F.when(F.col("is_subroot"), F.col("digest")).alias("subroot"), "digest",
         F.floor(F.col("low") / BLOCK).alias("block"), "up_tree", "up_level", "up_pos", "seat")
     covered = F.sequence(F.floor(F.col("low") / BLOCK), F.floor(F.col("high") / BLOCK))
     copies = materialise(nodes.withColumn("block", F.explode(covered)).drop("size", "low", "high"), "copies")
@@ -168,7 +174,7 @@ def climb(runs: DataFrame, nodes: DataFrame, order: str) -> DataFrame:
     limit = spark.conf.get(key, None)
     spark.conf.set(key, "-1")  # the number of rows is that of the runs times the levels
     try:
-        return materialise(spark.sql(_CLIMB, start=materialise(start, "start"), nodes=copies, arity=ARITY), "climbed")
+        return materialise(spark.sql(_CLIMB, start=start, nodes=copies, arity=ARITY), "climbed")
     finally:
         spark.conf.unset(key) if limit is None else spark.conf.set(key, limit)
 
@@ -183,12 +189,13 @@ def manifest(docs: DataFrame, fields: Sequence[str], group: str, order: str, tam
         leaf_hash([tampered.get(c, F.col(c)) for c in fields]).alias("tampered")), "leaves")
     ended = climb(*build(leaves, group, order), order)
     hashes = F.col("items")["leaf"]
-    others = F.concat(_text(F.slice(hashes, F.lit(1), F.col("k"))), _text(F.slice(hashes, F.col("k") + 2, F.lit(ARITY))))
+    others = F.concat(_leaf_text(F.slice(hashes, F.lit(1), F.col("k"))), _leaf_text(F.slice(hashes, F.col("k") + 2, F.lit(ARITY))))
+    folded = _hex(F.col("item.folded"))
     rows = ended.select("items", "path", "subroot", "digest", F.posexplode("items").alias("k", "item"))
     return rows.select(
-        F.col("item.id").alias(order), F.col("item.leaf").alias("leaf"), "subroot", F.col("digest").alias("root"),
-        F.sha2(F.concat(others, "path"), 256).alias("proof_sha256"), F.col("item.folded").alias("folded_root"),
-        (F.col("item.folded") == F.col("digest")).alias("verified"))
+        F.col("item.id").alias(order), _hex(F.col("item.leaf")).alias("leaf"), "subroot", F.col("digest").alias("root"),
+        F.sha2(F.concat(others, _hex(F.col("path"))), 256).alias("proof_sha256"), folded.alias("folded_root"),
+        (folded == F.col("digest")).alias("verified"))
 
 
 # --- The same in DuckDB ----------------------------------------------------------
