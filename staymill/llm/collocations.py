@@ -5,13 +5,15 @@ Per length: count the groups, keep the frequent ones, semi-join the relation wit
 itself one place further for the next length (two phrases that overlap in all but one word make one longer phrase). A
 phrase is known by the keys of its first and its last part, and these links also give the counts of all its cuts.
 
-A relation is written block by block, a block being some megabytes of text: distinct keys, and for each occurrence the
-code of its key and its place, packed. Both sides of a merge-join always lie in one block, so occurrences are never dealt
-out by phrase; what is shuffled is one row per distinct phrase and block, summed in the block before.
+A relation is written block by block, a block being some megabytes of text: its distinct phrases as pairs of earlier
+codes, how often each occurs, and for each occurrence its code and its place, all packed. Both sides of a merge-join
+always lie in one block, so occurrences are never dealt out by phrase. For the group-count a block deals out its sorted
+keys, once each; back come two bits a key: is it frequent, and has this block to spell it out.
 
-Scale: a very common phrase is one row per block. Texts longer than a block are cut between pieces, so a task holds a
-few blocks whatever the texts are. Frequent phrases go back to the blocks by a join on the key, never by broadcast of all.
-Ranking cuts each language into hashed parts first, whose best rows alone meet.
+Scale: the number of parts of a group-count grows with the keys, so that a task sums some millions of them; parts that a
+block has nothing for are left out, and a very common phrase is one key per block. Texts longer than a block are cut
+between pieces, so a task holds a few blocks whatever the texts are. Ranking cuts each language into hashed parts first,
+whose best rows alone meet.
 
 Words are told apart by 64-bit hashes of language and word, phrases by 64-bit hashes of their two parts.
 
@@ -23,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -34,6 +37,7 @@ from staymill.functions.session import materialise
 from staymill.llm.words import chunks, mix, runs, split_words, text_buffer
 
 BLOCK_BYTES = 8 << 20
+PART_KEYS = 2_000_000  # keys of all blocks that one task sums, about
 RANK_PARTS = 256  # parts of a language that are ranked apart first
 NO_LANG = "und"
 
@@ -43,9 +47,14 @@ _BREAK[_SEPARATORS] = True
 _INSIDE = ~_BREAK
 _INSIDE[[0x20, 0x09]] = False
 
-_PACKED = "codes binary, places binary"
-_WORDS = f"block long, keys array<long>, langs array<string>, words array<string>, counts array<long>, {_PACKED}"
-_PHRASES = f"block long, keys array<long>, heads array<long>, tails array<long>, counts array<long>, {_PACKED}"
+#: What a block says of its own: which keys it holds (by code: words, or pairs of earlier codes), how often, and where.
+_RELATION = (
+    "block long, size long, vocabulary binary, heads binary, tails binary, counts binary, codes binary, places binary, words array<string>, langs array<string>, "
+    "all_langs array<string>, all_counts array<long>, told array<struct<key: long, head: long, tail: long, phrase: string, lang: string>>"
+)
+_TOLD = pa.list_(pa.struct([("key", pa.int64()), ("head", pa.int64()), ("tail", pa.int64()), ("phrase", pa.string()), ("lang", pa.string())]))
+_SHARES = "part int, block long, keys binary, counts binary"
+_FOUND = "part int, block long, size int, mask binary, tells binary, keys array<long>, counts array<long>"
 
 
 # --- Blocks ---------------------------------------------------------------------
@@ -68,19 +77,19 @@ def _unpack_places(packed: bytes) -> np.ndarray:
     return np.cumsum(_unpack(packed))
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys: steps, laid down byte by byte, so that their empty upper bytes cost nothing."""
+    steps = np.diff(keys, prepend=np.zeros(1, np.uint64))
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _unpack_keys(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def _key(heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
-    """The same 64 bits as Spark's xxhash64(head, tail)."""
-    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-    turn = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
-    h = np.full(len(heads), 42, np.uint64)
-    for part in (heads, tails):
-        h = h + p5 + np.uint64(8)
-        h = h ^ (turn(part.astype(np.int64).view(np.uint64) * p2, 31) * p1)
-        h = turn(h, 27) * p1 + p4
-        h = (h ^ (h >> np.uint64(33))) * p2
-        h = (h ^ (h >> np.uint64(29))) * p3
-        h = h ^ (h >> np.uint64(32))
-    return h.view(np.int64)
+    return mix(heads * np.uint64(0x9E3779B97F4A7C15) + mix(tails + np.uint64(0x632BE59BD9B4E019)))
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
@@ -119,16 +128,80 @@ def _relation(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = np.array([xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")) for lang in langs], np.uint64)
         keys, first, codes = np.unique(mix(words.hash + salt[doc]), return_index=True, return_inverse=True)
         spelled = [data[a:b].tobytes().lower().decode("utf-8", "replace") for a, b in zip(words.start[first].tolist(), words.end[first].tolist())]
+        per_lang: dict[str, int] = {}
+        for lang, count in zip(langs, np.diff(words.bounds).tolist()):
+            per_lang[lang] = per_lang.get(lang, 0) + count
+        yield _row(
+            TaskContext.get().partitionId() << 32 | seq, keys, np.zeros(0, np.int64), np.zeros(0, np.int64), np.bincount(codes), codes, places,
+            words=spelled, langs=[langs[d] for d in doc[first].tolist()], all_langs=list(per_lang), all_counts=list(per_lang.values()),
+        )
+
+
+def _row(block: int, vocabulary, heads, tails, counts, codes, places, words=(), langs=(), all_langs=(), all_counts=(), told=()) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([block], pa.int64()), pa.array([len(counts)], pa.int64()),
+            *[pa.array([x], pa.binary()) for x in (_pack_keys(vocabulary), _pack(heads), _pack(tails), _pack(counts), _pack(codes), _pack_places(places))],
+            *[pa.array([list(x)], pa.list_(pa.string())) for x in (words, langs, all_langs)], pa.array([list(all_counts)], pa.list_(pa.int64())),
+            pa.array([list(told)], _TOLD),
+        ],
+        names=["block", "size", "vocabulary", "heads", "tails", "counts", "codes", "places", "words", "langs", "all_langs", "all_counts", "told"],
+    )
+
+
+class _Block:
+    """A block's distinct phrases in the order of their keys."""
+
+    def __init__(self, row: dict):
+        self.vocabulary = _unpack_keys(row["vocabulary"])
+        self.heads, self.tails = _unpack(row["heads"]), _unpack(row["tails"])
+        self.pairs = len(self.heads) > 0
+        keys = _key(self.vocabulary[self.heads], self.vocabulary[self.tails]) if self.pairs else self.vocabulary
+        self.order = np.argsort(keys)  # words are sorted already
+        self.keys, self.counts = keys[self.order], _unpack(row["counts"])[self.order]
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _shares(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Keys and counts of each block, cut into parts by the upper bits of the keys; empty parts are left out."""
+    for row in _rows(batches):
+        block = _Block(row)
+        part = (block.keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(block.keys), np.int64)
+        first = runs(part)
+        ends = np.append(first[1:], len(part))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([TaskContext.get().partitionId() << 32 | seq], pa.int64()), pa.array([keys.view(np.int64)], pa.list_(pa.int64())),
-                pa.array([[langs[d] for d in doc[first].tolist()]], pa.list_(pa.string())), pa.array([spelled], pa.list_(pa.string())),
-                pa.array([np.bincount(codes)], pa.list_(pa.int64())), pa.array([_pack(codes)], pa.binary()), pa.array([_pack_places(places)], pa.binary()),
+                pa.array(part[first], pa.int32()), pa.array([row["block"]] * len(first), pa.int64()),
+                pa.array([_pack_keys(block.keys[a:b]) for a, b in zip(first, ends)], pa.binary()), pa.array([_pack(block.counts[a:b]) for a, b in zip(first, ends)], pa.binary()),
             ],
-            names=["block", "keys", "langs", "words", "counts", "codes", "places"],
+            names=["part", "block", "keys", "counts"],
         )
 
 
+def _count(pdf: pd.DataFrame, min_count: int) -> pd.DataFrame:
+    """One part of all blocks: sums, and for each block which of its keys are frequent and which it has to spell out."""
+    pdf = pdf.sort_values("block", ignore_index=True)
+    keys = [_unpack_keys(k) for k in pdf["keys"]]
+    edge = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+    kinds, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    total = np.zeros(len(kinds), np.int64)
+    np.add.at(total, inverse, np.concatenate([_unpack(c) for c in pdf["counts"]]))
+    good = total >= min_count
+    mask, tells = good[inverse], np.zeros(len(inverse), bool)
+    tells[first[good]] = True
+    cut = lambda flags: [np.packbits(flags[a:b]).tobytes() for a, b in zip(edge, edge[1:])] + [b""]
+    none = [np.zeros(0, np.int64)] * len(pdf)
+    return pd.DataFrame({
+        "part": pdf["part"][0], "block": [*pdf["block"], -1], "size": [*np.diff(edge), 0], "mask": cut(mask), "tells": cut(tells),
+        "keys": [*none, kinds[good].view(np.int64)], "counts": [*none, total[good]],
+    })
+
+
 def _merge_join(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows of two sorted place lists of which the right one stands a place further."""
     at = np.minimum(np.searchsorted(right, left + 1), max(len(right) - 1, 0))
@@ -136,39 +209,58 @@ def _merge_join(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
     return met, at[met]
 
 
-def _longer(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
-    """The next length from a relation and its block's frequent keys; the last one needs no occurrences."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            keys = np.asarray(row.column("keys")[0].values, np.int64)
-            keep = np.isin(keys, np.asarray(row.column("frequent")[0].values, np.int64))
-            codes, places = _unpack(row.column("codes")[0].as_py()), _unpack_places(row.column("places")[0].as_py())
-            here = keep[codes]
-            codes, places = codes[here], places[here]
-            a, b = _merge_join(places, places)
-            pair, codes_next = np.unique(codes[a] * len(keys) + codes[b], return_inverse=True)
-            if not len(pair):
-                continue
-            heads, tails = keys[pair // len(keys)], keys[pair % len(keys)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    row.column("block"), pa.array([np.zeros(0, np.int64) if last else _key(heads, tails)], pa.list_(pa.int64())), pa.array([heads], pa.list_(pa.int64())),
-                    pa.array([tails], pa.list_(pa.int64())), pa.array([np.bincount(codes_next)], pa.list_(pa.int64())),
-                    pa.array([b"" if last else _pack(codes_next)], pa.binary()), pa.array([b"" if last else _pack_places(places[a])], pa.binary()),
-                ],
-                names=["block", "keys", "heads", "tails", "counts", "codes", "places"],
-            )
+def _flags(masks: list[dict], which: str) -> np.ndarray:
+    parts = [np.unpackbits(np.frombuffer(m[which], np.uint8), count=m["size"]) for m in sorted(masks, key=lambda m: m["part"])]
+    return np.concatenate(parts).astype(bool)
+
+
+def _longer(batches: Iterator[pa.RecordBatch], extend: bool) -> Iterator[pa.RecordBatch]:
+    """The relation of the next length from the frequent occurrences of a block, and the phrases that it has to spell out."""
+    for row in _rows(batches):
+        block = _Block(row)
+        keep, keys = np.zeros(len(block.keys), bool), np.zeros(len(block.keys), np.uint64)
+        keep[block.order], keys[block.order] = _flags(row["masks"], "mask"), block.keys
+        told = []
+        for i in block.order[_flags(row["masks"], "tells")].tolist():
+            if block.pairs:
+                told.append((int(keys[i].view(np.int64)), int(block.vocabulary[block.heads[i]].view(np.int64)), int(block.vocabulary[block.tails[i]].view(np.int64)), None, None))
+            else:
+                told.append((int(keys[i].view(np.int64)), None, None, row["words"][i], row["langs"][i]))
+        told = [dict(zip(("key", "head", "tail", "phrase", "lang"), t)) for t in told]
+        none = np.zeros(0, np.int64)
+        if not extend:
+            yield _row(row["block"], none.astype(np.uint64), none, none, none, none, none, told=told)
+            continue
+        kept_in_order = keep[block.order]
+        code_of = np.zeros(len(keep), np.int64)  # codes among the frequent keys, in their order
+        code_of[block.order] = np.cumsum(kept_in_order) - 1
+        codes, places = _unpack(row["codes"]), _unpack_places(row["places"])
+        here = keep[codes]
+        codes, places = code_of[codes[here]], places[here]
+        frequent = block.keys[kept_in_order]
+        a, b = _merge_join(places, places)
+        size = max(len(frequent), 1)
+        pair, codes_next = np.unique(codes[a] * size + codes[b], return_inverse=True)
+        yield _row(row["block"], frequent, pair // size, pair % size, np.bincount(codes_next, minlength=len(pair)), codes_next, places[a], told=told)
 
 
 # --- Mining -----------------------------------------------------------------------
 
 
-def _semi_join(relation: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The blocks with those of their keys that are frequent."""
-    keys = relation.select("block", F.explode("keys").alias("key"))
-    kept = keys.join(frequent.select("key"), "key", "left_semi").groupBy("block").agg(F.collect_list("key").alias("frequent"))
-    return relation.select("block", "keys", "codes", "places").join(kept, "block")
+def _frequent(relation: DataFrame, min_count: int) -> DataFrame:
+    """Sums of all keys by parts of about `PART_KEYS` keys: rows of flags for the blocks, and of the frequent keys (block -1)."""
+    keys = relation.agg(F.sum("size")).first()[0] or 0
+    bits = max(0, int(keys // PART_KEYS).bit_length())
+    packed = relation.where("size > 0").select("block", "vocabulary", "heads", "tails", "counts")
+    shares = packed.mapInArrow(lambda it: _shares(it, bits), _SHARES)
+    return materialise(shares.groupBy("part").applyInPandas(lambda pdf: _count(pdf, min_count), _FOUND), "found")
+
+
+def _extend(relation: DataFrame, found: DataFrame, extend: bool) -> DataFrame:
+    masks = found.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("part", "size", "mask", "tells")).alias("masks"))
+    wanted = ["vocabulary", "heads", "tails", "counts", "words", "langs", *(["codes", "places"] if extend else [])]
+    joined = relation.where("size > 0").select("block", *wanted).join(masks, "block")
+    return materialise(joined.mapInArrow(lambda it: _longer(it, extend), _RELATION), "phrases")
 
 
 def frequent_phrases(docs: DataFrame, max_words: int, min_count: int) -> tuple[list[DataFrame], DataFrame]:
@@ -177,23 +269,23 @@ def frequent_phrases(docs: DataFrame, max_words: int, min_count: int) -> tuple[l
     Columns: key, head, tail (keys of the first and last part; null for words), lang, phrase, last, f, firsts, rests: counts
     of the phrase's beginnings and endings of 1, 2, ... words."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.col("text").cast("string").alias("text"))
-    relation = materialise(rows.mapInArrow(_relation, _WORDS), "words")
-    counted = relation.select(F.inline(F.arrays_zip("keys", "langs", "words", "counts")))
-    words = materialise(counted.groupBy(F.col("keys").alias("key"), F.col("langs").alias("lang"), F.col("words").alias("phrase")).agg(F.sum("counts").alias("f")), "vocabulary")
-    sizes = materialise(words.groupBy("lang").agg(F.sum("f").alias("n")), "sizes")
+    relation = materialise(rows.mapInArrow(_relation, _RELATION), "words")
+    sizes = relation.select(F.inline(F.arrays_zip("all_langs", "all_counts"))).toDF("lang", "n").groupBy("lang").agg(F.sum("n").alias("n"))
     none = F.array().cast("array<bigint>")
-    long = F.lit(None).cast("long")
-    tables = [words.where(F.col("f") >= min_count).select("key", long.alias("head"), long.alias("tail"), "lang", "phrase", F.col("phrase").alias("last"), "f", none.alias("firsts"), none.alias("rests"))]
-    for length in range(2, max_words + 1):
-        last = length == max_words
-        relation = materialise(_semi_join(relation, tables[-1]).mapInArrow(lambda it, last=last: _longer(it, last), _PHRASES), "phrases")
-        counts = relation.select(F.inline(F.arrays_zip("heads", "tails", "counts"))).groupBy("heads", "tails").agg(F.sum("counts").alias("f"))
-        pairs = counts.where(F.col("f") >= min_count).toDF("head", "tail", "f")
-        first = tables[-1].select(F.col("key").alias("head"), "lang", F.col("phrase").alias("_begin"), F.concat("firsts", F.array("f")).alias("firsts"))
-        rest = tables[-1].select(F.col("key").alias("tail"), "last", F.concat("rests", F.array("f")).alias("rests"))
-        joined = pairs.join(first, "head").join(rest, "tail")
-        tables.append(materialise(joined.select(
-            F.xxhash64("head", "tail").alias("key"), "head", "tail", "lang", F.concat_ws(" ", "_begin", "last").alias("phrase"), "last", "f", "firsts", "rests"), "frequent"))
+    tables: list[DataFrame] = []
+    for length in range(1, max_words + 1):
+        found = _frequent(relation, min_count)
+        relation = _extend(relation, found, extend=length < max_words)
+        counts = found.where("block = -1").select(F.inline(F.arrays_zip("keys", "counts"))).toDF("key", "f")
+        spelled = relation.select(F.inline("told")).join(counts, "key")
+        if length == 1:
+            table = spelled.select("key", "head", "tail", "lang", "phrase", F.col("phrase").alias("last"), "f", none.alias("firsts"), none.alias("rests"))
+        else:
+            first = tables[-1].select(F.col("key").alias("head"), "lang", F.col("phrase").alias("_begin"), F.concat("firsts", F.array("f")).alias("firsts"))
+            rest = tables[-1].select(F.col("key").alias("tail"), "last", F.concat("rests", F.array("f")).alias("rests"))
+            joined = spelled.drop("phrase", "lang").join(first, "head").join(rest, "tail")
+            table = joined.select("key", "head", "tail", "lang", F.concat_ws(" ", "_begin", "last").alias("phrase"), "last", "f", "firsts", "rests")
+        tables.append(materialise(table, "frequent"))
     return tables, sizes
 
 

@@ -63,11 +63,20 @@ def test_long_texts_are_cut_between_pieces(monkeypatch):
     assert all(p[-1] in ",;." for p in parts[:-2])
 
 
-def test_keys_are_those_of_spark(spark):
+def test_packed_values_come_back():
     rng = np.random.default_rng(3)
-    a, b = (rng.integers(-(2**63), 2**63 - 1, 50, dtype=np.int64) for _ in range(2))
-    got = spark.createDataFrame(list(zip(a.tolist(), b.tolist())), "a long, b long").select(F.xxhash64("a", "b")).collect()
-    assert [r[0] for r in got] == C._key(a, b).tolist()
+    keys = np.sort(rng.integers(0, 2**64 - 1, 1000, dtype=np.uint64))
+    for k in (keys, keys[:0], np.array([2**64 - 1], np.uint64)):
+        assert (C._unpack_keys(C._pack_keys(k)) == k).all() and len(C._unpack_keys(C._pack_keys(k))) == len(k)
+    for values in ([], [0], [255, 256], [1, 70_000, 2**40]):
+        assert C._unpack(C._pack(np.array(values, np.int64))).tolist() == values
+        assert C._unpack_places(C._pack_places(np.array(values, np.int64))).tolist() == values
+
+
+def test_many_parts_and_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(C, "PART_KEYS", 50)  # on the driver: the number of parts
+    docs = spark.createDataFrame(ROWS, "lang string, text string").repartition(7)
+    assert sorted(map(tuple, C.mine(docs, 3, 5, 50, 2000).collect())) == _brute(ROWS, 3, 5, 50, 2000)
 
 
 def test_scores_are_exact_beyond_64_bits(spark):
