@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from staymill.functions.session import materialise
 from staymill.llm.words import chunks, mix, runs, split_words, text_buffer
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 PART_KEYS = 2_000_000  # keys of all blocks that one task sums, about
 RANK_PARTS = 256  # parts of a language that are ranked apart first
 NO_LANG = "und"
@@ -49,10 +49,9 @@ _INSIDE[[0x20, 0x09]] = False
 
 #: What a block says of its own: which keys it holds (by code: words, or pairs of earlier codes), how often, and where.
 _RELATION = (
-    "block long, size long, vocabulary binary, heads binary, tails binary, counts binary, codes binary, places binary, words array<string>, langs array<string>, "
+    "block long, size long, vocabulary binary, heads binary, tails binary, counts binary, codes binary, places binary, words binary, langs binary, "
     "all_langs array<string>, all_counts array<long>, told array<struct<key: long, head: long, tail: long, phrase: string, lang: string>>"
 )
-_TOLD = pa.list_(pa.struct([("key", pa.int64()), ("head", pa.int64()), ("tail", pa.int64()), ("phrase", pa.string()), ("lang", pa.string())]))
 _SHARES = "part int, block long, keys binary, counts binary"
 _FOUND = "part int, block long, size int, mask binary, tells binary, keys array<long>, counts array<long>"
 
@@ -62,13 +61,17 @@ _FOUND = "part int, block long, size int, mask binary, tells binary, keys array<
 
 def _pack(values: np.ndarray) -> bytes:
     small = values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
-    return bytes([small.itemsize]) + zstandard.ZstdCompressor(level=1).compress(small.tobytes())
+    return bytes([small.itemsize]) + _squeeze(small.tobytes())
 
 
 def _unpack(packed: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), np.dtype(f"u{packed[0]}")).astype(np.int64)
 
 
+def _squeeze(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
 def _pack_places(places: np.ndarray) -> bytes:
     return _pack(np.diff(places, prepend=0))
 
@@ -80,7 +83,7 @@ def _unpack_places(packed: bytes) -> np.ndarray:
 def _pack_keys(keys: np.ndarray) -> bytes:
     """Sorted 64-bit keys: steps, laid down byte by byte, so that their empty upper bytes cost nothing."""
     steps = np.diff(keys, prepend=np.zeros(1, np.uint64))
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes())
+    return _squeeze(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes())
 
 
 def _unpack_keys(packed: bytes) -> np.ndarray:
@@ -127,23 +130,31 @@ def _relation(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = np.arange(n) + np.cumsum(fresh)
         salt = np.array([xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")) for lang in langs], np.uint64)
         keys, first, codes = np.unique(mix(words.hash + salt[doc]), return_index=True, return_inverse=True)
-        spelled = [data[a:b].tobytes().lower().decode("utf-8", "replace") for a, b in zip(words.start[first].tolist(), words.end[first].tolist())]
-        per_lang: dict[str, int] = {}
-        for lang, count in zip(langs, np.diff(words.bounds).tolist()):
-            per_lang[lang] = per_lang.get(lang, 0) + count
+        spelled = b" ".join(data[a:b].tobytes().lower() for a, b in zip(words.start[first].tolist(), words.end[first].tolist()))  # no word holds a space
+        kinds = {lang: i for i, lang in enumerate(dict.fromkeys(langs))}
+        lang = np.array([kinds[x] for x in langs])
         yield _row(
             TaskContext.get().partitionId() << 32 | seq, keys, np.zeros(0, np.int64), np.zeros(0, np.int64), np.bincount(codes), codes, places,
-            words=spelled, langs=[langs[d] for d in doc[first].tolist()], all_langs=list(per_lang), all_counts=list(per_lang.values()),
+            words=_squeeze(spelled), langs=_pack(lang[doc[first]]), all_langs=list(kinds), all_counts=np.bincount(lang, np.diff(words.bounds)).astype(np.int64),
         )
 
 
-def _row(block: int, vocabulary, heads, tails, counts, codes, places, words=(), langs=(), all_langs=(), all_counts=(), told=()) -> pa.RecordBatch:
+def _told(key, head=None, tail=None, phrase=None, lang=None) -> pa.Array:
+    """Phrases that a block spells out, as one list."""
+    n = len(key)
+    number = lambda x: pa.nulls(n, pa.int64()) if x is None else pa.array(x.view(np.int64))
+    text = lambda x: pa.nulls(n, pa.string()) if x is None else pa.array(x, pa.string())
+    rows = pa.StructArray.from_arrays([number(key), number(head), number(tail), text(phrase), text(lang)], names=["key", "head", "tail", "phrase", "lang"])
+    return pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), rows)
+
+
+def _row(block: int, vocabulary, heads, tails, counts, codes, places, words=b"", langs=b"", all_langs=(), all_counts=(), told=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array([block], pa.int64()), pa.array([len(counts)], pa.int64()),
             *[pa.array([x], pa.binary()) for x in (_pack_keys(vocabulary), _pack(heads), _pack(tails), _pack(counts), _pack(codes), _pack_places(places))],
-            *[pa.array([list(x)], pa.list_(pa.string())) for x in (words, langs, all_langs)], pa.array([list(all_counts)], pa.list_(pa.int64())),
-            pa.array([list(told)], _TOLD),
+            pa.array([words], pa.binary()), pa.array([langs], pa.binary()), pa.array([list(all_langs)], pa.list_(pa.string())),
+            pa.array([list(all_counts)], pa.list_(pa.int64())), _told(np.zeros(0, np.uint64)) if told is None else told,
         ],
         names=["block", "size", "vocabulary", "heads", "tails", "counts", "codes", "places", "words", "langs", "all_langs", "all_counts", "told"],
     )
@@ -214,19 +225,18 @@ def _flags(masks: list[dict], which: str) -> np.ndarray:
     return np.concatenate(parts).astype(bool)
 
 
-def _longer(batches: Iterator[pa.RecordBatch], extend: bool) -> Iterator[pa.RecordBatch]:
+def _longer(batches: Iterator[pa.RecordBatch], extend: bool, last: bool) -> Iterator[pa.RecordBatch]:
     """The relation of the next length from the frequent occurrences of a block, and the phrases that it has to spell out."""
     for row in _rows(batches):
         block = _Block(row)
         keep, keys = np.zeros(len(block.keys), bool), np.zeros(len(block.keys), np.uint64)
         keep[block.order], keys[block.order] = _flags(row["masks"], "mask"), block.keys
-        told = []
-        for i in block.order[_flags(row["masks"], "tells")].tolist():
-            if block.pairs:
-                told.append((int(keys[i].view(np.int64)), int(block.vocabulary[block.heads[i]].view(np.int64)), int(block.vocabulary[block.tails[i]].view(np.int64)), None, None))
-            else:
-                told.append((int(keys[i].view(np.int64)), None, None, row["words"][i], row["langs"][i]))
-        told = [dict(zip(("key", "head", "tail", "phrase", "lang"), t)) for t in told]
+        at = block.order[_flags(row["masks"], "tells")]
+        if block.pairs:
+            told = _told(keys[at], block.vocabulary[block.heads[at]], block.vocabulary[block.tails[at]])
+        else:
+            words, langs = zstandard.ZstdDecompressor().decompress(row["words"]).split(b" "), _unpack(row["langs"])
+            told = _told(keys[at], phrase=[words[i].decode("utf-8", "replace") for i in at.tolist()], lang=[row["all_langs"][i] for i in langs[at].tolist()])
         none = np.zeros(0, np.int64)
         if not extend:
             yield _row(row["block"], none.astype(np.uint64), none, none, none, none, none, told=told)
@@ -241,7 +251,8 @@ def _longer(batches: Iterator[pa.RecordBatch], extend: bool) -> Iterator[pa.Reco
         a, b = _merge_join(places, places)
         size = max(len(frequent), 1)
         pair, codes_next = np.unique(codes[a] * size + codes[b], return_inverse=True)
-        yield _row(row["block"], frequent, pair // size, pair % size, np.bincount(codes_next, minlength=len(pair)), codes_next, places[a], told=told)
+        kept = (none, none) if last else (codes_next, places[a])
+        yield _row(row["block"], frequent, pair // size, pair % size, np.bincount(codes_next, minlength=len(pair)), *kept, told=told)
 
 
 # --- Mining -----------------------------------------------------------------------
@@ -256,11 +267,12 @@ def _frequent(relation: DataFrame, min_count: int) -> DataFrame:
     return materialise(shares.groupBy("part").applyInPandas(lambda pdf: _count(pdf, min_count), _FOUND), "found")
 
 
-def _extend(relation: DataFrame, found: DataFrame, extend: bool) -> DataFrame:
+def _extend(relation: DataFrame, found: DataFrame, extend: bool, last: bool) -> DataFrame:
+    """The next relation, and in `told` the frequent phrases of this one. The last relation needs no occurrences."""
     masks = found.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("part", "size", "mask", "tells")).alias("masks"))
-    wanted = ["vocabulary", "heads", "tails", "counts", "words", "langs", *(["codes", "places"] if extend else [])]
-    joined = relation.where("size > 0").select("block", *wanted).join(masks, "block")
-    return materialise(joined.mapInArrow(lambda it: _longer(it, extend), _RELATION), "phrases")
+    wanted = ["vocabulary", "heads", "tails", "counts", "words", "langs", "all_langs", *(["codes", "places"] if extend else [])]
+    joined = relation.where("size > 0").select("block", *wanted).join(masks.hint("merge"), "block")  # masks grow with the corpus
+    return materialise(joined.mapInArrow(lambda it: _longer(it, extend, last), _RELATION), "phrases")
 
 
 def frequent_phrases(docs: DataFrame, max_words: int, min_count: int) -> tuple[list[DataFrame], DataFrame]:
@@ -275,7 +287,7 @@ def frequent_phrases(docs: DataFrame, max_words: int, min_count: int) -> tuple[l
     tables: list[DataFrame] = []
     for length in range(1, max_words + 1):
         found = _frequent(relation, min_count)
-        relation = _extend(relation, found, extend=length < max_words)
+        relation = _extend(relation, found, extend=length < max_words, last=length + 1 == max_words)
         counts = found.where("block = -1").select(F.inline(F.arrays_zip("keys", "counts"))).toDF("key", "f")
         spelled = relation.select(F.inline("told")).join(counts, "key")
         if length == 1:
