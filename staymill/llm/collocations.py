@@ -5,9 +5,9 @@ Per length: count the groups, keep the frequent ones, semi-join the relation wit
 itself one place further for the next length (two phrases that overlap in all but one word make one longer phrase). A
 phrase is known by the keys of its first and its last part, and these links also give the counts of all its cuts.
 
-A relation is written block by block, a block being some megabytes of text: its distinct phrases as pairs of earlier
-codes, how often each occurs, and for each occurrence its code and its place, all packed. Both sides of a merge-join
-always lie in one block, so occurrences are never dealt out by phrase. For the group-count a block deals out its sorted
+A relation is written block by block, a block being some megabytes of text: the vocabulary that is left in it, and for
+each occurrence its code and its place, all packed. Both sides of a merge-join always lie in one block, so occurrences
+are never dealt out by phrase. For the group-count a block deals out its sorted
 keys, once each; back come two bits a key: is it frequent, and has this block to spell it out.
 
 Scale: the number of parts of a group-count grows with the keys, so that a task sums some millions of them; parts that a
@@ -37,7 +37,7 @@ from staymill.functions.session import materialise
 from staymill.llm.words import chunks, mix, runs, split_words, text_buffer
 
 BLOCK_BYTES = 4 << 20
-PART_KEYS = 2_000_000  # keys of all blocks that one task sums, about
+PART_KEYS = 1_000_000  # keys of all blocks that one task sums, about
 RANK_PARTS = 256  # parts of a language that are ranked apart first
 NO_LANG = "und"
 
@@ -46,11 +46,13 @@ _BREAK = np.zeros(256, bool)
 _BREAK[_SEPARATORS] = True
 _INSIDE = ~_BREAK
 _INSIDE[[0x20, 0x09]] = False
+_NO_SPACE = np.ones(256, bool)
+_NO_SPACE[0x20] = False
 
-#: What a block says of its own: which keys it holds (by code: words, or pairs of earlier codes), how often, and where.
+#: A block's occurrences: vocabulary (spelled words, or keys of frequent phrases), the code of each occurrence, its place.
 _RELATION = (
-    "block long, size long, vocabulary binary, heads binary, tails binary, counts binary, codes binary, places binary, words binary, langs binary, "
-    "all_langs array<string>, all_counts array<long>, told array<struct<key: long, head: long, tail: long, phrase: string, lang: string>>"
+    "block long, size long, words binary, langs binary, vocabulary binary, codes binary, places binary, all_langs array<string>, all_counts array<long>, "
+    "told array<struct<key: long, head: long, tail: long, phrase: string, lang: string>>"
 )
 _SHARES = "part int, block long, keys binary, counts binary"
 _FOUND = "part int, block long, size int, mask binary, tells binary, keys array<long>, counts array<long>"
@@ -59,13 +61,23 @@ _FOUND = "part int, block long, size int, mask binary, tells binary, keys array<
 # --- Blocks ---------------------------------------------------------------------
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Laid down byte by byte, so that empty upper bytes cost nothing."""
+    return _squeeze(np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes())
+
+
+def _from_planes(packed: bytes, kind: np.dtype) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def _pack(values: np.ndarray) -> bytes:
     small = values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
-    return bytes([small.itemsize]) + _squeeze(small.tobytes())
+    return bytes([small.itemsize]) + _planes(small)
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), np.dtype(f"u{packed[0]}")).astype(np.int64)
+    return _from_planes(packed[1:], np.dtype(f"u{packed[0]}")).astype(np.int64)
 
 
 def _squeeze(raw: bytes) -> bytes:
@@ -81,14 +93,25 @@ def _unpack_places(packed: bytes) -> np.ndarray:
 
 
 def _pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted 64-bit keys: steps, laid down byte by byte, so that their empty upper bytes cost nothing."""
-    steps = np.diff(keys, prepend=np.zeros(1, np.uint64))
-    return _squeeze(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes())
+    """Sorted 64-bit keys as steps."""
+    return _planes(np.diff(keys, prepend=np.zeros(1, np.uint64)))
 
 
 def _unpack_keys(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(_from_planes(packed, np.dtype("u8")), dtype=np.uint64)
+
+
+def _word_keys(hashes: np.ndarray, langs: list[str], lang: np.ndarray) -> np.ndarray:
+    salt = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in langs], np.uint64)
+    return mix(hashes + salt[lang])
+
+
+def _by_count(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(old codes from the most frequent on, new codes): small numbers for what is common pack best."""
+    order = np.argsort(-np.bincount(codes, minlength=size), kind="stable")
+    new = np.empty(size, np.int64)
+    new[order] = np.arange(size)
+    return order, new[codes]
 
 
 def _key(heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
@@ -128,14 +151,15 @@ def _relation(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc = np.repeat(np.arange(len(langs)), np.diff(words.bounds))
         fresh[1:] |= doc[1:] != doc[:-1]
         places = np.arange(n) + np.cumsum(fresh)
-        salt = np.array([xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")) for lang in langs], np.uint64)
-        keys, first, codes = np.unique(mix(words.hash + salt[doc]), return_index=True, return_inverse=True)
-        spelled = b" ".join(data[a:b].tobytes().lower() for a, b in zip(words.start[first].tolist(), words.end[first].tolist()))  # no word holds a space
         kinds = {lang: i for i, lang in enumerate(dict.fromkeys(langs))}
         lang = np.array([kinds[x] for x in langs])
+        _, first, codes = np.unique(_word_keys(words.hash, list(kinds), lang[doc]), return_index=True, return_inverse=True)
+        order, codes = _by_count(codes, len(first))
+        first = first[order]
+        spelled = b" ".join(data[a:b].tobytes().lower() for a, b in zip(words.start[first].tolist(), words.end[first].tolist()))  # no word holds a space
         yield _row(
-            TaskContext.get().partitionId() << 32 | seq, keys, np.zeros(0, np.int64), np.zeros(0, np.int64), np.bincount(codes), codes, places,
-            words=_squeeze(spelled), langs=_pack(lang[doc[first]]), all_langs=list(kinds), all_counts=np.bincount(lang, np.diff(words.bounds)).astype(np.int64),
+            TaskContext.get().partitionId() << 32 | seq, len(first), codes, places, words=_squeeze(spelled), langs=_pack(lang[doc[first]]),
+            all_langs=list(kinds), all_counts=np.bincount(lang, np.diff(words.bounds)).astype(np.int64),
         )
 
 
@@ -148,28 +172,45 @@ def _told(key, head=None, tail=None, phrase=None, lang=None) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), rows)
 
 
-def _row(block: int, vocabulary, heads, tails, counts, codes, places, words=b"", langs=b"", all_langs=(), all_counts=(), told=None) -> pa.RecordBatch:
+def _row(block: int, size: int, codes, places, words=b"", langs=b"", vocabulary=b"", all_langs=(), all_counts=(), told=None) -> pa.RecordBatch:
+    binary = (words, langs, vocabulary, _pack(codes), _pack_places(places))
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([block], pa.int64()), pa.array([len(counts)], pa.int64()),
-            *[pa.array([x], pa.binary()) for x in (_pack_keys(vocabulary), _pack(heads), _pack(tails), _pack(counts), _pack(codes), _pack_places(places))],
-            pa.array([words], pa.binary()), pa.array([langs], pa.binary()), pa.array([list(all_langs)], pa.list_(pa.string())),
+            pa.array([block], pa.int64()), pa.array([size], pa.int64()), *[pa.array([x], pa.binary()) for x in binary], pa.array([list(all_langs)], pa.list_(pa.string())),
             pa.array([list(all_counts)], pa.list_(pa.int64())), _told(np.zeros(0, np.uint64)) if told is None else told,
         ],
-        names=["block", "size", "vocabulary", "heads", "tails", "counts", "codes", "places", "words", "langs", "all_langs", "all_counts", "told"],
+        names=["block", "size", "words", "langs", "vocabulary", "codes", "places", "all_langs", "all_counts", "told"],
     )
 
 
 class _Block:
-    """A block's distinct phrases in the order of their keys."""
+    """The distinct phrases of a block and their occurrences: its words, or the merge-join of its stored occurrences with
+    themselves one place further."""
 
     def __init__(self, row: dict):
-        self.vocabulary = _unpack_keys(row["vocabulary"])
-        self.heads, self.tails = _unpack(row["heads"]), _unpack(row["tails"])
-        self.pairs = len(self.heads) > 0
-        keys = _key(self.vocabulary[self.heads], self.vocabulary[self.tails]) if self.pairs else self.vocabulary
-        self.order = np.argsort(keys)  # words are sorted already
-        self.keys, self.counts = keys[self.order], _unpack(row["counts"])[self.order]
+        codes, places = _unpack(row["codes"]), _unpack_places(row["places"])
+        self.pairs = not row["words"]
+        if self.pairs:
+            vocabulary = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["vocabulary"]), np.uint64)
+            a, b = _merge_join(places, places)
+            pair, self.codes = np.unique(codes[a] * len(vocabulary) + codes[b], return_inverse=True)
+            self.places = places[a]
+            self.heads, self.tails = vocabulary[pair // len(vocabulary)], vocabulary[pair % len(vocabulary)]
+            self.keys = _key(self.heads, self.tails)
+        else:
+            self.codes, self.places = codes, places
+            self.spelled = zstandard.ZstdDecompressor().decompress(row["words"])
+            self.lang, self.langs = _unpack(row["langs"]), row["all_langs"]
+            data = np.frombuffer(self.spelled, np.uint8)
+            self.keys = _word_keys(split_words(data, np.array([0, len(data)]), _NO_SPACE).hash, self.langs, self.lang)
+        self.counts = np.bincount(self.codes, minlength=len(self.keys))
+        self.order = np.argsort(self.keys)
+
+    def told(self, at: np.ndarray) -> pa.Array:
+        if self.pairs:
+            return _told(self.keys[at], self.heads[at], self.tails[at])
+        words = self.spelled.split(b" ")
+        return _told(self.keys[at], phrase=[words[i].decode("utf-8", "replace") for i in at.tolist()], lang=[self.langs[i] for i in self.lang[at].tolist()])
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -182,13 +223,14 @@ def _shares(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordB
     """Keys and counts of each block, cut into parts by the upper bits of the keys; empty parts are left out."""
     for row in _rows(batches):
         block = _Block(row)
-        part = (block.keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(block.keys), np.int64)
+        keys, counts = block.keys[block.order], block.counts[block.order]
+        part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
         first = runs(part)
         ends = np.append(first[1:], len(part))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(part[first], pa.int32()), pa.array([row["block"]] * len(first), pa.int64()),
-                pa.array([_pack_keys(block.keys[a:b]) for a, b in zip(first, ends)], pa.binary()), pa.array([_pack(block.counts[a:b]) for a, b in zip(first, ends)], pa.binary()),
+                pa.array([_pack_keys(keys[a:b]) for a, b in zip(first, ends)], pa.binary()), pa.array([_pack(counts[a:b]) for a, b in zip(first, ends)], pa.binary()),
             ],
             names=["part", "block", "keys", "counts"],
         )
@@ -225,34 +267,22 @@ def _flags(masks: list[dict], which: str) -> np.ndarray:
     return np.concatenate(parts).astype(bool)
 
 
-def _longer(batches: Iterator[pa.RecordBatch], extend: bool, last: bool) -> Iterator[pa.RecordBatch]:
-    """The relation of the next length from the frequent occurrences of a block, and the phrases that it has to spell out."""
+def _longer(batches: Iterator[pa.RecordBatch], extend: bool) -> Iterator[pa.RecordBatch]:
+    """The frequent occurrences of a block, and the phrases that it has to spell out."""
+    none = np.zeros(0, np.int64)
     for row in _rows(batches):
         block = _Block(row)
-        keep, keys = np.zeros(len(block.keys), bool), np.zeros(len(block.keys), np.uint64)
-        keep[block.order], keys[block.order] = _flags(row["masks"], "mask"), block.keys
-        at = block.order[_flags(row["masks"], "tells")]
-        if block.pairs:
-            told = _told(keys[at], block.vocabulary[block.heads[at]], block.vocabulary[block.tails[at]])
-        else:
-            words, langs = zstandard.ZstdDecompressor().decompress(row["words"]).split(b" "), _unpack(row["langs"])
-            told = _told(keys[at], phrase=[words[i].decode("utf-8", "replace") for i in at.tolist()], lang=[row["all_langs"][i] for i in langs[at].tolist()])
-        none = np.zeros(0, np.int64)
+        told = block.told(block.order[_flags(row["masks"], "tells")])
         if not extend:
-            yield _row(row["block"], none.astype(np.uint64), none, none, none, none, none, told=told)
+            yield _row(row["block"], 0, none, none, told=told)
             continue
-        kept_in_order = keep[block.order]
-        code_of = np.zeros(len(keep), np.int64)  # codes among the frequent keys, in their order
-        code_of[block.order] = np.cumsum(kept_in_order) - 1
-        codes, places = _unpack(row["codes"]), _unpack_places(row["places"])
-        here = keep[codes]
-        codes, places = code_of[codes[here]], places[here]
-        frequent = block.keys[kept_in_order]
-        a, b = _merge_join(places, places)
-        size = max(len(frequent), 1)
-        pair, codes_next = np.unique(codes[a] * size + codes[b], return_inverse=True)
-        kept = (none, none) if last else (codes_next, places[a])
-        yield _row(row["block"], frequent, pair // size, pair % size, np.bincount(codes_next, minlength=len(pair)), *kept, told=told)
+        keep = np.zeros(len(block.keys), bool)
+        keep[block.order] = _flags(row["masks"], "mask")
+        here = keep[block.codes]
+        order, codes = _by_count((np.cumsum(keep) - 1)[block.codes[here]], int(keep.sum()))
+        places = block.places[here]
+        size = len(_merge_join(places, places)[0])  # at least as many as distinct phrases
+        yield _row(row["block"], size, codes, places, vocabulary=_squeeze(block.keys[keep][order].tobytes()), told=told)
 
 
 # --- Mining -----------------------------------------------------------------------
@@ -262,17 +292,17 @@ def _frequent(relation: DataFrame, min_count: int) -> DataFrame:
     """Sums of all keys by parts of about `PART_KEYS` keys: rows of flags for the blocks, and of the frequent keys (block -1)."""
     keys = relation.agg(F.sum("size")).first()[0] or 0
     bits = max(0, int(keys // PART_KEYS).bit_length())
-    packed = relation.where("size > 0").select("block", "vocabulary", "heads", "tails", "counts")
+    packed = relation.where("size > 0").select("block", "words", "langs", "vocabulary", "codes", "places", "all_langs")
     shares = packed.mapInArrow(lambda it: _shares(it, bits), _SHARES)
     return materialise(shares.groupBy("part").applyInPandas(lambda pdf: _count(pdf, min_count), _FOUND), "found")
 
 
-def _extend(relation: DataFrame, found: DataFrame, extend: bool, last: bool) -> DataFrame:
-    """The next relation, and in `told` the frequent phrases of this one. The last relation needs no occurrences."""
+def _extend(relation: DataFrame, found: DataFrame, extend: bool) -> DataFrame:
+    """The semi-joined relation, and in `told` its frequent phrases."""
     masks = found.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("part", "size", "mask", "tells")).alias("masks"))
-    wanted = ["vocabulary", "heads", "tails", "counts", "words", "langs", "all_langs", *(["codes", "places"] if extend else [])]
-    joined = relation.where("size > 0").select("block", *wanted).join(masks.hint("merge"), "block")  # masks grow with the corpus
-    return materialise(joined.mapInArrow(lambda it: _longer(it, extend, last), _RELATION), "phrases")
+    rows = relation.where("size > 0").select("block", "words", "langs", "vocabulary", "codes", "places", "all_langs")
+    joined = rows.join(masks.hint("merge"), "block")  # masks grow with the corpus
+    return materialise(joined.mapInArrow(lambda it: _longer(it, extend), _RELATION), "phrases")
 
 
 def frequent_phrases(docs: DataFrame, max_words: int, min_count: int) -> tuple[list[DataFrame], DataFrame]:
@@ -287,7 +317,7 @@ def frequent_phrases(docs: DataFrame, max_words: int, min_count: int) -> tuple[l
     tables: list[DataFrame] = []
     for length in range(1, max_words + 1):
         found = _frequent(relation, min_count)
-        relation = _extend(relation, found, extend=length < max_words, last=length + 1 == max_words)
+        relation = _extend(relation, found, extend=length < max_words)
         counts = found.where("block = -1").select(F.inline(F.arrays_zip("keys", "counts"))).toDF("key", "f")
         spelled = relation.select(F.inline("told")).join(counts, "key")
         if length == 1:
