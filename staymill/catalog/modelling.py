@@ -302,7 +302,7 @@ def _shap(s, d):
     return materialise(X.shap_values(_model(s, d, "Gradient Boosting"), X.shap_sample(_prepared(s, d)[4])), "shap")
 
 
-query("shap_global", "feature:s mean_abs:d")(lambda s, d: X.shap_global(_shap(s, d), _names(s, d)))
+query("shap_global", "feature:s mean_abs:d additive:b")(lambda s, d: X.shap_global(_shap(s, d), _names(s, d)))
 query("shap_points", "booking_id:i feature:s feature_value:d shap:d")(lambda s, d: X.shap_points(_shap(s, d), _names(s, d)))
 
 

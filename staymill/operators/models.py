@@ -8,7 +8,6 @@ from collections.abc import Mapping
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from staymill import schema as S
 from staymill.functions.session import materialise
 from staymill.operators import encode as E
+from staymill.operators.boosting import Boosting, Settings
 from staymill.operators.metrics import evaluate_models
 
 LABEL = "label"
@@ -54,16 +54,12 @@ def forest(trees: int = 200, max_depth: int | None = 18, min_leaf: int = 20, max
 
 def boosting(
     trees: int = 500, max_depth: int | None = 14, rate: float = 0.1, subsample: float = 0.9, colsample: float = 0.9,
-    weight: str | None = None, validation: str | None = None, tolerance: float = 0.01, **_,
+    weight: str | None = None, validation: str | None = None, tolerance: float = 1e-4, patience: int = 10, tasks: int | None = None, **_,
 ) -> Estimator:
-    """With a `validation` column, growing stops when the held-out error no longer falls."""
-    m = GBTClassifier(
-        **_IO, **_TREE, maxIter=trees, maxDepth=_depth(max_depth), stepSize=rate, subsamplingRate=subsample,
-        featureSubsetStrategy=str(colsample) if colsample < 1 else "all", checkpointInterval=10,
-    )
-    if validation:
-        m = m.setParams(validationIndicatorCol=validation, validationTol=tolerance)
-    return m.setWeightCol(weight) if weight else m
+    """Second-order boosting. With a `validation` column, growing stops when the held-out loss has not fallen by `tolerance`
+    for `patience` trees, and the trees up to the best one are kept."""
+    settings = Settings(trees, _depth(max_depth), rate, subsample, colsample, patience=patience if validation else 0, tolerance=tolerance)
+    return Boosting(settings, E.FEATURES_COL, LABEL, weight, validation, tasks=tasks)
 
 
 def network(width: int, hidden: tuple[int, ...] = (64, 32, 16), max_iter: int = 60, **_) -> Estimator:

@@ -22,13 +22,21 @@ def ready(spark, small):
     return train, test, pre, tr, te
 
 
-def _brute(leaves, x):
-    """Shapley values from all subsets of the features, leaf by leaf."""
+def _brute(trees, x):
+    """Shapley values from all subsets of the features: known ones follow the row, unknown ones average by cover."""
     out = np.zeros(len(x))
-    used = sorted({f for _, path in leaves for f, _, _ in path})
+    used = sorted({int(f) for t in trees for f, l in zip(t["feature"], t["left"]) if l >= 0})
+
+    def expect(t, n, known):
+        if t["left"][n] < 0:
+            return t["value"][n]
+        a, b = t["left"][n], t["right"][n]
+        if t["feature"][n] in known:
+            return expect(t, a if x[t["feature"][n]] <= t["threshold"][n] else b, known)
+        return (t["cover"][a] * expect(t, a, known) + t["cover"][b] * expect(t, b, known)) / t["cover"][n]
 
     def value(known):
-        return sum(v * np.prod([float(all(X._passes(x[f:f + 1], t)[0] for t in tests)) if f in known else z for f, tests, z in path]) for v, path in leaves)
+        return sum(expect(t, 0, known) for t in trees)
 
     for j in used:
         rest = [f for f in used if f != j]
@@ -40,12 +48,30 @@ def _brute(leaves, x):
 
 def test_shap_equals_all_subsets(ready, spark):
     tr = ready[3]
-    model = M.tree(max_depth=3, min_leaf=20).fit(tr)
-    leaves = X.leaf_paths(model, spark)
     x = np.stack([r["x"] for r in tr.select(vector_to_array("features").alias("x")).limit(5).collect()])
-    phi, _ = X.shap_matrix(x, leaves)
+    for model in (M.tree(max_depth=3, min_leaf=20).fit(tr), M.boosting(2, 3).fit(tr)):
+        flat = X.tree_arrays(model, spark)
+        phi, base, _ = X.shap_matrix(x, flat)
+        for row, got in zip(x, phi):
+            assert np.allclose(got, _brute(flat.trees, row))
+
+
+def test_shap_of_features_tested_again():
+    """A deep tree over few features: each is tested several times on a path."""
+    rng = np.random.default_rng(4)
+    n, depth = 2**7 - 1, 6
+    inner = np.arange(2**depth - 1)
+    left = np.where(np.arange(n) < len(inner), 2 * np.arange(n) + 1, -1)
+    cover = np.zeros(n)
+    cover[2**depth - 1:] = rng.integers(1, 9, 2**depth)
+    for i in inner[::-1]:
+        cover[i] = cover[2 * i + 1] + cover[2 * i + 2]
+    tree = {"feature": rng.integers(0, 4, n), "threshold": rng.random(n), "left": left, "right": np.where(left >= 0, left + 1, -1), "value": rng.normal(size=n), "cover": cover}
+    x = rng.random((7, 4))
+    phi, base, margin = X.shap_matrix(x, X.Trees([tree], 0.5))
     for row, got in zip(x, phi):
-        assert np.allclose(got, _brute(leaves, row))
+        assert np.allclose(got, _brute([tree], row))
+    assert np.allclose(base + phi.sum(axis=1), margin)
 
 
 @pytest.mark.parametrize("kind", ["tree", "forest", "boosting"])
