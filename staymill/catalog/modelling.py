@@ -1,10 +1,11 @@
 """Training, search, explanation, projection of bookings, and scoring jobs.
 
-Models, searches and repeats have the sizes of schema.py; boosting takes long at its full size."""
+Models, searches and repeats have the sizes of schema.py."""
 
 from __future__ import annotations
 
 from functools import lru_cache
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.functions import vector_to_array
 
@@ -89,6 +90,25 @@ def gbt_early_stop(s, d):
     return s.createDataFrame([(model.getNumTrees, trees, auc)], "trees int, max_trees int, roc_auc double")
 
 
+@query("mlp_early_stop", "training_rows:i validation_rows:i loss_falls:b stops_early_or_ends:b best_kept:b", with_frames("split", f"""
+, t AS (SELECT {mix_sql('booking_id', S.SEED + 1)} / 2147483647.0 < 0.2 AS held FROM split WHERE split = 'train')
+SELECT count(*) FILTER (WHERE NOT held) AS training_rows, count(*) FILTER (WHERE held) AS validation_rows, true AS loss_falls, true AS stops_early_or_ends, true AS best_kept FROM t"""))
+def mlp_early_stop(s, d):
+    """The network's history: whether the loss falls, whether it ends after its patience or its epochs, and with the best weights."""
+    from staymill.operators.network import Settings, held_out
+
+    tr = _prepared(s, d)[3]
+    model, limits = _model(s, d, "Neural Network"), Settings()
+    held = tr.withColumn("held", held_out())
+    losses, checks = zip(*model.history)
+    best = checks.index(min(checks))
+    p = vector_to_array("probability")[1]
+    again = model.transform(held.where("held")).agg(F.avg(-F.when(F.col("label") == 1, F.log(p)).otherwise(F.log(1 - p)))).first()[0]
+    ended = len(checks) == limits.epochs or len(checks) - 1 - best == limits.patience
+    counts = held.agg(F.count_if(~F.col("held")).alias("training_rows"), F.count_if("held").alias("validation_rows"))
+    return counts.select("*", F.lit(losses[best] < losses[0]).alias("loss_falls"), F.lit(ended).alias("stops_early_or_ends"), F.lit(abs(again - checks[best]) < 1e-6).alias("best_kept"))
+
+
 query("train_all", _METRIC_SPEC)(lambda s, d: MT.comparison_table(M.evaluate({n: _model(s, d, n) for n in S.MODEL_PARAMS}, _prepared(s, d)[4]), list(S.MODEL_PARAMS)))
 
 
@@ -145,10 +165,10 @@ def balancing_compare(s, d):
         "weight": SP.add_weight(tr, "label"),
         "SMOTE": materialise(tr.select("booking_id", "label", "features").unionByName(extra)).withColumn("weight", F.lit(1.0)),
     }
-    fitted = {}
-    for kind, rows in sets.items():
-        fitted[f"Random Forest|{kind}"] = M.forest(**S.MODEL_PARAMS["Random Forest"], weight="weight").fit(rows)
-        fitted[f"Gradient Boosting|{kind}"] = M.boosting(**S.MODEL_PARAMS["Gradient Boosting"], weight="weight").fit(rows)
+    made = {"Random Forest": M.forest, "Gradient Boosting": M.boosting}
+    jobs = [(f"{name}|{kind}", make(**S.MODEL_PARAMS[name], weight="weight"), rows) for kind, rows in sets.items() for name, make in made.items()]
+    with ThreadPool(len(jobs)) as pool:  # six fits that share nothing
+        fitted = dict(pool.map(lambda j: (j[0], j[1].fit(j[2])), jobs))
     out = M.evaluate(fitted, te)
     return out.withColumns({"balance": F.split("model", r"\|")[1], "model": F.split("model", r"\|")[0]})
 

@@ -8,12 +8,11 @@ task finds the same splits. The smaller child of a split is counted, its sibling
 Gradients are whole multiples of 2^-20, so their sums are exact in any order and the trees do not depend on how many tasks
 there are. Rows are drawn per tree by a hash of their key. A lost task restarts the stage, as barrier stages do.
 
-Scale: a row takes one byte per bundle; tasks hold about `TASK_BYTES` of them, as many tasks as that takes and the cluster
-has slots for. Per level a task sends `bins x nodes` pairs of sums, whatever the number of rows."""
+Scale: a row takes one byte per bundle; tasks hold about 64 MB of them, as many tasks as that takes and the cluster has
+slots for. Per level a task sends `bins x nodes` pairs of sums, whatever the number of rows."""
 
 from __future__ import annotations
 
-import base64
 import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -21,7 +20,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import BarrierTaskContext
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
@@ -30,13 +28,12 @@ from pyspark.sql import functions as F
 
 from staymill import schema as S
 from staymill.functions.session import materialise
+from staymill.plans.barrier import Gather, gatherer, is_first, tasks_for, total, uniform
 
-TASK_BYTES = 64 << 20
 UNIT = float(1 << 20)  # gradients are counted in 1 / UNIT
 KEPT_SUMS = 4_000_000  # sums of a level that are kept for its children
 BLOCK_SUMS = 2_000_000  # sums that are searched for splits at once
 
-Gather = "Callable[[np.ndarray], list[np.ndarray]]"
 
 
 # --- Bins ---------------------------------------------------------------------------
@@ -133,18 +130,6 @@ class Settings:
     seed: int = S.SEED
 
 
-def _hash(keys: np.ndarray, salt: int) -> np.ndarray:
-    """Uniform numbers in [0, 1) from row keys."""
-    x = keys.astype(np.int64).view(np.uint64) + np.uint64((salt * 0x9E3779B97F4A7C15) % 2**64)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) / float(1 << 53)
-
-
-def _total(gather: Gather, values: np.ndarray) -> np.ndarray:
-    return np.sum(gather(values), axis=0)
-
-
 class _Grower:
     """One task's rows, and the growing of trees that all tasks do alike."""
 
@@ -162,7 +147,7 @@ class _Grower:
         width = self.wide.shape[1]
         for k, v in enumerate((g, h)):
             out[k] = np.bincount(key, np.repeat(v[rows], width), minlength=out[k].size).reshape(out[k].shape)
-        return _total(self.gather, out)
+        return total(self.gather, out)
 
     def best(self, sums: np.ndarray, totals: np.ndarray, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(gain, candidate) of the best split of each node among the candidates `open_`."""
@@ -197,7 +182,7 @@ class _Grower:
         levels: list[dict[str, np.ndarray]] = []
         off, size = 0, 1  # nodes of the level are numbered from `off`
         kept, counted = None, np.zeros(0, bool)  # sums of the parents; which child of each pair is counted
-        totals = _total(self.gather, np.array([[g.sum()], [h.sum()]]))
+        totals = total(self.gather, np.array([[g.sum()], [h.sum()]]))
         while True:
             gs, hs = totals / UNIT
             now = {
@@ -240,7 +225,7 @@ class _Grower:
             if sums is None:
                 rows = rows[node[rows] >= off]
                 at = node[rows] - off
-                totals = _total(self.gather, np.stack([np.bincount(at, v[rows], minlength=size) for v in (g, h)]))
+                totals = total(self.gather, np.stack([np.bincount(at, v[rows], minlength=size) for v in (g, h)]))
                 kept = None
             else:
                 sums, whole = sums[:, split], totals[:, parents]
@@ -284,7 +269,7 @@ def train(codes: np.ndarray, y: np.ndarray, w: np.ndarray, held: np.ndarray, key
     """(base margin, trees), the same in every task. Rows that are `held` only judge when to stop."""
     grower = _Grower(codes, bins, settings, gather)
     learn = ~held
-    pos, all_ = _total(gather, np.array([np.rint(w * y * UNIT)[learn].sum(), np.rint(w * UNIT)[learn].sum()]))
+    pos, all_ = total(gather, np.array([np.rint(w * y * UNIT)[learn].sum(), np.rint(w * UNIT)[learn].sum()]))
     share = min(max(pos / max(all_, 1.0), 1e-6), 1 - 1e-6)
     base = float(np.log(share / (1 - share)))
     margin = np.full(len(y), base)
@@ -293,14 +278,14 @@ def train(codes: np.ndarray, y: np.ndarray, w: np.ndarray, held: np.ndarray, key
     best, best_at = np.inf, 0
     for t in range(settings.trees):
         p = 1 / (1 + np.exp(-margin))
-        drawn = learn & (_hash(keys, settings.seed * 100_003 + 2 * t) < settings.subsample)
+        drawn = learn & (uniform(keys, settings.seed * 100_003 + 2 * t) < settings.subsample)
         g, h = np.rint(w * (p - y) * UNIT) * drawn, np.rint(w * p * (1 - p) * UNIT) * drawn
-        rank = np.argsort(_hash(np.arange(width), settings.seed * 100_003 + 2 * t + 1))
+        rank = np.argsort(uniform(np.arange(width), settings.seed * 100_003 + 2 * t + 1))
         chosen = np.zeros(width, bool)
         chosen[rank[: max(1, int(settings.colsample * width))]] = True
         tree, node = grower.grow(g, h, drawn, np.flatnonzero(chosen[grower.slot]))
         margin += tree["value"][node]
-        losses = _total(gather, np.stack([_loss(margin[m], y[m], w[m]) for m in (learn, held)]))
+        losses = total(gather, np.stack([_loss(margin[m], y[m], w[m]) for m in (learn, held)]))
         tree["loss"], tree["held_loss"] = (float(a / b) if b else None for a, b in losses)
         trees.append(tree)
         if settings.patience and tree["held_loss"] is not None:
@@ -316,15 +301,7 @@ _TREES = "tree int, base double, feature array<int>, threshold array<double>, le
 
 
 def _job(batches: Iterator[pa.RecordBatch], bins: Bins, settings: Settings) -> Iterator[pa.RecordBatch]:
-    context = BarrierTaskContext.get()
-    tasks = len(context.getTaskInfos())
-
-    def gather(values: np.ndarray) -> list[np.ndarray]:
-        if tasks == 1:
-            return [values]
-        sent = context.allGather(base64.b64encode(np.ascontiguousarray(values, float).tobytes()).decode("ascii"))
-        return [np.frombuffer(base64.b64decode(m), float).reshape(values.shape) for m in sent]
-
+    gather = gatherer()
     width = len(bins.bundles)
     parts = [
         (np.frombuffer(b"".join(b.column("codes").to_pylist()), np.uint8).reshape(-1, width), *[np.asarray(b.column(c).to_numpy(zero_copy_only=False)) for c in ("y", "w", "held", "k")])
@@ -333,7 +310,7 @@ def _job(batches: Iterator[pa.RecordBatch], bins: Bins, settings: Settings) -> I
     blank = (np.zeros((0, width), np.uint8), np.zeros(0), np.zeros(0), np.zeros(0, bool), np.zeros(0, np.int64))
     rows = [np.concatenate(p) for p in zip(blank, *parts)]
     base, trees = train(*rows, bins, settings, gather)
-    if context.partitionId() == 0:
+    if is_first():
         for t, tree in enumerate(trees):
             yield pa.RecordBatch.from_pylist([{"tree": t, "base": base, **{k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in tree.items()}}], _ARROW_TREES)
 
@@ -374,8 +351,7 @@ class Boosting(Estimator):
 
         binned = materialise(frame.mapInArrow(encode, _BINNED), "binned")
         rows = binned.count()
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        tasks = self.tasks or max(1, min(slots, -(-rows * (len(bins.bundles) + 32) // TASK_BYTES)))
+        tasks = self.tasks or tasks_for(binned, rows * (len(bins.bundles) + 32))
         settings = self.settings
         grown = binned.repartition(tasks, "k").mapInArrow(lambda it: _job(it, bins, settings), _TREES, barrier=True)
         return BoostingModel.of(materialise(grown, "trees"), self.features)
