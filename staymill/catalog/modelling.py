@@ -186,6 +186,20 @@ query("grid_search", "position:i params:s cv_roc_auc:d spread:d")(lambda s, d: _
 query("random_search", "position:i params:s cv_roc_auc:d spread:d")(lambda s, d: _combo_rows(s, d, "Decision Tree", TU.sample(S.GRIDS["Decision Tree"])))
 
 
+@query("search_resume", "fits:i refitted:i same:b training_rows:i", with_frames("split", """
+SELECT 6 AS fits, 0 AS refitted, true AS same, count(*) AS training_rows FROM split WHERE split = 'train'"""))
+def search_resume(s, d):
+    """A search of two trees over three folds whose ledger is read again: nothing is fitted twice, the best parameters come back."""
+    train = _prepared(s, d)[0]
+    out, grids = scratch_path(s, "search"), {"Decision Tree": {"max_depth": [6], "min_leaf": [20, 100]}}
+    first, _ = TU.tune(train, ["Decision Tree"], grids, out=out)
+    before = TU.read_ledger(s, f"{out}/ledger").select("*", "_metadata.file_path").collect()
+    again, _ = TU.tune(train, ["Decision Tree"], grids, out=out)
+    after = TU.read_ledger(s, f"{out}/ledger").select("*", "_metadata.file_path").collect()
+    same = first == again == TU.best_params(s, out)
+    return train.agg(F.lit(len(before)).alias("fits"), F.lit(len(set(after) - set(before))).alias("refitted"), F.lit(same).alias("same"), F.count(F.lit(1)).alias("training_rows"))
+
+
 @query("tuning_report", "model:s search:s combinations:i cv_roc_auc:d seconds:d params:s")
 def tuning_report(s, d):
     best, rows = TU.tune(_prepared(s, d)[0], list(S.GRIDS))

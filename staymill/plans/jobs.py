@@ -14,6 +14,7 @@ from staymill.functions.session import materialise
 from staymill.operators import encode as E
 from staymill.operators import models as M
 from staymill.operators import project as PR
+from staymill.operators import tune as TU
 from staymill.operators.clean import clean
 from staymill.operators.metrics import comparison_table
 from staymill.operators.score import score_batch
@@ -28,11 +29,14 @@ def load_and_prepare(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split.where("split = 'train'").drop("split"), split.where("split = 'test'").drop("split")
 
 
-def train_job(df: DataFrame, out: str, overrides: Mapping[str, Mapping] | None = None, names: Sequence[str] | None = None) -> dict:
+def train_job(df: DataFrame, out: str, overrides: Mapping[str, Mapping] | None = None, names: Sequence[str] | None = None, searched: str | None = None) -> dict:
     """Train the catalogue on raw bookings, compare on the test rows, keep everything under `out`.
 
-    `overrides` holds searched or stored parameters per model; what is absent there keeps its default."""
+    `overrides` holds parameters per model, `searched` the folder in which a search kept its best ones; what is absent in
+    both keeps its default."""
     spark = df.sparkSession
+    if searched:
+        overrides = {**TU.best_params(spark, searched), **(overrides or {})}
     train, test = load_and_prepare(df)
     pre, (tr, te) = M.prepare(train, test)
     models = M.catalogue(tr.count(), M.width_of(tr), overrides)
