@@ -17,7 +17,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -242,13 +241,8 @@ class Encoder:
         return np.unique(np.searchsorted(offsets, np.concatenate(places), "right") - 1).tolist()
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def _shards(batches: Iterator[pa.RecordBatch], path: str, shard_tokens: int) -> Iterator[pa.RecordBatch]:
-    enc = encoder(path)
+    enc = Encoder(path)  # of this task: workers live on, and would keep its cache
     end = np.array([END], enc.dtype)
     docs: list[int | None] = []
     held: list[np.ndarray] = []
