@@ -38,17 +38,19 @@ _INDEX = "range int, seq int, doc_id array<long>, bounds binary, terms binary, l
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for seq, chunk in enumerate(chunks(batches)):
         words = split_words(*text_buffer(chunk.column("text")), ALNUM)
-        doc = np.repeat(np.arange(chunk.num_rows), np.diff(words.bounds))
-        place = np.arange(len(words.hash)) + GAP * doc
-        order = np.argsort(words.hash, kind="stable")
-        keys = words.hash[order]
+        hashes, bounds = words.hash, words.bounds
+        del words  # places of bytes are not needed any more
+        gaps = np.repeat((GAP * np.arange(chunk.num_rows)).astype(np.uint32), np.diff(bounds))
+        place = np.arange(len(hashes), dtype=np.uint32) + gaps
+        order = np.argsort(hashes, kind="stable")
+        keys = hashes[order]
         lists = runs(keys)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([seq], pa.int32()),
-                pa.array([chunk.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([words.bounds.astype(np.int64).tobytes()], pa.binary()),
+                pa.array([chunk.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([bounds.astype(np.int64).tobytes()], pa.binary()),
                 pa.array([keys[lists].tobytes()], pa.binary()), pa.array([np.append(lists, len(keys)).astype(np.uint32).tobytes()], pa.binary()),
-                pa.array([place[order].astype(np.uint32).tobytes()], pa.binary()),
+                pa.array([place[order].tobytes()], pa.binary()),
             ],
             names=["range", "seq", "doc_id", "bounds", "terms", "lists", "places"],
         )
@@ -94,7 +96,8 @@ def _near(lists: list[np.ndarray], span: int) -> np.ndarray:
 def _search(batches: Iterator[pa.RecordBatch], part, near: int) -> Iterator[pa.RecordBatch]:
     phrases: Phrases = part.value
     for batch in batches:
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):  # one segment at a time leaves the others in their buffer
+            row = batch.slice(i, 1).to_pylist()[0]
             bounds = np.frombuffer(row["bounds"], np.int64)
             terms, lists = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["lists"], np.uint32).astype(np.int64)
             places = np.frombuffer(row["places"], np.uint32)

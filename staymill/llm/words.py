@@ -121,6 +121,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
             stop = max(row + 1, int(np.searchsorted(off, off[row] + limit, "right")) - 1)
             yield batch.slice(row, stop - row)
             row = stop
+        pa.default_memory_pool().release_unused()  # workers live on after their task
 
 
 def runs(sorted_keys: np.ndarray) -> np.ndarray:
