@@ -54,7 +54,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """,
 )
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20, scale=64)
+    return top_k(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20, scale=64, every_row=True)
 
 
 @_register("op2_toxicity")

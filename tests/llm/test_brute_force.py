@@ -274,3 +274,21 @@ def test_pipeline(spark, small, docs):
     assert seen[4] == seen[3] and set(seen[3]) <= set(seen[2]) and len(seen[0]) >= len(docs) - 2
     rows = corpus_pipeline.run(spark, small)
     assert rows.count() == len(seen[4])
+
+
+def test_top_k_of_wide_components_and_repeated_ids(spark):
+    """Components up to the ends of 64 bits and ids on several rows, against Python's integers."""
+    rng = np.random.default_rng(11)
+    sizes = [1.0, 1e3, 2e6, 1e12, 1e17]
+    rows = [(int(rng.integers(0, 60)), [float(x) for x in rng.normal(size=4) * sizes[i % 5]]) for i in range(150)]
+    rows += [(70, [1.0, 2.0, 3.0, 4.0])] * 40 + [(0, [2e6, 0.0]), (1, [2e6, 0.0]), (80, [3.0, 0.0]), (80, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    cut = lambda x: min(max(x, -(1 << 63)), (1 << 63) - 1)
+    whole = [(i, [cut(math.floor(64 * x)) for x in v]) for i, v in rows]
+    want = defaultdict(list)
+    for q, a in whole:
+        if q % 20 == 0:
+            want[q] += [(-sum(x * y for x, y in zip(a, b)), i) for i, b in whole if i != q]
+    flat = [(q, n + 1, i, cut(-s)) for q, found in want.items() for n, (s, i) in enumerate(sorted(found)[:30])]
+    got = topk.top_k(df, "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=30, every_row=True)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(flat)
