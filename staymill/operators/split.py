@@ -49,35 +49,41 @@ def hash_cuts(df: DataFrame, quotas, label: str | None, key: str, seed: int) ->
     if len(counts) > MAX_CLASSES:
         raise ValueError(f"{label} has too many values to be a class column")
     wanted = {c: q for c, q in quotas({r["c"]: r["n"] for r in counts}).items() if q}
-    coarse = _crossing(hist, wanted)
+    kind = u.schema["c"].dataType.simpleString()
+    coarse = _crossing(hist, wanted, kind)
     hist.unpersist()
     if not coarse:
         return {}
-    where = F.lit(False)
-    for c, (b, _) in coarse.items():
-        where = where | (F.col("c").eqNullSafe(F.lit(c)) & (F.shiftright("u", HASH_BITS) == b))
-    fine = u.where(where).groupBy("c", F.col("u").alias("g")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("k").alias("first"), F.max("k").alias("last")
-    )
-    cuts = {}
-    for c, (h, q, n, first, last) in _crossing(fine, {c: q for c, (_, q) in coarse.items()}, "n", "first", "last").items():
+    spots = _by_class(df, [(c, b) for c, (b, _) in coarse.items()], f"_c {kind}, _b bigint")
+    inside = u.join(spots, F.col("c").eqNullSafe(F.col("_c")) & (F.shiftright("u", HASH_BITS) == F.col("_b")), "left_semi")
+    fine = inside.groupBy("c", F.col("u").alias("g")).agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("first"), F.max("k").alias("last"))
+    cuts, ties = {}, []
+    for c, (h, q, n, first, last) in _crossing(fine, {c: q for c, (_, q) in coarse.items()}, kind, "n", "first", "last").items():
         # Rows with one and the same 31-bit hash go in key order; one or two of them need no further look.
         if q == n or q == 1:
             cuts[c] = (h, last if q == n else first)
-            continue
-        same = u.where(F.col("c").eqNullSafe(F.lit(c)) & (F.col("u") == h))
-        cuts[c] = (h, same.orderBy("k").limit(int(q)).agg(F.max("k")).first()[0])
+        else:
+            ties.append((c, h, q))
+    if ties:
+        tied = u.join(_by_class(df, ties, f"_c {kind}, _h bigint, _q bigint"), F.col("c").eqNullSafe(F.col("_c")) & (F.col("u") == F.col("_h")))
+        place = F.row_number().over(Window.partitionBy("c").orderBy("k"))
+        for r in tied.withColumn("place", place).where("place = _q").select("c", "u", "k").collect():
+            cuts[r["c"]] = (r["u"], r["k"])
     return cuts
 
 
-def _crossing(counts: DataFrame, quota: dict, *extra: str) -> dict:
+def _by_class(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of one row per class, of which there are `MAX_CLASSES` at most."""
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+
+
+def _crossing(counts: DataFrame, quota: dict, kind: str, *extra: str) -> dict:
     """Per class the group `g` in which the running count reaches the quota, and what is left of it there."""
-    want = F.lit(None).cast("double")
-    for c, q in quota.items():
-        want = F.when(F.col("c").eqNullSafe(F.lit(c)), F.lit(float(q))).otherwise(want)
+    want = _by_class(counts, [(c, int(q)) for c, q in quota.items()], f"_c {kind}, _want bigint")
     upto = F.sum("n").over(Window.partitionBy("c").orderBy("g").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hit = counts.withColumn("upto", upto).where((want > F.col("upto") - F.col("n")) & (want <= F.col("upto")))
-    rows = hit.select("c", "g", (want - F.col("upto") + F.col("n")).alias("left"), *extra).collect()
+    placed = counts.withColumn("upto", upto).join(want, F.col("c").eqNullSafe(F.col("_c")))
+    hit = placed.where((F.col("_want") > F.col("upto") - F.col("n")) & (F.col("_want") <= F.col("upto")))
+    rows = hit.select("c", "g", (F.col("_want") - F.col("upto") + F.col("n")).alias("left"), *extra).collect()
     return {r["c"]: (r["g"], int(r["left"]), *[r[x] for x in extra]) for r in rows}
 
 
@@ -86,13 +92,15 @@ def split_stratified(
 ) -> DataFrame:
     """Append `split` = train / test with exact per-class quotas.
 
-    The fitted state is one cut per class; applying it is a plain column expression."""
+    The fitted state is one cut per class, a table of `MAX_CLASSES` rows at most that is joined by broadcast, so rows are
+    not shuffled and the plan does not grow with the classes."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.select(F.col(label).alias("c"), F.col(key).alias("k")).schema}
     cuts = hash_cuts(df, lambda counts: _allocate(counts, share), label, key, seed)
-    u, test = mix(key, seed), F.lit(False)
-    for c, (h, k) in cuts.items():
-        inside = (u < h) | ((u == h) & (F.col(key) <= k))
-        test = test | (F.col(label).eqNullSafe(F.lit(c)) & inside)
-    return df.withColumn(out, F.when(test, "test").otherwise("train"))
+    table = _by_class(df, [(c, h, k) for c, (h, k) in cuts.items()], f"_c {kinds['c']}, _h bigint, _k {kinds['k']}")
+    u = mix(key, seed)
+    test = (u < F.col("_h")) | ((u == F.col("_h")) & (F.col(key) <= F.col("_k")))
+    joined = df.join(table, F.col(label).eqNullSafe(F.col("_c")), "left")
+    return joined.withColumn(out, F.when(test, "test").otherwise("train")).drop("_c", "_h", "_k")
 
 
 def split_random(df: DataFrame, share: float = TEST_SHARE, seed: int = SEED, key: str = KEY, out: str = "split") -> DataFrame:

@@ -8,16 +8,14 @@ resolved inside a bucket."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staymill.functions.hashing import mix
 
 HASH_BITS = 15  # low bits of the 31-bit order hash; the upper 16 are the bucket
-EXACT_ROWS = 200_000  # values that one exact percentile aggregate may hold
 
 
 def _bounds(df: DataFrame, col: str, buckets: int) -> list[float]:
@@ -89,93 +87,71 @@ def _with_offsets(df: DataFrame, offsets: DataFrame, groups: Sequence[str]) -> D
     return df.join(renamed, cond).drop(*[f"_g_{g}" for g in groups])
 
 
-@dataclass
-class _Target:
-    """One wanted quantile: its 0-based position and the value bracket that is known to hold it."""
-
-    col: str
-    pos: float
-    inside: int
-    below: int = 0
-    low: float | None = None
-    high: float | None = None
-    bisect: bool = False
-    value: float | None = None
-
-    def here(self) -> Column:
-        v = F.col(self.col).cast("double")
-        return v if self.low is None else F.when(v.between(self.low, self.high), v)
-
-    def narrow(self, a: float, b: float, less: int, upto: int) -> None:
-        """Take the bracket [a, b] if it holds both neighbouring order statistics and is smaller."""
-        first, last = int(self.pos) - self.below, -int(-self.pos // 1) - self.below
-        holds, smaller = less <= first and last < upto, upto - less < self.inside
-        if not holds or (not smaller and a != b):
-            self.bisect = True
-            return
-        self.low, self.high, self.below, self.inside = a, b, self.below + less, upto - less
-        if a == b:
-            self.value = a
-
-
-def exact_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], exact_rows: int = EXACT_ROWS
-) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles, exact at any size.
-
-    Up to `exact_rows` values the exact aggregate runs directly. Above, every wanted position is
-    bracketed by a sketch, and rounds of two passes (sketch, count) narrow all brackets together until
-    the rows inside each fit. Nothing is sampled and the answer is the same."""
+_SIGN_FREE = (1 << 63) - 1
+
+
+def _images(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(c, v, s): number of the column, value, and a signed 64-bit image of the double that has the order of the values.
+
+    Non-negative doubles order like their bits; of negative ones all bits but the sign are turned. NaN is the largest."""
+    pairs = [F.struct(F.lit(i).alias("c"), (F.col(c).cast("double") + F.lit(0.0)).alias("v")) for i, c in enumerate(cols)]
+    long = df.select(F.inline(F.array(*pairs))).where(F.col("v").isNotNull())
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.col("v")).cast("bigint")
+    raw = long.select("c", "v", bits.alias("b"))
+    return raw.select("c", "v", F.when(F.col("b") < 0, F.col("b").bitwiseXOR(F.lit(_SIGN_FREE))).otherwise(F.col("b")).alias("s"))
+
+
+def _wanted(df: DataFrame, open_: dict[tuple[int, int], list[int]]) -> DataFrame:
+    """One row per bucket that holds wanted places: its column, its prefix, the places counted from its first row."""
+    rows = [F.struct(F.lit(c).alias("_c"), F.lit(p).cast("bigint").alias("_p"), F.array(*[F.lit(q).cast("bigint") for q in sorted(set(at))]).alias("at"))
+            for (c, p), at in open_.items()]
+    return F.broadcast(df.sparkSession.range(1).select(F.inline(F.array(*rows))))
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], exact_rows: int | None = None) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles, exact at any size, by radix selection.
+
+    Rows are counted by the first 16 bits of an order-preserving image of their values, for all columns together; the
+    rows of the buckets that hold a wanted place are counted by the next 16 bits, and so on: at most four passes, of
+    which only counts are shuffled (65,536 at most per column and wanted bucket). A bucket of one distinct value ends
+    its search, so whole numbers and hot values take one or two passes. `exact_rows` has no effect any more."""
     cols, probs = list(dict.fromkeys(cols)), list(probs)
-    counts = df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
-    targets = {(c, i): _Target(c, p * (counts[c] - 1), counts[c]) for c in cols for i, p in enumerate(probs) if counts[c]}
-    while wide := [t for t in targets.values() if t.value is None and t.inside > exact_rows]:
-        _sketch_round(df, [t for t in wide if not t.bisect])
-        _bisect_round(df, [t for t in wide if t.bisect])
-    open_ = [t for t in targets.values() if t.value is None]
-    if open_:
-        at = [F.percentile(t.here(), (t.pos - t.below) / (t.inside - 1) if t.inside > 1 else 0.0) for t in open_]
-        for t, value in zip(open_, df.agg(*[x.alias(f"q{i}") for i, x in enumerate(at)]).first()):
-            t.value = value
-    return {c: [targets[c, i].value if (c, i) in targets else None for i in range(len(probs))] for c in cols}
-
-
-def _sketch_round(df: DataFrame, targets: list[_Target], eps: float = 0.001) -> None:
-    if not targets:
-        return
-    ask = []
-    for i, t in enumerate(targets):
-        p = (t.pos - t.below) / t.inside
-        ask.append(F.percentile_approx(t.here(), [max(0.0, p - eps), min(1.0, p + eps)], 10_000).alias(f"q{i}"))
-    edges = df.agg(*ask).first()
-    ask = []
-    for i, t in enumerate(targets):
-        ask += [F.count_if(t.here() < edges[i][0]).alias(f"a{i}"), F.count_if(t.here() <= edges[i][1]).alias(f"b{i}")]
-    got = df.agg(*ask).first()
-    for i, t in enumerate(targets):
-        t.narrow(*edges[i], got[2 * i], got[2 * i + 1])
-
-
-def _bisect_round(df: DataFrame, targets: list[_Target]) -> None:
-    """Halve the value range where a sketch brings nothing."""
-    if not targets:
-        return
-    ends = df.agg(*[f(t.here()).alias(f"{n}{i}") for i, t in enumerate(targets) for n, f in (("a", F.min), ("z", F.max))]).first()
-    mids = [ends[2 * i] + (ends[2 * i + 1] - ends[2 * i]) / 2 for i in range(len(targets))]
-    ask = []
-    for i, t in enumerate(targets):
-        v = t.here()
-        ask += [F.count_if(v <= mids[i]).alias(f"n{i}"), F.max(F.when(v <= mids[i], v)).alias(f"l{i}"), F.min(F.when(v > mids[i], v)).alias(f"h{i}")]
-    got = df.agg(*ask).first()
-    for i, t in enumerate(targets):
-        n, left, right = got[3 * i], got[3 * i + 1], got[3 * i + 2]
-        first, last = int(t.pos) - t.below, -int(-t.pos // 1) - t.below
-        t.bisect = False
-        if last < n:
-            t.low, t.high, t.inside = ends[2 * i], left, n
-        elif first >= n:
-            t.low, t.high, t.below, t.inside = right, ends[2 * i + 1], t.below + n, t.inside - n
-        else:  # the two order statistics lie on either side of the middle
-            t.value = left + (right - left) * (t.pos - int(t.pos))
-        if t.value is None and t.low == t.high:
-            t.value = t.low
+    if not cols or not probs:
+        return {c: [None] * len(probs) for c in cols}
+    totals = list(df.agg(*[F.count(F.col(c).cast("double")) for c in cols]).first())
+    places = {(i, j): p * (n - 1) for i, n in enumerate(totals) if n for j, p in enumerate(probs)}
+    found: dict[tuple[int, int], float] = {}
+    # Bucket -> wanted places inside it, and what has to be added for the place in the whole column.
+    open_, start = {}, {}
+    for (i, _), at in places.items():
+        open_.setdefault((i, 0), []).extend([int(at // 1), int(-(-at // 1))])
+        start[i, 0] = 0
+    images = _images(df, cols)
+    for shift in (48, 32, 16, 0):
+        if not open_:
+            break
+        wanted = _wanted(df, open_)
+        prefix = F.shiftright("s", shift + 16) if shift < 48 else F.lit(0).cast("bigint")
+        rows = images.select("c", "v", "s", prefix.alias("p"))
+        rows = rows.join(wanted, (F.col("c") == F.col("_c")) & (F.col("p") == F.col("_p")), "left_semi")
+        counts = rows.groupBy("c", "p", F.shiftright("s", shift).alias("g")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+        )
+        upto = F.sum("n").over(Window.partitionBy("c", "p").orderBy("g").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        placed = counts.withColumn("before", upto - F.col("n")).join(wanted, (F.col("c") == F.col("_c")) & (F.col("p") == F.col("_p")))
+        here = F.filter("at", lambda q: (q >= F.col("before")) & (q < F.col("before") + F.col("n")))
+        hits = placed.withColumn("here", here).where(F.size("here") > 0).select("c", "p", "g", "before", "low", "high", "here").collect()
+        open_, last, start = {}, start, {}
+        for h in hits:
+            first = last[h["c"], h["p"]]
+            if shift == 0 or h["low"] == h["high"]:
+                found.update({(h["c"], first + q): h["low"] for q in h["here"]})
+            else:
+                open_[h["c"], h["g"]] = [q - h["before"] for q in h["here"]]
+                start[h["c"], h["g"]] = first + h["before"]
+    result = {c: [None] * len(probs) for c in cols}
+    for (i, j), at in places.items():
+        low, high = int(at // 1), int(-(-at // 1))
+        a, b = found[i, low], found[i, high]
+        result[cols[i]][j] = a if low == high or a == b else (high - at) * a + (at - low) * b
+    return result
