@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from staymill import schema as S
 from staymill.operators.features import FeatureBuilder, RareCategoryGrouper
 from staymill.plans.distributed import exact_quantiles
+from staymill.plans.hotjoin import lookup_join
 
 
 class _Columns(Params):
@@ -117,8 +118,7 @@ def onehot_long(df: DataFrame, train: DataFrame, columns: Sequence[str], key: st
     pairs = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("level")) for c in columns])
     long = df.select(key, F.inline(pairs)).where(F.col("level").isNotNull())
     known = train.select(F.inline(pairs)).where(F.col("level").isNotNull()).distinct()
-    seen = known.withColumnsRenamed({"variable": "_v", "level": "_l"})
-    return long.join(seen, (F.col("variable") == F.col("_v")) & (F.col("level") == F.col("_l"))).select(
+    return lookup_join(long, known, ["variable", "level"], [key]).select(
         key, F.concat_ws("_", "variable", "level").alias("feature"), F.lit(1).alias("value")
     )
 

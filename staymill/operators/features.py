@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from staymill import schema as S
 from staymill.functions.absence import id_key, is_absent
 from staymill.functions.session import SMALL_STATE_ROWS, scratch_path
+from staymill.plans.hotjoin import lookup_join
 
 INLINE_KEEP = 1000  # a longer keep list is joined instead of written into the expression
 
@@ -77,13 +78,15 @@ def seen_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def rare_apply(df: DataFrame, keep: DataFrame, columns: Sequence[str], null_labels: dict[str, str]) -> DataFrame:
-    """Reduction by joining the keep table (variable, value); used when it is too long to inline."""
+    """Reduction by joining the keep table (variable, value); used when it is too long to inline.
+
+    Frequent values are split over tasks, and so are rows without a value."""
+    names, spread = df.columns, df.columns
     for c in columns:
-        k = keep.where(F.col("variable") == c).select(F.col("value").alias(f"_k_{c}"))
-        df = df.join(k, F.col(c) == F.col(f"_k_{c}"), "left")
+        kept = keep.where(F.col("variable") == c).select(F.col("value").alias("_value"), F.lit(True).alias("_kept"))
+        df = lookup_join(df.withColumn("_value", F.col(c).cast("string")), kept, ["_value"], spread, "left")
         label = F.lit(null_labels.get(c, S.RARE_NULL_LABELS["agent"]))
-        df = df.withColumn(c, F.when(F.col(c).isNull(), label).when(F.col(f"_k_{c}").isNotNull(), F.col(c)).otherwise(S.RARE_OTHER))
-        df = df.drop(f"_k_{c}")
+        df = df.withColumn(c, F.when(F.col(c).isNull(), label).when(F.col("_kept"), F.col("_value")).otherwise(S.RARE_OTHER)).select(names)
     return df
 
 
