@@ -16,6 +16,7 @@ from staymill.operators import explain as X
 from staymill.operators import metrics as MT
 from staymill.operators import models as M
 from staymill.operators import neighbours as N
+from staymill.operators import plane as PL
 from staymill.operators import project as PR
 from staymill.operators import score as SC
 from staymill.operators import split as SP
@@ -407,6 +408,24 @@ def decision_grid(s, d):
 
 
 query("project_bookings", "booking_id:i c1:d c2:d")(lambda s, d: JB.project_bookings(_prepared(s, d)[2], _plane(s, d)[1], _prepared(s, d)[1]))
+
+
+@query("map_roundtrip", "booking_id:i same:b", with_frames("split", "SELECT booking_id, TRUE AS same FROM split WHERE split = 'test'"))
+def map_roundtrip(s, d):
+    """Test bookings placed by a saved and reloaded plane, against the fitted one; limits and a scored grid as well."""
+    _, test, pre, tr, *_ = _prepared(s, d)
+    plane, folder = PL.PlaneProjector().fit(tr), scratch_path(s, "map")
+    model = {"Logistic Regression": M.logistic(tr.count())}
+    models = PR.fit_on_plane(model, materialise(plane.transform(tr).select("booking_id", "label", "c1", "c2"), "plane"))
+    limits = plane.limits_table(s)
+    PL.save_map(folder, pre, plane, models, PR.decision_grid(models, PR.grid_points(limits)))
+    stored = PL.StoredMap(s, folder)
+    whole = stored.plane.limits_table(s).exceptAll(limits).isEmpty() and stored.score_grid(S.GRID_SIDE).exceptAll(stored.grid()).isEmpty()
+    fresh = plane.transform(pre.transform(test)).select("booking_id", F.col("c1").alias("f1"), F.col("c2").alias("f2"))
+    same = (F.col("c1") == F.col("f1")) & (F.col("c2") == F.col("f2")) & F.lit(whole)
+    return stored.place(test, "booking_id").join(fresh, "booking_id").select("booking_id", same.alias("same"))
+
+
 query("surface_two_features", "gx:i gy:i lead_time:d adr:d p:d")(lambda s, d: PR.surface_two_features(_pipeline(s, d), _prepared(s, d)[0], "lead_time", "adr"))
 
 # --- Scoring and whole jobs ---------------------------------------------------------------------------------

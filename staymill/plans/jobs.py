@@ -13,6 +13,7 @@ from staymill import schema as S
 from staymill.functions.session import materialise
 from staymill.operators import encode as E
 from staymill.operators import models as M
+from staymill.operators import plane as PL
 from staymill.operators import project as PR
 from staymill.operators import tune as TU
 from staymill.operators.clean import clean
@@ -61,19 +62,23 @@ def score_job(spark: SparkSession, model: PipelineModel, out: str, csv: str | No
     return spark.read.option("header", True).schema(f"{key} bigint, prediction int, probability_canceled double").csv(out)
 
 
-def map_job(train: DataFrame, test: DataFrame, overrides: Mapping[str, Mapping] | None = None, side: int = S.GRID_SIDE) -> dict:
-    """The 2-D map: PLS plane of the prepared rows, models refitted on it, scored grid, fixed scatter points."""
+def map_job(train: DataFrame, test: DataFrame, overrides: Mapping[str, Mapping] | None = None, side: int = S.GRID_SIDE, out: str | None = None) -> dict:
+    """The 2-D map: PLS plane of the prepared rows, models refitted on it, scored grid, fixed scatter points.
+
+    With `out` the map is saved there; `StoredMap` reads it again."""
     pre, (tr, te) = M.prepare(train, test)
-    arr = vector_to_array(E.FEATURES_COL)
-    tr, te = tr.withColumn("v", arr).drop(E.FEATURES_COL), te.withColumn("v", arr).drop(E.FEATURES_COL)
-    pls, turned = PR.orient(tr, PR.fit_pls(tr, "v", M.LABEL), "v", M.LABEL)
-    points = materialise(PR.project(tr, pls, "v").select(S.KEY, M.LABEL, "c1", "c2"), "plane")
-    limits = PR.plane_limits(points)
+    plane = PL.PlaneProjector(labelCol=M.LABEL).fit(tr)
+    points = materialise(plane.transform(tr).select(S.KEY, M.LABEL, "c1", "c2"), "plane")
+    limits = plane.limits_table(train.sparkSession)
     params = {"Neural Network": {"hidden": [64, 32], "max_iter": 400}, **(overrides or {})}
     models = PR.fit_on_plane(M.catalogue(points.count(), 2, params), points)
     grid = PR.decision_grid(models, PR.grid_points(limits, side=side))
-    scatter = PR.scatter_sample(PR.project(te, pls, "v").select(S.KEY, M.LABEL, "c1", "c2"))
-    return {"pre": pre, "pls": pls, "turned": turned, "limits": limits, "grid": grid, "scatter": scatter, "points": points}
+    scatter = PR.scatter_sample(plane.transform(te).select(S.KEY, M.LABEL, "c1", "c2"))
+    if out:
+        PL.save_map(out, pre, plane, models, grid)
+        grid = PL.StoredMap(train.sparkSession, out).grid()
+    turned = plane.getOrDefault("turned")
+    return {"pre": pre, "plane": plane, "pls": plane.pls, "turned": turned, "limits": limits, "models": models, "grid": grid, "scatter": scatter, "points": points}
 
 
 def project_bookings(pre: PipelineModel, pls: PR.PLS, df: DataFrame, key: str = S.KEY) -> DataFrame:
