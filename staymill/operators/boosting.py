@@ -134,19 +134,21 @@ class _Grower:
     """One task's rows, and the growing of trees that all tasks do alike."""
 
     def __init__(self, codes: np.ndarray, bins: Bins, settings: Settings, gather: Gather):
-        self.codes, self.bins, self.s, self.gather = codes, bins, settings, gather
+        self.bins, self.s, self.gather = bins, settings, gather
         self.at, self.bundle, self.slot, self.cut = bins.candidates()
         self.numeric = np.array([c is not None for c in bins.cuts], bool)
-        self.wide = codes.astype(np.int32) + bins.first[:-1].astype(np.int32)
+        self.columns = np.ascontiguousarray(codes.T)  # one run of bytes per bundle
         self.start = bins.first[self.bundle]
 
     def sums(self, rows: np.ndarray, slot: np.ndarray, nodes: int, g: np.ndarray, h: np.ndarray) -> np.ndarray:
         """(2, nodes, bins): gradients and hessians of the rows by node and bin, over all tasks."""
         out = np.empty((2, nodes, self.bins.bins))
-        key = (self.wide[rows] + (slot * self.bins.bins)[:, None]).ravel()
-        width = self.wide.shape[1]
-        for k, v in enumerate((g, h)):
-            out[k] = np.bincount(key, np.repeat(v[rows], width), minlength=out[k].size).reshape(out[k].shape)
+        gh = g[rows], h[rows]
+        for column, a, b in zip(self.columns, self.bins.first[:-1], self.bins.first[1:]):
+            key = slot * (b - a)
+            key += column[rows]
+            for k, v in enumerate(gh):
+                out[k, :, a:b] = np.bincount(key, v, minlength=nodes * (b - a)).reshape(nodes, b - a)
         return total(self.gather, out)
 
     def best(self, sums: np.ndarray, totals: np.ndarray, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,11 +202,13 @@ class _Grower:
                 gain, choice, sums = self._direct(rows[mine], (np.cumsum(can) - 1)[at[mine]], int(can.sum()), g, h, totals[:, can], open_)
             else:
                 small = counted[at]
+                ours = self.sums(rows[small], at[small] // 2, size // 2, g, h)  # siblings stand side by side, one of each pair is counted
+                pairs, first = np.arange(size // 2), counted[0::2]
                 sums = np.empty((2, size, self.bins.bins))
-                sums[:, counted] = self.sums(rows[small], (np.cumsum(counted) - 1)[at[small]], int(counted.sum()), g, h)
-                others = np.flatnonzero(~counted)
-                sums[:, others] = kept[:, others // 2] - sums[:, others ^ 1]  # siblings stand side by side
-                sums = sums[:, can]
+                sums[:, 2 * pairs + ~first] = ours
+                sums[:, 2 * pairs + first] = np.subtract(kept, ours, out=kept)
+                if not can.all():
+                    sums = sums[:, can]
                 gain, choice = self.best(sums, totals[:, can], open_)
             split = gain > 1e-9
             if not split.any():
@@ -218,8 +222,9 @@ class _Grower:
             moved = np.flatnonzero(node >= off)
             c = pick[node[moved] - off]
             moved, c = moved[c >= 0], c[c >= 0]
-            bin_ = self.wide[moved, self.bundle[c]]
-            goes_left = np.where(self.numeric[self.bundle[c]], bin_ <= self.at[c], bin_ != self.at[c])
+            bundle = self.bundle[c]
+            bin_ = self.columns[bundle, moved] + self.bins.first[bundle]
+            goes_left = np.where(self.numeric[bundle], bin_ <= self.at[c], bin_ != self.at[c])
             node[moved] = now["left"][node[moved] - off] + ~goes_left
             off, size = off + size, 2 * len(parents)
             if sums is None:
