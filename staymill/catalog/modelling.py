@@ -62,6 +62,30 @@ for _key, _name in (("fit_logreg", "Logistic Regression"), ("fit_tree", "Decisio
     query(_key, _METRIC_SPEC)(lambda s, d, n=_name: M.evaluate({n: _model(s, d, n)}, _prepared(s, d)[4]))
 
 
+@query("tree_leaf_shares", "booking_id:i is_share:b large_enough:b", with_frames("split", "SELECT booking_id, true AS is_share, true AS large_enough FROM split WHERE split = 'train'"))
+def tree_leaf_shares(s, d):
+    """Of every training row, whether the tree's probability is the class share of its leaf, and the leaf holds the least number of rows."""
+    model = _model(s, d, "Decision Tree").copy()
+    model.set(model.leafCol, "leaf")
+    rows = model.transform(_prepared(s, d)[3]).select("booking_id", "label", "leaf", vector_to_array("probability")[1].alias("p"))
+    leaves = rows.groupBy("leaf").agg(F.avg("label").alias("share"), F.count(F.lit(1)).alias("n"))
+    least = S.MODEL_PARAMS["Decision Tree"]["min_leaf"]
+    return rows.join(leaves, "leaf").select("booking_id", (F.abs(F.col("p") - F.col("share")) < 1e-9).alias("is_share"), (F.col("n") >= least).alias("large_enough"))
+
+
+@query("logreg_stationary", "training_rows:i intercept:b weights:b", with_frames("split", "SELECT count(*) AS training_rows, true AS intercept, true AS weights FROM split WHERE split = 'train'"))
+def logreg_stationary(s, d):
+    """Whether the gradient of the penalised mean loss vanishes at the fitted intercept and at every weight."""
+    tr = _prepared(s, d)[3]
+    model, n = _model(s, d, "Logistic Regression"), tr.count()
+    miss = (vector_to_array("probability")[1] - F.col("label")).alias("miss")
+    rows = model.transform(tr).select(miss, vector_to_array("features").alias("x"))
+    sums = rows.select("miss", F.posexplode("x").alias("i", "v")).groupBy("i").agg((F.sum(F.col("miss") * F.col("v")) / n).alias("g"))
+    slope = F.col("g") + F.element_at(F.array(*[F.lit(float(w)) for w in model.coefficients]), F.col("i") + 1) / n
+    worst = sums.agg(F.max(F.abs(slope)).alias("worst"))
+    return rows.agg(F.count(F.lit(1)).alias("training_rows"), (F.abs(F.avg("miss")) < 1e-3).alias("intercept")).join(worst).select("training_rows", "intercept", (F.col("worst") < 1e-3).alias("weights"))
+
+
 @query("fit_linear_svm", "accuracy:d precision:d recall:d f1:d roc_auc:d")
 def fit_linear_svm(s, d):
     _, _, _, tr, te = _prepared(s, d)
@@ -290,7 +314,37 @@ def _coefs(s, m, names):
     return s.createDataFrame([("intercept", float(m.intercept)), *[(n, float(c)) for n, c in zip(names, m.coefficients)]], "term string, value double")
 
 
-query("linreg_multi", "term:s value:d")(lambda s, d: _coefs(s, M.linear(_lines(s, d)), _LINE_X))
+_LINE_SQL = """WITH RECURSIVE t AS (SELECT CAST(l_extendedprice AS DOUBLE) / 1000 AS y, CAST(l_quantity AS DOUBLE) AS a, CAST(l_discount AS DOUBLE) AS b, CAST(l_tax AS DOUBLE) AS c FROM lineitem)"""
+_LINE_MOMENTS = """m AS (SELECT count(*) AS n, avg(y) AS y, avg(a) AS a, avg(b) AS b, avg(c) AS c, var_pop(a) AS aa, var_pop(b) AS bb, var_pop(c) AS cc,
+  covar_pop(a, b) AS ab, covar_pop(a, c) AS ac, covar_pop(b, c) AS bc, covar_pop(a, y) AS ay, covar_pop(b, y) AS by_, covar_pop(c, y) AS cy FROM {rows})"""
+_LINE_STANDARD = "z AS (SELECT y, (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS a, (b - avg(b) OVER ()) / stddev_pop(b) OVER () AS b, (c - avg(c) OVER ()) / stddev_pop(c) OVER () AS c FROM t)"
+_LINE_TERMS = """SELECT 'intercept' AS term, y - wa * a - wb * b - wc * c AS value FROM m, w UNION ALL SELECT 'l_quantity', wa FROM w
+UNION ALL SELECT 'l_discount', wb FROM w UNION ALL SELECT 'l_tax', wc FROM w"""
+
+
+def _normal_sql(rows: str, ridge: float) -> str:
+    """Normal equations of three columns, solved by determinants; `ridge` is the penalty on the summed squares."""
+    return f"""{_LINE_SQL}, {_LINE_STANDARD}, {_LINE_MOMENTS.format(rows=rows)}, r AS (SELECT * REPLACE (aa + {ridge} / n AS aa, bb + {ridge} / n AS bb, cc + {ridge} / n AS cc) FROM m),
+d AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det FROM r),
+w AS (SELECT (ay * (bb * cc - bc * bc) - ab * (by_ * cc - bc * cy) + ac * (by_ * bc - bb * cy)) / det AS wa,
+  (aa * (by_ * cc - bc * cy) - ay * (ab * cc - bc * ac) + ac * (ab * cy - by_ * ac)) / det AS wb,
+  (aa * (bb * cy - by_ * bc) - ab * (ab * cy - by_ * ac) + ay * (ab * bc - bb * ac)) / det AS wc FROM d)
+{_LINE_TERMS}"""
+
+
+def _lasso_sql(penalty: float) -> str:
+    """100 rounds of coordinate descent on the moments of the standardised columns."""
+    soft = lambda g, v: f"(sign({g}) * greatest(abs({g}) - {penalty}, 0) / {v})"
+    return f"""{_LINE_SQL}, {_LINE_STANDARD}, {_LINE_MOMENTS.format(rows="z")},
+run(i, wa, wb, wc) AS (SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE UNION ALL
+  SELECT i + 1, na, nb, {soft("(cy - ac * na - bc * nb)", "cc")} FROM (
+    SELECT *, {soft("(by_ - ab * na - bc * wc)", "bb")} AS nb FROM (
+      SELECT *, {soft("(ay - ab * wb - ac * wc)", "aa")} AS na FROM run, m WHERE i < 100) one) two),
+w AS (SELECT wa, wb, wc FROM run WHERE i = 100)
+{_LINE_TERMS}"""
+
+
+query("linreg_multi", "term:s value:d", _normal_sql("t", 0.0))(lambda s, d: _coefs(s, M.linear(_lines(s, d)), _LINE_X))
 
 
 def _standard_lines(s, d):
@@ -298,8 +352,8 @@ def _standard_lines(s, d):
     return M.assemble(E.StandardScaler(columns=_LINE_X).fit(df).transform(df), _LINE_X, "y")
 
 
-query("ridge", "term:s value:d")(lambda s, d: _coefs(s, M.linear(_standard_lines(s, d), ridge=10.0), _LINE_X))
-query("lasso", "term:s value:d")(lambda s, d: _coefs(s, M.linear(_standard_lines(s, d), lasso=0.1), _LINE_X))
+query("ridge", "term:s value:d", _normal_sql("z", 10.0))(lambda s, d: _coefs(s, M.linear(_standard_lines(s, d), ridge=10.0), _LINE_X))
+query("lasso", "term:s value:d", _lasso_sql(0.1))(lambda s, d: _coefs(s, M.linear(_standard_lines(s, d), lasso=0.1), _LINE_X))
 
 
 def _regression(s, d, name, estimator):
@@ -456,15 +510,19 @@ def model_roundtrip(s, d):
     return a.join(b, "booking_id").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("p") == F.col("q")).alias("same"))
 
 
-def _stream(s, d):
-    """Bookings as JSON lines, some with a broken week or lead time; folders of the scored and the held rows."""
+def _stream_rows(s, d):
+    """Bookings, some with a broken week or lead time."""
     rows = bookings(s, d).select("booking_id", *S.FEATURES)
     rows = rows.withColumns({c: F.coalesce(c, F.lit("Desconocido")) for c in ("country", "agent")} | {"company": F.coalesce("company", F.lit("no_company"))})
-    rows = rows.withColumns({
+    return rows.withColumns({
         "arrival_date_week_number": F.when(F.col("lead_time") % 37 == 0, 99).otherwise(F.col("arrival_date_week_number")),
         "lead_time": F.when(F.col("lead_time") % 41 == 0, -5).otherwise(F.col("lead_time"))})
+
+
+def _stream(s, d):
+    """The rows as JSON lines through the stream; folders of the scored and the held rows."""
     source, out, bad, mark = (scratch_path(s, n) for n in ("stream_in", "stream_out", "stream_bad", "stream_mark"))
-    rows.write.json(source)
+    _stream_rows(s, d).write.json(source)
     STREAM.score_stream(STREAM.booking_stream(s, source), _pipeline(s, d), out, bad, mark).awaitTermination()
     return out, bad
 
@@ -475,5 +533,24 @@ query("stream_quarantine", "booking_id:i violations:s", B(f"SELECT booking_id, {
     lambda s, d: s.read.parquet(_stream(s, d)[1]).select("booking_id", F.concat_ws(",", "violations").alias("violations")))
 query("stream_scored_keys", "booking_id:i known_label:b", B(f"SELECT booking_id, true AS known_label FROM bookings WHERE {_BAD_CODES} = ''"))(
     lambda s, d: s.read.parquet(_stream(s, d)[0]).select("booking_id", F.col("label").isin(S.CLASS_LABELS).alias("known_label")))
+
+
+@query("stream_equals_batch", "booking_id:i same:b", B(f"SELECT booking_id, true AS same FROM bookings WHERE {_BAD_CODES} = ''"))
+def stream_equals_batch(s, d):
+    """Every streamed prediction against the batch one of the same row."""
+    batch = SC.score_batch(_pipeline(s, d), _stream_rows(s, d)).select("booking_id", F.col("prediction").alias("b"), F.col("probability_canceled").alias("q"))
+    same = (F.col("prediction") == F.col("b")) & (F.col("probability_canceled") == F.col("q"))
+    return s.read.parquet(_stream(s, d)[0]).join(batch, "booking_id").select("booking_id", same.alias("same"))
+
+
+@query("score_same", "booking_id:i sink:b job:b", B("SELECT booking_id, true AS sink, true AS job FROM bookings"))
+def score_same(s, d):
+    """Predictions read back from the parquet sink and from the CSV-to-CSV job, against the batch ones."""
+    out = SC.score_batch(_pipeline(s, d), bookings(s, d)).select("booking_id", F.struct("prediction", "probability_canceled").alias("batch"))
+    for name, other in (("sink", score_sink(s, d)), ("job", score_job(s, d))):
+        out = out.join(other.select("booking_id", F.struct("prediction", "probability_canceled").alias(name)), "booking_id")
+    return out.select("booking_id", *[(F.col(n) == F.col("batch")).alias(n) for n in ("sink", "job")])
+
+
 query("train_job", _METRIC_SPEC)(
     lambda s, d: JB.train_job(bookings(s, d), scratch_path(s, "job"))["metrics"])

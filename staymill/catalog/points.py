@@ -56,6 +56,20 @@ def kmeans(s, d):
     return K.fit_kmeans(df, 3, "scaled").transform(df)
 
 
+@query("kmeans_nearest", "vec_id:i nearest:b", "SELECT vec_id, true AS nearest FROM embeddings")
+def kmeans_nearest(s, d):
+    """Of every vector, whether no other centre is nearer than that of its cluster."""
+    df = _scaled(s, d)
+    model = K.fit_kmeans(df, 3, "scaled")
+
+    def squares(centre):
+        return F.aggregate(F.zip_with("v", F.array(*[F.lit(float(x)) for x in centre]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x)
+
+    far = F.array(*[squares(c) for c in model.clusterCenters()])
+    rows = model.transform(df).withColumn("v", vector_to_array("scaled")).select("vec_id", "cluster", far.alias("far"))
+    return rows.select("vec_id", (F.element_at("far", F.col("cluster") + 1) <= F.array_min("far") + 1e-9).alias("nearest"))
+
+
 @query("elbow", "k:i inertia:d")
 def elbow(s, d):
     return K.elbow(_scaled(s, d), "scaled")
@@ -71,7 +85,15 @@ def silhouette_by_k(s, d):
     return rows.groupBy(F.substring("labelling", 2, 2).cast("int").alias("k")).agg(F.avg("silhouette").alias("silhouette"))
 
 
-@query("silhouette_fast", "silhouette:d")
+_SCALED = """parts AS (SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+scaled AS (SELECT vec_id, label, i, (x - avg(x) OVER (PARTITION BY i)) / stddev_samp(x) OVER (PARTITION BY i) AS z FROM parts)"""
+
+
+@query("silhouette_fast", "silhouette:d", f"""WITH {_SCALED},
+v AS (SELECT vec_id, label, list(z ORDER BY i) AS e FROM scaled GROUP BY 1, 2),
+m AS (SELECT q.vec_id, q.label, t.label AS o, sum(list_distance(q.e, t.e) ** 2) AS s, count(*) AS n FROM v q JOIN v t ON true GROUP BY 1, 2, 3),
+r AS (SELECT vec_id, max(n) FILTER (WHERE o = label) AS n, max(CASE WHEN n > 1 THEN s / (n - 1) END) FILTER (WHERE o = label) AS a, min(s / n) FILTER (WHERE o <> label) AS b FROM m GROUP BY 1)
+SELECT avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM r""")
 def silhouette_fast(s, d):
     df = _scaled(s, d)
     return s.createDataFrame([(float(K.silhouette_fast(df, "scaled", "label")),)], "silhouette double")
@@ -79,3 +101,12 @@ def silhouette_fast(s, d):
 
 query("pca", "component:i explained:d cumulative:d")(lambda s, d: (lambda df: PR.explained(PR.fit_pca(df, 64), s))(_scaled(s, d)))
 query("pca_threshold", "components:i")(lambda s, d: (lambda df: PR.components_for(PR.explained(PR.fit_pca(df, 64), s)))(_scaled(s, d)))
+
+
+@query("pca_traces", "components:i total:d squares:d", f"""WITH {_SCALED},
+c AS (SELECT p.i, q.i AS j, sum(p.z * q.z) AS s FROM scaled p JOIN scaled q ON p.vec_id = q.vec_id GROUP BY 1, 2)
+SELECT count(*) FILTER (WHERE i = j) AS components, 1 AS total, sum(s * s) / sum(s) FILTER (WHERE i = j) ** 2 AS squares FROM c""")
+def pca_traces(s, d):
+    """Sums of the explained shares and of their squares: both follow from the correlations without any eigenvector."""
+    e = F.col("explained")
+    return PR.explained(PR.fit_pca(_scaled(s, d), 64), s).agg(F.count(F.lit(1)).alias("components"), F.sum(e).alias("total"), F.sum(e * e).alias("squares"))
