@@ -134,7 +134,14 @@ def mlp_early_stop(s, d):
     return counts.select("*", F.lit(losses[best] < losses[0]).alias("loss_falls"), F.lit(ended).alias("stops_early_or_ends"), F.lit(abs(again - checks[best]) < 1e-6).alias("best_kept"))
 
 
-query("train_all", _METRIC_SPEC)(lambda s, d: MT.comparison_table(M.evaluate({n: _model(s, d, n) for n in S.MODEL_PARAMS}, _prepared(s, d)[4]), list(S.MODEL_PARAMS)))
+@query("train_all", _METRIC_SPEC)
+def train_all(s, d):
+    """All five models; their fits share nothing but the prepared rows and run side by side."""
+    te = _prepared(s, d)[4]
+    with ThreadPool(len(S.MODEL_PARAMS)) as pool:
+        fitted = dict(pool.map(lambda n: (n, _model(s, d, n)), S.MODEL_PARAMS))
+    return MT.comparison_table(M.evaluate(fitted, te), list(S.MODEL_PARAMS))
+
 
 
 @query("train_times", "model:s seconds:d")
