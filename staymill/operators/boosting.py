@@ -14,7 +14,7 @@ slots for. Per level a task sends `bins x nodes` pairs of sums, whatever the num
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staymill import schema as S
@@ -151,6 +151,13 @@ class _Grower:
                 out[k, :, a:b] = np.bincount(key, v, minlength=nodes * (b - a)).reshape(nodes, b - a)
         return total(self.gather, out)
 
+    def divisible(self, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+        return h >= 2 * self.s.min_hessian
+
+    def barred(self, nodes: int, order: np.ndarray) -> np.ndarray | None:
+        """(nodes, candidates): which candidates a node may not use; None if it may use all."""
+        return None
+
     def best(self, sums: np.ndarray, totals: np.ndarray, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(gain, candidate) of the best split of each node among the candidates `open_`."""
         nodes = sums.shape[1]
@@ -170,8 +177,12 @@ class _Grower:
             low /= UNIT
             (gl, hl), (g, h) = low, whole / UNIT
             gr, hr = g - gl, h - hl
-            score = gl * gl / (hl + self.s.ridge) + gr * gr / (hr + self.s.ridge)
+            with np.errstate(divide="ignore", invalid="ignore"):  # empty sides, which are struck out next
+                score = gl * gl / (hl + self.s.ridge) + gr * gr / (hr + self.s.ridge)
             score[(hl < self.s.min_hessian) | (hr < self.s.min_hessian)] = -1.0
+            barred = self.barred(len(score), order)
+            if barred is not None:
+                score[barred] = -1.0
             top = score.argmax(axis=1)
             found = score[np.arange(len(top)), top] - (g * g / (h + self.s.ridge))[:, 0]
             gain[a : a + step], choice[a : a + step] = found, order[top]
@@ -192,7 +203,7 @@ class _Grower:
                 "value": -gs / (hs + self.s.ridge) * self.s.rate, "cover": hs,
             }
             levels.append(now)
-            can = hs >= 2 * self.s.min_hessian
+            can = self.divisible(gs, hs)
             if len(levels) > self.s.max_depth or not can.any() or not len(open_):
                 break
             rows = rows[node[rows] >= off]
@@ -305,7 +316,7 @@ _BINNED = "codes binary, y double, w double, held boolean, k long"
 _TREES = "tree int, base double, feature array<int>, threshold array<double>, left array<int>, right array<int>, value array<double>, cover array<double>, loss double, held_loss double"
 
 
-def _job(batches: Iterator[pa.RecordBatch], bins: Bins, settings: Settings) -> Iterator[pa.RecordBatch]:
+def _job(batches: Iterator[pa.RecordBatch], bins: Bins, settings: Settings, trainer: Callable) -> Iterator[pa.RecordBatch]:
     gather = gatherer()
     width = len(bins.bundles)
     parts = [
@@ -314,7 +325,7 @@ def _job(batches: Iterator[pa.RecordBatch], bins: Bins, settings: Settings) -> I
     ]
     blank = (np.zeros((0, width), np.uint8), np.zeros(0), np.zeros(0), np.zeros(0, bool), np.zeros(0, np.int64))
     rows = [np.concatenate(p) for p in zip(blank, *parts)]
-    base, trees = train(*rows, bins, settings, gather)
+    base, trees = trainer(*rows, bins, settings, gather)
     if is_first():
         for t, tree in enumerate(trees):
             yield pa.RecordBatch.from_pylist([{"tree": t, "base": base, **{k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in tree.items()}}], _ARROW_TREES)
@@ -357,9 +368,16 @@ class Boosting(Estimator):
         binned = materialise(frame.mapInArrow(encode, _BINNED), "binned")
         rows = binned.count()
         tasks = self.tasks or tasks_for(binned, rows * (len(bins.bundles) + 32))
-        settings = self.settings
-        grown = binned.repartition(tasks, "k").mapInArrow(lambda it: _job(it, bins, settings), _TREES, barrier=True)
-        return BoostingModel.of(materialise(grown, "trees"), self.features)
+        settings, trainer = self.settings, self.trainer()
+        grown = binned.repartition(tasks, "k").mapInArrow(lambda it: _job(it, bins, settings, trainer), _TREES, barrier=True)
+        return self.model.of(materialise(grown, "trees"), self.features)
+
+    @property
+    def model(self) -> type[BoostingModel]:
+        return BoostingModel
+
+    def trainer(self) -> Callable:
+        return train
 
 
 class BoostingModel(Model, MLWritable, MLReadable):
@@ -380,7 +398,7 @@ class BoostingModel(Model, MLWritable, MLReadable):
         return len(self.trees)
 
     def copy(self, extra=None) -> BoostingModel:
-        return BoostingModel(self.trees, self.base, self.features)
+        return type(self)(self.trees, self.base, self.features)
 
     def margins(self, x: np.ndarray, every: bool = False) -> np.ndarray:
         """Log-odds of the rows; with `every`, after each tree as one column per tree."""
@@ -405,11 +423,11 @@ class BoostingModel(Model, MLWritable, MLReadable):
         def margin(x: pd.Series) -> pd.Series:
             return pd.Series(held.value.margins(np.stack(x.to_numpy())) if len(x) else np.zeros(0))
 
-        m = F.col("_margin")
+        return df.withColumn("_margin", margin(vector_to_array(self.features))).withColumns(self._judged(F.col("_margin"))).drop("_margin")
+
+    def _judged(self, m: Column) -> dict[str, Column]:
         p = 1 / (1 + F.exp(-m))
-        return df.withColumn("_margin", margin(vector_to_array(self.features))).withColumns({
-            "rawPrediction": array_to_vector(F.array(-m, m)), "probability": array_to_vector(F.array(1 - p, p)), "prediction": (m > 0).cast("double"),
-        }).drop("_margin")
+        return {"rawPrediction": array_to_vector(F.array(-m, m)), "probability": array_to_vector(F.array(1 - p, p)), "prediction": (m > 0).cast("double")}
 
     def _plain(self) -> _Trees:
         return _Trees(self.trees, self.base)
@@ -438,7 +456,7 @@ class BoostingModel(Model, MLWritable, MLReadable):
 
     @classmethod
     def read(cls) -> MLReader:
-        return _Reader()
+        return _Reader(cls)
 
 
 class _Trees:
@@ -463,11 +481,15 @@ class _Writer(MLWriter):
 
 
 class _Reader(MLReader):
+    def __init__(self, made: type[BoostingModel]):
+        super().__init__()
+        self.made = made
+
     def load(self, path: str) -> BoostingModel:
         spark = self.sparkSession
         meta = DefaultParamsReader.loadMetadata(path, spark)
         rows = spark.read.parquet(f"{path}/trees").select(F.from_json("data", _TREES).alias("t")).select("t.*")
-        model = BoostingModel.of(rows, meta["features"])
+        model = self.made.of(rows, meta["features"])
         model.base = meta["base"]
         model._resetUid(meta["uid"])
         return model

@@ -10,7 +10,6 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
     LogisticRegression,
-    RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
@@ -21,6 +20,7 @@ from staymill import schema as S
 from staymill.functions.session import materialise
 from staymill.operators import encode as E
 from staymill.operators.boosting import Boosting, Settings
+from staymill.operators.forest import Forest
 from staymill.operators.metrics import evaluate_models
 from staymill.operators.network import Network
 from staymill.operators.network import Settings as NetworkSettings
@@ -47,10 +47,7 @@ def tree(max_depth: int | None = 12, min_leaf: int = 50, criterion: str = "gini"
 
 
 def forest(trees: int = 200, max_depth: int | None = 18, min_leaf: int = 20, max_features: str = "sqrt", weight: str | None = None, **_) -> Estimator:
-    m = RandomForestClassifier(
-        **_IO, **_TREE, numTrees=trees, maxDepth=_depth(max_depth), minInstancesPerNode=min_leaf, featureSubsetStrategy=max_features, subsamplingRate=1.0
-    )
-    return m.setWeightCol(weight) if weight else m
+    return Forest(trees, _depth(max_depth), min_leaf, max_features, E.FEATURES_COL, LABEL, weight)
 
 
 def boosting(
