@@ -30,32 +30,3 @@ def pair_sums(df: DataFrame, columns: Sequence[str], shift: Sequence[float]) ->
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     cells = doubles.mapInPandas(partial, "i int, j int, n double, sx double, sxx double, sxy double")
     return cells.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sxx", "sxy")])
-
-
-def vector_moments(df: DataFrame, vector: str, label: str | None = None) -> tuple[float, np.ndarray, np.ndarray]:
-    """(n, sums, cross products) of a dense array column, with the label appended as last entry.
-
-    The state is a square of the vector length, summed per cell on the cluster before it is read."""
-    width = len(df.select(vector).first()[0]) + (1 if label else 0)
-    if width > 4096:
-        raise ValueError("cross products are kept for at most 4096 columns")
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((width + 1, width + 1))
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            x = np.stack(pdf["v"].to_numpy()).astype(float)
-            parts = [np.ones((len(x), 1)), x]
-            if label:
-                parts.append(pdf["y"].to_numpy(dtype=float)[:, None])
-            m = np.hstack(parts)
-            total += m.T @ m
-        yield pd.DataFrame({"pos": np.arange(total.size), "s": total.ravel()})
-
-    frame = df.select(F.col(vector).alias("v"), *([F.col(label).cast("double").alias("y")] if label else []))
-    rows = frame.mapInPandas(partial, "pos int, s double").groupBy("pos").agg(F.sum("s").alias("s")).toPandas()
-    m = np.zeros((width + 1) ** 2)
-    m[rows["pos"].to_numpy()] = rows["s"].to_numpy()
-    m = m.reshape(width + 1, width + 1)
-    return m[0, 0], m[0, 1:], m[1:, 1:]

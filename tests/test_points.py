@@ -110,3 +110,33 @@ def test_pca_sums_to_one(spark, cloud):
     df, _ = cloud
     table = PR.explained(PR.fit_pca(PR.scaled_vectors(df, "v"), 3), spark).toPandas()
     assert np.isclose(table["cumulative"].iloc[-1], 1.0) and table["explained"].is_monotonic_decreasing
+
+
+def test_pls_of_more_slots_than_a_square_may_have(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(3)
+    hot, x = rng.integers(0, 5000, 400), rng.normal(size=400)
+    y = (x + (hot % 3) + rng.normal(size=400) > 1).astype(float)
+    rows = [(float(a), Vectors.sparse(5000, [int(h)], [1.0]), float(b)) for a, h, b in zip(x, hot, y)]
+    df = VectorAssembler(inputCols=["a", "hot"], outputCol="v").transform(spark.createDataFrame(rows, ["a", "hot", "y"]))
+    full = np.zeros((400, 5001))
+    full[:, 0], full[np.arange(400), hot + 1] = x, 1.0
+    std = full.std(0, ddof=1)
+    std[std <= 1e-12] = 1.0
+    e, f = (full - full.mean(0)) / std, (y - y.mean()) / y.std(ddof=1)
+    got = PR.project(df, PR.fit_pls(df, "v", "y"), "v").toPandas()
+    for c in ("c1", "c2"):
+        w = e.T @ f / np.linalg.norm(e.T @ f)
+        w *= np.sign(w[np.abs(w).argmax()])
+        t = e @ w
+        p = e.T @ t / (t @ t)
+        e, f = e - np.outer(t, p), f - t * (f @ t) / (t @ t)
+        assert np.allclose(got[c], t)
+
+
+def test_project_keeps_rows_without_a_vector(spark):
+    pls = PR.PLS(np.zeros(2), np.ones(2), np.eye(2))
+    got = PR.project(spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "k int, v array<double>"), pls, "v").orderBy("k").collect()
+    assert (got[0]["c1"], got[0]["c2"]) == (1.0, 2.0) and got[1]["c1"] is None
