@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 
 from staymill.operators import network as N
 
@@ -63,3 +63,24 @@ def test_comes_back(frame, tmp_path):
     again = PipelineModel.load(str(tmp_path / "m"))
     a, b = (m.transform(frame).orderBy("booking_id").select("probability", "prediction").collect() for m in (model, again))
     assert a == b and again.stages[0].history == model.history and again.transform(frame.limit(0)).count() == 0
+
+
+def test_wide_rows_are_kept_by_their_filled_slots(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(5)
+    hot = rng.integers(0, 3000, 300)
+    rows = [(i, float(h % 2), Vectors.sparse(3000, [int(h)], [1.0])) for i, h in enumerate(hot)]
+    df = spark.createDataFrame(rows, ["booking_id", "label", "features"])
+    sizes = []
+    monkeypatch.setattr(N, "tasks_for", lambda packed, size, each: sizes.append(size) or 1)
+    s = N.Settings(hidden=(8, 4), epochs=3, batch=64)
+    model = N.Network(s).fit(df)
+    assert sizes[0] <= 300 * 40  # 3.6 MB as dense rows
+    dense = df.select("booking_id", "label", array_to_vector(vector_to_array("features")).alias("features"))
+    other = N.Network(s).fit(dense)
+    assert np.allclose(N._flat(model.layers), N._flat(other.layers), atol=1e-9) and np.allclose(model.history, other.history)
+    x = np.zeros((300, 3000), np.float32)
+    x[np.arange(300), hot] = 1
+    p = [r["probability"][1] for r in model.transform(df).orderBy("booking_id").collect()]
+    assert np.allclose(p, 1 / (1 + np.exp(-N.forward(model.layers, x)[-1][:, 0])))
