@@ -5,13 +5,13 @@ one node of the next level until one is left, the subroot; the subroots in order
 same way. Hashes are concatenated as lower-case hex texts.
 
 The built levels are written as node rows, each with its parent's key and the hashes it was made of. A recursive query
-then climbs from the leaves: per step it joins the parent, appends the siblings to the proof and folds the (possibly
-tampered) hash with them. The leaves of one run share their way, so they climb as one row that holds a hash of its own for
-each of them and the shared siblings once.
+then climbs from the nodes right above the runs of leaves: per step it joins the parent and appends the siblings to the
+way. The leaves of up to ARITY runs share a way; each run is joined to it once, puts its own siblings first and folds the
+(possibly tampered) hash of every leaf along it.
 
 Scale: positions come from a range partition and one small row per partition and group, so a group of any size is spread
-over many tasks. Only hashes and ids are shuffled. Nodes near the root are on the way of every leaf: each is laid down
-once per `BLOCK` consecutive leaves that it covers, and a leaf looks in its own block, so no join key meets more
+over many tasks. Only hashes and ids are shuffled, and those of the leaves not once per level. Nodes near the root are on the way of every leaf: each is laid down
+once per `BLOCK` consecutive leaves that it covers, and a way looks in its own block, so no join key meets more
 than BLOCK / ARITY rows. Levels grow with the logarithm of the largest group.
 
 Defined cases: a null field counts as `-`; null groups and null order values come first; rows of a group with equal order
@@ -145,38 +145,47 @@ def build(leaves: DataFrame, group: str, order: str) -> tuple[DataFrame, DataFra
 
 
 _CLIMB = """
-WITH RECURSIVE climb (items, path, subroot, digest, block, up_tree, up_level, up_pos, seat) MAX RECURSION LEVEL 1000 AS (
-  SELECT items, path, subroot, digest, block, up_tree, up_level, up_pos, seat FROM {start}
+WITH RECURSIVE climb (tree, level, pos, seats, steps, subroot, digest, block, up_tree, up_level, up_pos, seat) MAX RECURSION LEVEL 1000 AS (
+  SELECT tree, level, pos, children, CAST(array() AS array<struct<left: binary, right: binary>>), CASE WHEN is_subroot THEN digest END, digest,
+         floor(low / {block}), up_tree, up_level, up_pos, seat
+  FROM {nodes} WHERE level = CASE WHEN tree = 0 THEN 1 ELSE 2 END
   UNION ALL
-  SELECT transform(c.items, i -> struct(i.id AS id, i.leaf AS leaf,
-           unhex(sha2(concat(array_join(slice(n.children, 1, c.seat), ''), lower(hex(i.folded)), array_join(slice(n.children, c.seat + 2, {arity}), '')), 256)) AS folded)),
-         concat(c.path, unhex(concat(array_join(slice(n.children, 1, c.seat), ''), array_join(slice(n.children, c.seat + 2, {arity}), '')))),
+  SELECT c.tree, c.level, c.pos, c.seats,
+         concat(c.steps, array(struct(unhex(array_join(slice(n.children, 1, c.seat), '')) AS left,
+                                      unhex(array_join(slice(n.children, c.seat + 2, {arity}), '')) AS right))),
          coalesce(c.subroot, CASE WHEN n.is_subroot THEN n.digest END), n.digest, c.block, n.up_tree, n.up_level, n.up_pos, n.seat
-  FROM climb c JOIN {nodes} n ON c.up_tree = n.tree AND c.up_level = n.level AND c.up_pos = n.pos AND c.block = n.block)
-SELECT items, path, subroot, digest FROM climb WHERE up_tree IS NULL
+  FROM climb c JOIN {copies} n ON c.up_tree = n.tree AND c.up_level = n.level AND c.up_pos = n.pos AND c.block = n.block)
+SELECT tree AS c_tree, level AS c_level, pos AS c_pos, seats, steps, subroot AS c_subroot, digest AS c_root FROM climb WHERE up_tree IS NULL
 """
 
 
 def climb(runs: DataFrame, nodes: DataFrame, order: str) -> DataFrame:
     """(items, path, subroot, digest) per run at the root: folded hashes of its leaves, siblings above it, subroot and root."""
     spark: SparkSession = runs.sparkSession
-    hashes = F.col("items")["leaf"]
-    fold = lambda i, k: F.struct(
-        i[order].alias("id"), i["leaf"].alias("leaf"),
-        F.when((F.col("size") == 1) & (F.size("items") == 1), i["tampered"]).otherwise(
-            F.unhex(F.sha2(F.concat(_leaf_text(F.slice(hashes, F.lit(1), k)), _hex(i["tampered"]), _leaf_text(F.slice(hashes, k + 2, F.lit(ARITY)))), 256))).alias("folded"))
-    start = runs.select(
-        F.transform("items", fold).alias("items"), F.lit(b"").alias("path"), F.when(F.col("is_subroot"), F.col("digest")).alias("subroot"), "digest",
-        F.floor(F.col("low") / BLOCK).alias("block"), "up_tree", "up_level", "up_pos", "seat")
     covered = F.sequence(F.floor(F.col("low") / BLOCK), F.floor(F.col("high") / BLOCK))
     copies = materialise(nodes.withColumn("block", F.explode(covered)).drop("size", "low", "high"), "copies")
     key = "spark.sql.cteRecursionRowLimit"
     limit = spark.conf.get(key, None)
-    spark.conf.set(key, "-1")  # the number of rows is that of the runs times the levels
+    spark.conf.set(key, "-1")  # the number of rows is that of the nodes above the runs times the levels
     try:
-        return materialise(spark.sql(_CLIMB, start=start, nodes=copies, arity=ARITY), "climbed")
+        ways = materialise(spark.sql(_CLIMB, nodes=nodes, copies=copies, block=BLOCK, arity=ARITY), "climbed")
     finally:
         spark.conf.unset(key) if limit is None else spark.conf.set(key, limit)
+    hashes = F.col("items")["leaf"]
+    own = lambda i, k: F.when((F.col("size") == 1) & (F.size("items") == 1), i["tampered"]).otherwise(
+        F.unhex(F.sha2(F.concat(_leaf_text(F.slice(hashes, F.lit(1), k)), _hex(i["tampered"]), _leaf_text(F.slice(hashes, k + 2, F.lit(ARITY)))), 256)))
+    onward = lambda h, s: F.unhex(F.sha2(F.concat(_hex(s["left"]), _hex(h), _hex(s["right"])), 256))
+    item = lambda i, k: F.struct(i[order].alias("id"), i["leaf"].alias("leaf"), F.aggregate("way", own(i, k), onward).alias("folded"))
+    # The first step is that of the run itself; its parent has climbed the others. A lone run has no way to go.
+    step = F.struct(F.unhex(_text(F.slice("seats", F.lit(1), F.col("seat")))).alias("left"),
+                    F.unhex(_text(F.slice("seats", F.col("seat") + 2, F.lit(ARITY)))).alias("right"))
+    led = runs.join(ways, (F.col("up_tree") == F.col("c_tree")) & (F.col("up_level") == F.col("c_level")) & (F.col("up_pos") == F.col("c_pos")), "left")
+    none = F.array().cast("array<struct<left:binary,right:binary>>")
+    led = led.withColumn("way", F.when(F.col("steps").isNull(), none).otherwise(F.concat(F.array(step), "steps")))
+    path = F.aggregate("way", F.lit(b""), lambda acc, s: F.concat(acc, s["left"], s["right"]))
+    return led.select(
+        F.transform("items", item).alias("items"), path.alias("path"),
+        F.coalesce(F.when(F.col("is_subroot"), F.col("digest")), F.col("c_subroot")).alias("subroot"), F.coalesce("c_root", "digest").alias("digest"))
 
 
 def manifest(docs: DataFrame, fields: Sequence[str], group: str, order: str, tampered: Mapping[str, Column]) -> DataFrame:
@@ -187,7 +196,7 @@ def manifest(docs: DataFrame, fields: Sequence[str], group: str, order: str, tam
     leaves = materialise(docs.select(
         F.col(order), F.col(group).cast("string").alias(group), leaf_hash([F.col(c) for c in fields]).alias("leaf"),
         leaf_hash([tampered.get(c, F.col(c)) for c in fields]).alias("tampered")), "leaves")
-    ended = climb(*build(leaves, group, order), order)
+    ended = materialise(climb(*build(leaves, group, order), order), "folded")
     hashes = F.col("items")["leaf"]
     others = F.concat(_leaf_text(F.slice(hashes, F.lit(1), F.col("k"))), _leaf_text(F.slice(hashes, F.col("k") + 2, F.lit(ARITY))))
     folded = _hex(F.col("item.folded"))

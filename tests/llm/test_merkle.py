@@ -80,3 +80,13 @@ def test_nulls_ties_repeats_long_texts(spark):
 
 def test_an_empty_table_has_no_rows(spark):
     assert _run(spark, []) == []
+
+
+def test_the_climb_carries_no_leaves(spark, monkeypatch):
+    """One way per node above the runs, not one row with all hashes per run and level."""
+    written, plain = {}, merkle.materialise
+    monkeypatch.setattr(merkle, "materialise", lambda df, name: written.setdefault((name, len(written)) if name in written else name, plain(df, name)))
+    rows = _rows({"a": 600, "b": 3, "c": 40})
+    assert _run(spark, rows) == _brute(rows)
+    assert "items" not in written["climbed"].columns
+    assert written["climbed"].count() <= 3 + 1 + 1  # 600 / 256, 40 / 256, the top
