@@ -26,11 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staymill.functions.session import scratch_path
-from staymill.llm.words import chunks, hash_spans, text_buffer
+from staymill.functions.session import TEXT_ROWS, arrow_rows, scratch_path
+from staymill.llm.words import chunks, hash_spans, runs, text_buffer
 
 SHARD_TOKENS = 1 << 20
-CACHE_UNITS = 2_000_000  # about 100 MB in a worker
+CACHE_UNITS = 500_000  # about 17 MB in a worker
+LONG_UNIT = 64  # ids; longer units do not stay when there are too many ids
 END = 0
 _MAGIC = b"WAVELET1"
 _RANK_BITS = 512
@@ -159,15 +160,63 @@ _BLANK = _bytes((0x20, 0x20), (0x0A, 0x0A))
 _PUNCT = _bytes((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 _PLAIN = _bytes((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
 _ODD = _bytes((0x09, 0x09), (0x0B, 0x0D), (0x1C, 0x1F))
+_KIND = _BLANK + 2 * _PUNCT.astype(np.uint8) + 4 * _PLAIN.astype(np.uint8) + 8 * _ODD.astype(np.uint8)
 # White space beyond ASCII, as UTF-8.
 _WIDE = {2: [0xC285, 0xC2A0], 3: [0xE19A80, 0xE1A08E, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080]}
 
 
+def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[str]:
+    """The spans as strings, all at once."""
+    stop = np.cumsum(end - start)
+    raw = data[np.repeat(start - (stop - (end - start)), end - start) + np.arange(stop[-1])]
+    spans = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(np.append(0, stop)), pa.py_buffer(raw))
+    try:
+        return spans.to_pylist()
+    except UnicodeDecodeError:  # bytes that are no UTF-8
+        return [b.decode("utf-8", "replace") for b in spans.view(pa.large_binary()).to_pylist()]
+
+
+class Units:
+    """Ids of the units met so far, by the 64-bit hash of the unit. Beyond `CACHE_UNITS`, or 16 times as many ids, half as many
+    stay: those that occur in most chunks, late ones counting more."""
+
+    def __init__(self, dtype: np.dtype):
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.uses = np.zeros(0, np.float32)  # by slot
+        self.first, self.flat = np.zeros(1, np.int64), np.zeros(0, dtype)
+
+    def shrink(self) -> None:
+        if len(self.keys) <= CACHE_UNITS and len(self.flat) <= 16 * CACHE_UNITS:
+            return
+        length = np.diff(self.first)
+        kept = np.flatnonzero(length <= LONG_UNIT)  # slots
+        if len(kept) > CACHE_UNITS // 2:
+            kept = np.sort(kept[np.argpartition(self.uses[kept], -(CACHE_UNITS // 2))[-(CACHE_UNITS // 2) :]])
+        stays = np.zeros(len(length), bool)
+        stays[kept] = True
+        self.flat = self.flat[np.repeat(stays, length)]
+        self.first = np.append(0, np.cumsum(length[kept]))
+        place = (np.cumsum(stays) - 1).astype(np.int32)
+        here = stays[self.slots]
+        self.keys, self.slots = self.keys[here], place[self.slots[here]]
+        self.uses = self.uses[kept] / 2
+
+    def add(self, at: np.ndarray, keys: np.ndarray, ids: list[list[int]]) -> None:
+        """New units; `at` is their place among the sorted keys."""
+        new = (np.arange(len(keys)) + len(self.uses)).astype(np.int32)
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(g) for g in ids])])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), self.flat.dtype)])
+        self.keys, self.slots = np.insert(self.keys, at, keys), np.insert(self.slots, at, new)
+        self.uses = np.append(self.uses, np.zeros(len(keys), np.float32))
+
+
+_kept: dict[str, Units] = {}  # by tokenizer: a worker's next task goes on with the units of the last one
+
+
 class Encoder:
     """Encodes many texts at once. The tokenizer always cuts between another character and a blank or line feed, and
-    between a letter or digit and punctuation, so texts are cut there into units; each distinct unit is encoded once
-    and kept, by its 64-bit hash, until the cache is full and emptied. Texts with other white space or with special tokens
-    are encoded in one piece."""
+    between a letter or digit and punctuation, so texts are cut there into units; each distinct unit of a chunk is encoded
+    once, and the common ones are kept in `Units`. Texts with other white space or with special tokens are encoded in one piece."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
@@ -178,56 +227,61 @@ class Encoder:
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._clear()
-
-    def _clear(self) -> None:
-        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.first, self.flat = np.zeros(1, np.int64), np.zeros(0, self.dtype)
+        stat = os.stat(path)
+        self.units = _kept.setdefault(f"{path} {stat.st_size} {stat.st_mtime_ns}", Units(self.dtype))
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _slots(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Where the ids of each unit are kept."""
-        keys, one, inverse = np.unique(hash_spans(data, start, end, fold=False), return_index=True, return_inverse=True)
-        if len(self.keys) > CACHE_UNITS:
-            self._clear()
-        at = np.searchsorted(self.keys, keys)
-        fresh = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] != keys) if len(self.keys) else np.arange(len(keys))
+        units = self.units
+        units.shrink()
+        hashes = hash_spans(data, start, end, fold=False)
+        order = np.argsort(hashes)
+        run = runs(hashes[order])
+        one = order[run]  # any unit of each hash
+        keys = hashes[one]
+        at = np.searchsorted(units.keys, keys)
+        fresh = np.flatnonzero(units.keys[np.minimum(at, len(units.keys) - 1)] != keys) if len(units.keys) else np.arange(len(keys))
         if len(fresh):
-            got = self._encode([data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(start[one[fresh]].tolist(), end[one[fresh]].tolist())])
-            new = np.arange(len(fresh)) + len(self.first) - 1
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(g) for g in got])])
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), self.dtype)])
-            self.keys, self.slots = np.insert(self.keys, at[fresh], keys[fresh]), np.insert(self.slots, at[fresh], new)
-            at = np.searchsorted(self.keys, keys)
-        return self.slots[at][inverse]
+            units.add(at[fresh], keys[fresh], self._encode(_strings(data, start[one[fresh]], end[one[fresh]])))
+            at = np.searchsorted(units.keys, keys)
+        slot = units.slots[at]
+        units.uses[slot] += 1
+        found = np.empty(len(hashes), np.int32)
+        found[order] = np.repeat(slot, np.diff(np.append(run, len(hashes))))
+        return found
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of the texts data[offsets[t]:offsets[t + 1]]."""
         n = len(data)
         if n == 0:
-            return [self.flat[:0]] * (len(offsets) - 1)
-        before = np.zeros(n, np.uint8)
-        before[1:] = data[:-1]
-        two = np.zeros(n, np.uint8)
-        two[2:] = data[:-2]
-        latin = (two == 0xC3) & (before != 0x97) & (before != 0xB7)  # the letters from À to ÿ
-        cut = (_BLANK[data] & ~_BLANK[before]) | (_PUNCT[data] & (_PLAIN[before] | latin))
+            return [np.zeros(0, self.dtype)] * (len(offsets) - 1)
+        kind = _KIND[data]
+        cut = np.zeros(n, bool)
+        cut[0] = True
+        now, last = kind[1:], kind[:-1]
+        # punctuation after a letter or digit (4 to 2), a blank after anything else (1)
+        cut[1:] = ((now & 1) > (last & 1)) | ((now & (last >> 1) & 2) != 0)
+        # punctuation after the letters from À to ÿ
+        lead = np.flatnonzero(data[:-2] == 0xC3)
+        cut[lead[(kind[lead + 2] & 2 != 0) & (data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)] + 2] = True
         cut[offsets[:-1][offsets[:-1] < n]] = True
         start = np.flatnonzero(cut)
         slot = self._slots(data, start, np.append(start[1:], n))
-        size = self.first[slot + 1] - self.first[slot]
+        first = self.units.first
+        size = first[slot + 1] - first[slot]
         stop = np.cumsum(size)
-        ids = self.flat[np.repeat(self.first[slot] - (stop - size), size) + np.arange(stop[-1])]
+        ids = self.units.flat[np.repeat(first[slot] - (stop - size), size) + np.arange(stop[-1])]
         edge = np.append(0, stop)[np.searchsorted(start, offsets)]
         out = np.split(ids, edge[1:-1])
-        for t in self._whole(data, offsets):
+        for t in self._whole(data, offsets, kind):
             out[t] = np.array(self._encode([data[offsets[t] : offsets[t + 1]].tobytes().decode("utf-8", "replace")])[0], self.dtype)
         return out
 
-    def _whole(self, data: np.ndarray, offsets: np.ndarray) -> list[int]:
-        places = [np.flatnonzero(_ODD[data])]
+    def _whole(self, data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> list[int]:
+        places = [np.flatnonzero(kind & 8)]
         for width, codes in _WIDE.items():
             lead = np.flatnonzero(np.isin(data[: len(data) - width + 1], sorted({c >> 8 * (width - 1) for c in codes})))
             code = sum(data[lead + j].astype(np.int64) << 8 * (width - 1 - j) for j in range(width))
@@ -242,7 +296,7 @@ class Encoder:
 
 
 def _shards(batches: Iterator[pa.RecordBatch], path: str, shard_tokens: int) -> Iterator[pa.RecordBatch]:
-    enc = Encoder(path)  # of this task: workers live on, and would keep its cache
+    enc = Encoder(path)  # the tokenizer ends with the task, as workers live on; its units stay, within their bound
     end = np.array([END], enc.dtype)
     docs: list[int | None] = []
     held: list[np.ndarray] = []
@@ -264,6 +318,7 @@ def _shards(batches: Iterator[pa.RecordBatch], path: str, shard_tokens: int) ->
                 yield image()
                 seq, base = seq + 1, base + n
                 docs, held, n = [], [], 0
+    enc.units.shrink()
     if docs:
         yield image()
 
@@ -272,7 +327,8 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, shard_tokens: int =
     """Parquet under `path`: one row (range, seq, base, n, image) per shard; `base` counts from the start of the range."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     ordered = keyed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
-    ordered.mapInArrow(lambda it: _shards(it, tokenizer, shard_tokens), _SHARD).write.parquet(path)
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        ordered.mapInArrow(lambda it: _shards(it, tokenizer, shard_tokens), _SHARD).write.parquet(path)
 
 
 def _digest(batches: Iterator[pa.RecordBatch], first: dict[int, int]) -> Iterator[pa.RecordBatch]:

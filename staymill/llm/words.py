@@ -59,13 +59,15 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool
     size = end - start
     total = size.astype(np.uint64)
     edge = np.concatenate([[0], np.cumsum(size)])
+    joined = data[start[0] : end[-1]] if len(start) and (start[1:] == end[:-1]).all() else None  # spans without gaps
     for low in range(0, int(edge[-1]), _BLOCK):
         high = min(low + _BLOCK, int(edge[-1]))
         a, b = int(np.searchsorted(edge, low, "right")) - 1, int(np.searchsorted(edge, high, "left"))
         cut = np.clip(edge[a : b + 1], low, high)
         here = np.diff(cut)
         place = np.arange(low, high) - np.repeat(edge[a:b], here)
-        x = mix(table[data[np.repeat(start[a:b], here) + place]] + place.astype(np.uint64) * _BASE)
+        raw = data[np.repeat(start[a:b], here) + place] if joined is None else joined[low:high]
+        x = mix(table[raw] + place.astype(np.uint64) * _BASE)
         full = np.flatnonzero(here)
         part = total[a:b]
         part[full] += np.add.reduceat(x, (cut[:-1] - low)[full])
