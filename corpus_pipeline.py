@@ -12,6 +12,8 @@ from staymill.functions.session import materialise
 from staymill.llm import catalog, decontaminate, jaccard, langid, mixture, wavelet
 from staymill.llm.joins import if_few
 
+SEGMENTS = 4  # of the index, some megabytes each, handed to Python at once
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; texts far from every known language go, and so do texts without letters."""
@@ -51,7 +53,8 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents without a passage of the benchmark."""
     index = decontaminate.build_index(docs.select(F.xxhash64("text").alias("doc_id"), "text"))
     found = decontaminate.match(index, catalog.read(spark, sf_dir, "benchmark"), window=10)
-    return without(docs, found.where(F.size("hit") > 0).select(F.col("doc_id").alias("text_hash")).distinct())
+    hit = found.where(F.size("hit") > 0).select(F.col("doc_id").alias("text_hash")).distinct()
+    return without(docs, materialise(hit, "hit", batch_rows=SEGMENTS))
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staymill.functions.session import materialise
+from staymill.functions.session import TEXT_ROWS, materialise
 from staymill.llm.words import ALNUM, chunks, find, runs, split_words, text_buffer
 
 TEST_BYTES = 8 << 20
@@ -58,7 +58,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def build_index(docs: DataFrame) -> DataFrame:
     """Positional postings of all words of `docs` (doc_id, text), written to the shared folder: one row per segment."""
-    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_segments, _INDEX), "postings")
+    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_segments, _INDEX), "postings", batch_rows=TEXT_ROWS, codec="zstd")
 
 
 class Phrases:

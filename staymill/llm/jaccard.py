@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staymill.functions.session import materialise
+from staymill.functions.session import TEXT_ROWS, materialise
 from staymill.llm.words import SPACED, chunks, mix, runs, split_words, text_buffer
 from staymill.plans.components import connected_components
 
@@ -289,14 +289,14 @@ def similar_groups(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(12, size // 16 // PART_ENTRIES)  # about one signature for 20 bytes of text
     blocks = docs.mapInArrow(lambda it: _blocks(it, n, bands, parts), "part long, through boolean, sig binary, node binary")
-    members = materialise(blocks.groupBy("part").applyInPandas(_shared, "sig long, node long").distinct(), "members")
+    members = materialise(blocks.groupBy("part").applyInPandas(_shared, "sig long, node long").distinct(), "members", batch_rows=TEXT_ROWS)
 
     # One group for each distinct set of holders; a group of two is its pair.
     groups = members.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("h"))
     groups = materialise(groups.where("n > 1").groupBy("a", "b", "n", "h").agg(F.min("sig").alias("sig")), "groups")
     large = materialise(members.join(groups.where("n > 2").select("sig", F.col("a").alias("rep")), "sig"), "large")
     wanted = spark.sparkContext.broadcast(_node_filter(members.select("node")))
-    rows = materialise(docs.mapInArrow(lambda it: _rows(it, n, wanted), "doc_id long, text_hash long, n_shingles long, node long, grams binary"), "rows")
+    rows = materialise(docs.mapInArrow(lambda it: _rows(it, n, wanted), "doc_id long, text_hash long, n_shingles long, node long, grams binary"), "rows", batch_rows=TEXT_ROWS)
     sets = materialise(rows.where(F.col("grams").isNotNull()).select("node", "n_shingles", "grams").dropDuplicates(["node"]), "sets")
 
     star = large.where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))

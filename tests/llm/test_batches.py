@@ -63,3 +63,14 @@ def test_bytes_that_are_no_utf8():
     enc = wavelet.Encoder(catalog.tokenizer_path())
     whole = enc.encode(raw, np.array([0, len(raw)]))[0].tolist()
     assert whole == enc.tokenizer.encode(raw.tobytes().decode("utf-8", "replace"), add_special_tokens=False).ids
+
+
+def test_postings_are_written_with_the_denser_codec(spark, small):
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    index = decontaminate.build_index(catalog.read(spark, small, "documents"))
+    files = [Path(f.removeprefix("file://")) for f in index.inputFiles()]
+    chunks = [pq.ParquetFile(f).metadata.row_group(0).column(c) for f in files if pq.ParquetFile(f).num_row_groups for c in range(7)]
+    assert {c.compression for c in chunks} == {"ZSTD"}
