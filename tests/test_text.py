@@ -38,3 +38,38 @@ def test_letters_are_passed_over_quickly(spark):
     for c in (_plain_clean, TX.clean_text):
         rows.limit(40).agg(F.max(c(F.col("text")))).collect()  # warm
     assert min(seconds(TX.clean_text(F.col("text"))) for _ in range(3)) * 2 < min(seconds(_plain_clean(F.col("text"))) for _ in range(3))
+
+
+def test_word_vectors_hold_no_vocabulary_on_the_driver(spark, monkeypatch):
+    """Three topics: words of one topic end up nearer to each other; chunks of any size know every word; nothing is collected."""
+    import numpy as np
+    from pyspark.ml.feature import Word2Vec
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from staymill.operators import skipgram
+    from staymill.operators import text as X
+
+    def refuse(*_, **__):
+        raise AssertionError("the vocabulary would come to the driver")
+
+    rng = np.random.default_rng(5)
+    rows = [([f"w{t}x{i}" for i in rng.integers(0, 12, 40)],) for t in rng.integers(0, 3, 1500)] + [([f"alone{i}"],) for i in range(50)] + [([],), (None,)]
+    df = spark.createDataFrame(rows, "tokens array<string>")
+    with monkeypatch.context() as m:
+        m.setattr(Word2Vec, "_fit", refuse)
+        m.setattr(DataFrame, "collect", refuse)
+        m.setattr(DataFrame, "toPandas", refuse)
+        plain = X.word_vectors(X.fit_word2vec(df, partitions=2))
+        small = skipgram.fit(df, "tokens", 10, 1, 42, 3, chunk_words=150).table
+        frequent = X.word_vectors(X.fit_word2vec(df, min_count=2, partitions=2))
+    got = {r["token"]: np.array(r["vector"]) for r in plain.collect()}
+    assert len(got) == 36 + 50 and all(len(v) == 10 and np.isfinite(v).all() for v in got.values())
+    assert {r["token"] for r in small.collect()} == set(got)
+    assert {r["token"] for r in frequent.collect()} == {t for t in got if t.startswith("w")}
+    names = sorted(t for t in got if t.startswith("w"))
+    vectors = np.array([got[t] for t in names])
+    vectors -= vectors.mean(axis=0)  # what all words share after one pass
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    topic = np.array([t.split("x")[0] for t in names])
+    alike, same = unit @ unit.T, topic[:, None] == topic
+    assert alike[same].mean() > alike[~same].mean() + 0.5
