@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staymill.functions.session import materialise
-from staymill.operators.neighbours import BLOCK_ROWS, Cells, build_cells, cell_join, distances, within
+from staymill.operators.neighbours import STAR_BLOCK, Cells, all_apart, all_near, build_cells, cell_join, one_cell, within
 from staymill.plans.components import connected_components
 from staymill.schema import SEED
 
@@ -46,7 +46,7 @@ def silhouette_fast(df: DataFrame, column: str, cluster: str = "cluster") -> flo
     return ClusteringEvaluator(featuresCol=column, predictionCol=cluster, metricName="silhouette").evaluate(df)
 
 
-def silhouette_exact(df: DataFrame, key: str, vector: str, clusters: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+def silhouette_exact(df: DataFrame, key: str, vector: str, clusters: Sequence[str], block_rows: int | None = None) -> DataFrame:
     """(key, labelling, cluster, silhouette) on Euclidean distances, for one or more label columns at once.
 
     Every distance counts here, so the work is quadratic by nature; blocks of rows meet blocks of rows,
@@ -55,25 +55,35 @@ def silhouette_exact(df: DataFrame, key: str, vector: str, clusters: Sequence[st
     names = list(clusters)
     labels = [F.col(c).cast("bigint").alias(f"c{j}") for j, c in enumerate(names)]
     points = df.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"), *labels)
-    # A single cell: nothing can be pruned, only divided into blocks.
-    placed = materialise(points.withColumns({"cell": F.lit(0), "gap": F.lit(0.0)}), "points")
-    head = placed.agg(F.count(F.lit(1)).alias("n"), F.first("v").alias("v")).first()
-    cells = Cells(placed, np.array([head["v"]]), np.array([float(head["n"])]), np.array([-np.inf]), np.array([np.inf]), np.zeros((1, 1)))
+    points = materialise(points, "points")
+    cells = one_cell(points, points.count())
 
-    def sums(q: pd.DataFrame, qv: np.ndarray, d: pd.DataFrame, dv: np.ndarray) -> pd.DataFrame:
+    def members(d: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         coded = [pd.factorize(d[f"c{j}"]) for j in range(len(names))]
-        member = np.hstack([np.eye(len(u))[codes] for codes, u in coded])
-        total = np.vstack([m @ member for _, m in distances(qv, dv)])
         which = np.repeat(np.arange(len(names)), [len(u) for _, u in coded])
+        return np.hstack([np.eye(len(u))[codes] for codes, u in coded]), which, np.concatenate([u for _, u in coded])
+
+    def rows(q: pd.DataFrame, total: np.ndarray, which: np.ndarray, other: np.ndarray) -> pd.DataFrame:
         own = np.stack([q[f"c{j}"].to_numpy() for j in range(len(names))], axis=1)
         return pd.DataFrame({
             "k": np.repeat(q["k"].to_numpy(), len(which)), "j": np.tile(which, len(q)), "c": own[:, which].ravel(),
-            "other": np.tile(np.concatenate([u for _, u in coded]), len(q)), "s": total.ravel(),
+            "other": np.tile(other, len(q)), "s": total.ravel(),
         })
 
-    parts = cell_join(points.drop("cell", "gap"), cells, sums, f"k {dict(points.dtypes)['k']}, j int, c bigint, other bigint, s double", radius=np.inf, block_rows=block_rows)
+    def sums(q: pd.DataFrame, qv: np.ndarray, d: pd.DataFrame, dv: np.ndarray, both: bool) -> pd.DataFrame:
+        there, *ids = members(d)
+        here, *own = members(q) if both else (None, None, None)
+        to_d, to_q = [], 0.0
+        for part, m in all_apart(qv, dv):
+            to_d.append(m @ there)
+            if both:
+                to_q = to_q + m.T @ here[part]
+        out = rows(q, np.vstack(to_d), *ids)
+        return pd.concat([out, rows(d, to_q, *own)], ignore_index=True) if both else out
+
+    parts = cell_join(points, cells, sums, f"k {dict(points.dtypes)['k']}, j int, c bigint, other bigint, s double", radius=np.inf, block_rows=block_rows, same=True)
     pairs = F.array(*[F.struct(F.lit(j).alias("_j"), F.col(f"c{j}").alias("_o")) for j in range(len(names))])
-    size = placed.select(F.inline(pairs)).groupBy("_j", "_o").agg(F.count(F.lit(1)).alias("n"))
+    size = points.select(F.inline(pairs)).groupBy("_j", "_o").agg(F.count(F.lit(1)).alias("n"))
     total = parts.groupBy("k", "j", "c", "other").agg(F.sum("s").alias("s")).join(size, (F.col("other") == F.col("_o")) & (F.col("j") == F.col("_j")))
     own = F.col("c") == F.col("other")
     row = total.groupBy("k", "j", "c").agg(
@@ -88,12 +98,25 @@ def silhouette_exact(df: DataFrame, key: str, vector: str, clusters: Sequence[st
 # --- Density clusters -------------------------------------------------------------
 
 
-def _counts(points: DataFrame, cells: Cells, eps: float, block_rows: int) -> DataFrame:
-    def count(q: pd.DataFrame, qv: np.ndarray, d: pd.DataFrame, dv: np.ndarray) -> pd.DataFrame:
-        w = d["w"].to_numpy(dtype="int64")
-        return pd.DataFrame({"k": q["k"], "n": np.concatenate([(m <= eps) @ w for _, m in distances(qv, dv)])})
+def _weighed(hit: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Per row of `hit` the sum of the weights it hits; weights of 1, as most are, need no product."""
+    out = np.count_nonzero(hit, axis=1).astype("int64")
+    more = np.flatnonzero(w != 1)
+    return out + hit[:, more] @ (w[more] - 1) if len(more) else out
+
 
-    found = within(points.select("k", "v"), cells, eps, count, f"k {dict(points.dtypes)['k']}, n bigint", block_rows)
+def _counts(points: DataFrame, cells: Cells, eps: float, block_rows: int) -> DataFrame:
+    def count(q: pd.DataFrame, qv: np.ndarray, d: pd.DataFrame, dv: np.ndarray, both: bool) -> pd.DataFrame:
+        here, there = q["w"].to_numpy(dtype="int64"), d["w"].to_numpy(dtype="int64")
+        n, back = [], np.zeros(len(d), "int64")
+        for part, hit in all_near(qv, dv, eps):
+            n.append(_weighed(hit, there))
+            if both:
+                back += _weighed(hit.T, here[part])
+        out = pd.DataFrame({"k": q["k"], "n": np.concatenate(n)})
+        return pd.concat([out, pd.DataFrame({"k": d["k"], "n": back})], ignore_index=True) if both else out
+
+    found = within(points.select("k", "v", "w"), cells, eps, count, f"k {dict(points.dtypes)['k']}, n bigint", block_rows, same=True)
     return found.groupBy("k").agg(F.sum("n").alias("n"))
 
 
@@ -103,7 +126,7 @@ def _distinct_points(df: DataFrame, key: str, vector: str) -> tuple[DataFrame, D
     return rows, materialise(rows.groupBy("v").agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("w")).select("k", "v", "w"), "points")
 
 
-def dbscan_core(df: DataFrame, key: str, vector: str, eps: float, min_samples: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def dbscan_core(df: DataFrame, key: str, vector: str, eps: float, min_samples: int, block_rows: int | None = None) -> DataFrame:
     """(key, neighbours, core): rows within eps (the row itself included) and whether they are enough."""
     rows, points = _distinct_points(df, key, vector)
     n = _counts(points, build_cells(points), eps, block_rows)
@@ -111,7 +134,14 @@ def dbscan_core(df: DataFrame, key: str, vector: str, eps: float, min_samples: i
     return rows.join(spread, F.col("v") == F.col("_v")).select(F.col("k").alias(key), F.col("n").alias("neighbours"), (F.col("n") >= min_samples).alias("core"))
 
 
-def dbscan(df: DataFrame, key: str, vector: str, eps: float, min_samples: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _lowest(near: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Per row of `near`, which hits something, the smallest label it hits."""
+    order = labels.argsort(kind="stable")
+    step = max(1, (1 << 24) // len(order))
+    return labels[order][np.concatenate([near[i : i + step][:, order].argmax(axis=1) for i in range(0, len(near), step)])]
+
+
+def dbscan(df: DataFrame, key: str, vector: str, eps: float, min_samples: int, block_rows: int | None = None) -> DataFrame:
     """(key, label, core): the label is the smallest core key of the cluster, -1 for noise.
 
     A border row joins the cluster with the smallest label among its core neighbours. A task reduces the
@@ -124,29 +154,34 @@ def dbscan(df: DataFrame, key: str, vector: str, eps: float, min_samples: int, b
     if core.isEmpty():
         return rows.select(F.col("k").alias(key), F.lit(-1).cast(kind).alias("label"), F.lit(False).alias("core"))
 
-    def stars(q: pd.DataFrame, qv: np.ndarray, d: pd.DataFrame, dv: np.ndarray) -> pd.DataFrame:
-        near = np.vstack([m <= eps for _, m in distances(qv, dv)])
-        ql, dl = q["k"].to_numpy().copy(), d["k"].to_numpy().copy()
-        top = max(ql.max(), dl.max())
+    def stars(q: pd.DataFrame, qv: np.ndarray, d: pd.DataFrame, dv: np.ndarray, both: bool) -> pd.DataFrame:
+        near = np.vstack([m for _, m in all_near(qv, dv, eps)])
+        # Links run both ways, so a pair of blocks that comes up once has them all. Rows without a link are left out.
+        hq, hd = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+        near = near[np.ix_(hq, hd)]
+        qk, dk = q["k"].to_numpy()[hq], d["k"].to_numpy()[hd]
+        if not len(qk):
+            return pd.DataFrame({"a": qk, "b": qk})
+        back = np.ascontiguousarray(near.T)
+        ql, dl = qk.copy(), dk.copy()
         while True:  # smallest key within each group of linked rows of the two blocks
-            nd = np.minimum(dl, np.where(near, ql[:, None], top).min(axis=0))
-            nq = np.minimum(ql, np.where(near, nd[None, :], top).min(axis=1))
+            nd = np.minimum(dl, _lowest(back, ql))
+            nq = np.minimum(ql, _lowest(near, nd))
             if (nd == dl).all() and (nq == ql).all():
                 break
             ql, dl = nq, nd
-        a, b = np.concatenate([q["k"], d["k"]]), np.concatenate([ql, dl])
+        a, b = np.concatenate([qk, dk]), np.concatenate([ql, dl])
         return pd.DataFrame({"a": a, "b": b})[a != b]
 
     cells = build_cells(core)
-    edges = within(core, cells, eps, stars, f"a {kind}, b {kind}", block_rows)
+    edges = within(core, cells, eps, stars, f"a {kind}, b {kind}", block_rows, STAR_BLOCK, same=True)
     labelled = core.join(connected_components(edges).withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))
     labelled = materialise(labelled.select("k", "v", "label"), "labelled")
 
-    def lowest(q: pd.DataFrame, qv: np.ndarray, d: pd.DataFrame, dv: np.ndarray) -> pd.DataFrame:
+    def lowest(q: pd.DataFrame, qv: np.ndarray, d: pd.DataFrame, dv: np.ndarray, both: bool) -> pd.DataFrame:
         order = d["label"].to_numpy().argsort(kind="stable")
         labels, out, hit = d["label"].to_numpy()[order], [], []
-        for _, m in distances(qv, dv[order]):
-            near = m <= eps
+        for _, near in all_near(qv, dv[order], eps):
             out.append(labels[near.argmax(axis=1)])
             hit.append(near.any(axis=1))
         return pd.DataFrame({"k": q["k"].to_numpy(), "label": np.concatenate(out)})[np.concatenate(hit)]

@@ -140,3 +140,50 @@ def test_project_keeps_rows_without_a_vector(spark):
     pls = PR.PLS(np.zeros(2), np.ones(2), np.eye(2))
     got = PR.project(spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "k int, v array<double>"), pls, "v").orderBy("k").collect()
     assert (got[0]["c1"], got[0]["c2"]) == (1.0, 2.0) and got[1]["c1"] is None
+
+
+def test_blocks_agree_with_differences_and_are_faster():
+    """Far from the origin, copies, rows at the radius exactly, missing numbers: as the plain differences say."""
+    import time
+
+    rng = np.random.default_rng(4)
+    a = rng.normal(size=(700, 16)) + 1e7
+    b = np.vstack([a[:200], a[:150] + np.eye(16)[0], rng.normal(size=(300, 16)) + 1e7])
+    d = np.vstack([m for _, m in N.distances(a, b)])
+    assert np.allclose(np.vstack([m for _, m in N.all_apart(a, b)]), d, rtol=1e-8, atol=0)
+    for radius in (0.0, 1.0, float(d[3, 400]), float(d.max())):
+        assert (np.vstack([m for _, m in N.all_near(a, b, radius)]) == (d <= radius)).all()
+    odd = a.copy()
+    odd[5, 2], odd[6, 0] = np.nan, np.inf
+    with np.errstate(invalid="ignore"):
+        want = np.vstack([m for _, m in N.distances(odd, b)]) <= 6.0
+        assert (np.vstack([m for _, m in N.all_near(odd, b, 6.0)]) == want).all()
+
+    def seconds(run):
+        begun = time.perf_counter()
+        for _ in run():
+            pass
+        return time.perf_counter() - begun
+
+    x = rng.normal(size=(2000, 64))
+    assert min(seconds(lambda: N.all_apart(x, x)) for _ in range(3)) * 4 < seconds(lambda: N.distances(x, x))
+
+
+def test_blocks_are_few_where_cells_rule_out_nothing(spark, monkeypatch):
+    """Rows in all directions: every row meets the same number of blocks at any size, and a pair of blocks comes up once."""
+    met = []
+    run = type(spark.range(1)).groupBy
+
+    def watched(self, *by):
+        if by == ("cell", "ds", "qs"):
+            met.append(self.select("k", *by).toPandas())
+        return run(self, *by)
+
+    monkeypatch.setattr(type(spark.range(1)), "groupBy", watched)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1200, 40))
+    df = spark.createDataFrame(pd.DataFrame({"k": np.arange(len(x)), "v": x.tolist()}))
+    got = K.dbscan_core(df, "k", "v", 8.0, 5, block_rows=100).toPandas().sort_values("k")
+    assert (got["neighbours"].to_numpy() == (_dist(x) <= 8.0).sum(axis=1)).all()
+    left, right = met
+    assert len(left) + len(right) == len(x) * 13  # 12 blocks; a pair of different ones once
