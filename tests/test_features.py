@@ -101,3 +101,17 @@ def test_saved_model_keeps_a_long_list(spark, raw_like, tmp_path, monkeypatch):
     shutil.rmtree(model.getOrDefault("keepPath").removeprefix("file:"))
     again = FT.RareCategoryModel.load(str(tmp_path / "model"))
     assert sorted(map(str, again.transform(raw_like).select("country", "agent").collect())) == want
+
+
+def test_categories_are_reduced_once_per_fit(spark, raw_like, monkeypatch):
+    """The passes of medians, deviations and levels read written rows; the fitted stages are those of a plain pipeline."""
+    plain = Pipeline(stages=E.preprocess_stages()).fit(raw_like)
+    scans = []
+    quantiles = E.exact_quantiles
+    monkeypatch.setattr(E, "exact_quantiles", lambda df, *a: scans.append(df.inputFiles()) or quantiles(df, *a))
+    model, rows = E.fit_stages(E.preprocess_stages(), raw_like)
+    assert scans and all("reduced-" in f for f in scans[0])
+    wanted = plain.transform(raw_like).select("booking_id", "features").collect()
+    for got in (rows, model.transform(raw_like), E.preprocessor().fit(raw_like).transform(raw_like)):
+        assert sorted(map(str, got.select("booking_id", "features").collect())) == sorted(map(str, wanted))
+        assert E.feature_names(got) == E.feature_names(plain.transform(raw_like))
