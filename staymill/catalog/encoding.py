@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from staymill.catalog.base import ABSENT_SQL, F, S, bookings, frame_cleaned, frame_split, mix_sql, query, table, with_frames
 from staymill.functions.session import scratch_path
+from staymill.functions.vectors import width_and_filled
 from staymill.operators import encode as E
 from staymill.operators import features as FT
 from staymill.operators import split as SP
@@ -220,13 +221,11 @@ SELECT booking_id, is_canceled, width, {" + ".join(f"(coalesce(z_{c}, q_{c}) - m
   + {" + ".join(f"CASE WHEN t_{c} IN (SELECT t_{c} FROM z WHERE split = 'train') THEN 1 ELSE 0 END" for c in S.CATEGORICAL)} AS total FROM z, f"""))
 def preprocess_transform(s, d):
     """Model matrix of all rows: vector width and the sum of the entries of each row."""
-    from pyspark.ml.functions import vector_to_array
-
     df = frame_split(s, d)
     model = E.preprocessor().fit(df.where("split = 'train'"))
-    arr = vector_to_array(E.FEATURES_COL)
+    width, filled = width_and_filled(E.FEATURES_COL)
     return E.transform_features(model, df, ["booking_id", "is_canceled"]).select(
-        "booking_id", "is_canceled", F.size(arr).alias("width"), F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("total"))
+        "booking_id", "is_canceled", width.alias("width"), F.aggregate(filled, F.lit(0.0), lambda a, x: a + x).alias("total"))
 
 
 # --- Splits and weights ------------------------------------------------------------------

@@ -43,3 +43,15 @@ def test_stationary_without_a_row_per_slot(spark, small):
 
     out = QUERIES["logreg_stationary"](spark, small)
     assert out.first()["weights"] and "Generate" not in out._jdf.queryExecution().toString()
+
+
+def test_width_and_filled_of_wide_vectors(spark):
+    """A sparse vector gives the few values it holds; as a dense array it would have 20,000."""
+    from pyspark.ml.linalg import Vectors
+
+    from staymill.functions.vectors import width_and_filled
+
+    df = spark.createDataFrame([(0, Vectors.sparse(20_000, [3, 700], [1.5, 2.0])), (1, Vectors.dense([1.0, 0.0, 4.0])), (2, Vectors.sparse(5, [], []))], ["k", "v"])
+    width, filled = width_and_filled("v")
+    got = df.select("k", width.alias("w"), filled.alias("f")).orderBy("k").collect()
+    assert [(r["w"], list(r["f"])) for r in got] == [(20_000, [1.5, 2.0]), (3, [1.0, 0.0, 4.0]), (5, [])]
