@@ -46,6 +46,15 @@ def test_any_number_of_tasks(frame):
     assert np.allclose(N._flat(a.layers), N._flat(b.layers), atol=1e-9) and np.allclose(a.history, b.history)
 
 
+def test_tasks_meet_without_waiting(frame):
+    """Some 60 meetings; `allGather` waits up to a second for each."""
+    import time
+
+    begun = time.perf_counter()
+    N.Network(N.Settings(hidden=(8, 4), epochs=8, batch=64), tasks=2).fit(frame)
+    assert time.perf_counter() - begun < 25
+
+
 def test_stops_and_keeps_the_best(frame, rows):
     model = N.Network(N.Settings(hidden=(32, 16), epochs=300, batch=64, rate=0.02, patience=6)).fit(frame)
     losses, checks = zip(*model.history)
